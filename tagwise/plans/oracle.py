@@ -15,3 +15,181 @@ oracle(
     "nb_predict",
     "SELECT row_id, array_to_string(labels, ',') AS predicted, CAST(len(labels) AS BIGINT) AS n_labels FROM v_te_pred",
 )
+
+from tagwise.plans.oracle_ctes import N_SCORE_LABELS, dbl, sdiv  # noqa: E402
+
+oracle("sigmoid_proba", "SELECT row_id, label_idx, round(score, 6) AS score, round(proba, 6) AS proba FROM v_proba")
+oracle("apply_threshold", "SELECT row_id, label_idx, CAST(proba >= 0.55e0 AS INTEGER) AS pred FROM v_proba")
+oracle(
+    "apply_label_thresholds",
+    """
+SELECT p.row_id, p.label_idx, round(coalesce(t.threshold, 0.55e0), 6) AS threshold,
+       CAST(p.proba >= coalesce(t.threshold, 0.55e0) AS INTEGER) AS pred
+FROM v_proba p JOIN v_label_names n ON n.label_idx = p.label_idx LEFT JOIN v_thresholds t ON t.label = n.label
+""",
+)
+oracle("top_k_labels", "SELECT row_id, label_idx, round(proba, 6) AS proba FROM v_sc_chosen")
+oracle(
+    "decode_labels",
+    "SELECT row_id, array_to_string(labels, ',') AS labels, CAST(len(labels) AS BIGINT) AS n_labels FROM v_sc_decoded",
+)
+oracle(
+    "predict_confidence",
+    """
+SELECT r.row_id, coalesce(c.genres, 'None') AS genres, coalesce(c.conf, '') AS confidences,
+       CAST(coalesce(c.cnt, 0) AS BIGINT) AS genre_count
+FROM v_score_rows r LEFT JOIN (
+  SELECT ch.row_id, array_to_string(list(n.label ORDER BY ch.label_idx), ', ') AS genres,
+         array_to_string(list(printf('%s:%.6f', n.label, ch.proba) ORDER BY ch.proba DESC, ch.label_idx ASC), '|') AS conf,
+         count(*) AS cnt
+  FROM v_sc_chosen ch JOIN v_label_names n ON n.label_idx = ch.label_idx GROUP BY ch.row_id) c ON c.row_id = r.row_id
+""",
+)
+oracle(
+    "prediction_stats",
+    """
+SELECT count(*) AS n_rows, CAST(sum(len(labels)) AS BIGINT) AS total_labels, round(avg(len(labels)), 6) AS mean_labels
+FROM v_sc_decoded
+""",
+)
+oracle("confusion_counts", "SELECT label_idx, tp, fp, fn, (SELECT n FROM v_n_rows) - tp - fp - fn AS tn FROM v_counts")
+oracle(
+    "micro_metrics",
+    "SELECT tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, "
+    "round(jaccard, 6) AS jaccard, round(hamming_loss, 6) AS hamming_loss FROM v_micro",
+)
+oracle(
+    "per_label_metrics",
+    "SELECT label_idx, tp, fp, fn, support, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+    "round(f1, 6) AS f1, round(jaccard, 6) AS jaccard FROM v_per_label",
+)
+oracle(
+    "macro_metrics",
+    "SELECT round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1, "
+    "round(avg(jaccard), 6) AS jaccard, count(*) AS n_labels FROM v_per_label",
+)
+oracle("per_label_hamming", "SELECT label_idx, round(hamming, 6) AS hamming FROM v_per_label")
+oracle("label_true_pred_counts", "SELECT label_idx, tp + fn AS n_true, tp + fp AS n_pred FROM v_counts")
+oracle(
+    "labels_per_row_hist",
+    """
+WITH per AS (
+  SELECT coalesce(t.nt, 0) AS nt, coalesce(p.np, 0) AS np FROM v_score_rows r
+  LEFT JOIN (SELECT row_id, count(*) AS nt FROM v_truth GROUP BY row_id) t ON t.row_id = r.row_id
+  LEFT JOIN (SELECT row_id, count(*) AS np FROM v_pred GROUP BY row_id) p ON p.row_id = r.row_id)
+SELECT CAST(b.n AS BIGINT) AS n_labels,
+  CAST((SELECT count(*) FROM per WHERE nt = b.n) AS BIGINT) AS n_rows_true,
+  CAST((SELECT count(*) FROM per WHERE np = b.n) AS BIGINT) AS n_rows_pred
+FROM range(0, (SELECT greatest(max(nt), max(np)) FROM per) + 1) AS b(n)
+""",
+)
+oracle(
+    "confidence_hist",
+    """
+WITH mm AS (SELECT min(proba) AS lo, max(proba) AS hi FROM v_proba)
+SELECT CAST(b AS INTEGER) AS bin, round(lo + b * ((hi - lo) / 50), 6) AS bin_start, count(*) AS n
+FROM (SELECT CASE WHEN hi = lo THEN 0 ELSE least(floor((proba - lo) / (hi - lo) * 50), 49) END AS b, lo, hi FROM v_proba, mm) s
+GROUP BY b, lo, hi
+""",
+)
+oracle(
+    "confidence_stats",
+    "SELECT count(*) AS n, round(avg(proba), 6) AS mean, round(quantile_cont(proba, 0.5), 6) AS median, "
+    "round(min(proba), 6) AS min, round(max(proba), 6) AS max FROM v_proba",
+)
+oracle(
+    "confusion_patterns",
+    """
+WITH hits AS (SELECT t.row_id, t.label_idx FROM v_truth t JOIN v_pred p ON p.row_id = t.row_id AND p.label_idx = t.label_idx),
+missed AS (SELECT t.row_id, t.label_idx FROM v_truth t
+           WHERE NOT EXISTS (SELECT 1 FROM v_pred p WHERE p.row_id = t.row_id AND p.label_idx = t.label_idx)),
+c AS (SELECT label_idx AS label_i, label_idx AS label_j, count(*) AS n FROM hits GROUP BY label_idx
+      UNION ALL
+      SELECT m.label_idx, p.label_idx, count(*) FROM missed m JOIN v_pred p ON p.row_id = m.row_id AND p.label_idx <> m.label_idx
+      GROUP BY m.label_idx, p.label_idx)
+SELECT a.label_idx AS label_i, b.label_idx AS label_j, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM v_label_names a CROSS JOIN v_label_names b LEFT JOIN c ON c.label_i = a.label_idx AND c.label_j = b.label_idx
+""",
+)
+oracle(
+    "label_cooccurrence",
+    """
+WITH c AS (SELECT a.label_idx AS label_i, b.label_idx AS label_j, count(*) AS n
+           FROM v_truth a JOIN v_truth b ON a.row_id = b.row_id GROUP BY a.label_idx, b.label_idx)
+SELECT a.label_idx AS label_i, b.label_idx AS label_j, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM v_label_names a CROSS JOIN v_label_names b LEFT JOIN c ON c.label_i = a.label_idx AND c.label_j = b.label_idx
+""",
+)
+oracle(
+    "confusion_matrix",
+    """
+WITH seen AS (SELECT true_idx AS l FROM v_true_class UNION SELECT pred_idx FROM v_pred_class),
+c AS (SELECT t.true_idx, p.pred_idx, count(*) AS n FROM v_true_class t JOIN v_pred_class p ON p.row_id = t.row_id GROUP BY ALL)
+SELECT a.l AS true_idx, b.l AS pred_idx, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM seen a CROSS JOIN seen b LEFT JOIN c ON c.true_idx = a.l AND c.pred_idx = b.l
+""",
+)
+oracle(
+    "class_weights",
+    """
+WITH c AS (SELECT n.label_idx, CAST(coalesce(p.n_pos, 0) AS BIGINT) AS n_pos FROM v_label_names n
+           LEFT JOIN (SELECT label_idx, count(*) AS n_pos FROM v_truth GROUP BY label_idx) p ON p.label_idx = n.label_idx)
+SELECT label_idx, n_pos, (SELECT n FROM v_n_rows) - n_pos AS n_neg,
+  round(CASE WHEN n_pos = 0 THEN NULL ELSE (SELECT n FROM v_n_rows) / (2.0::DOUBLE * n_pos) END, 6) AS w_pos,
+  round(CASE WHEN (SELECT n FROM v_n_rows) - n_pos = 0 THEN NULL
+             ELSE (SELECT n FROM v_n_rows) / (2.0::DOUBLE * ((SELECT n FROM v_n_rows) - n_pos)) END, 6) AS w_neg
+FROM c
+""",
+)
+oracle(
+    "threshold_sensitivity",
+    "SELECT round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+    "round(f1, 6) AS f1 FROM v_sens",
+)
+oracle(
+    "threshold_sweep",
+    f"""
+SELECT round(threshold, 6) AS threshold, round({sdiv('tp', 'tp + fp')}, 6) AS precision,
+  round({sdiv('tp', 'tp + fn')}, 6) AS recall, round({sdiv('2 * tp', '2 * tp + fp + fn')}, 6) AS f1,
+  round({sdiv('fp + fn', f'(SELECT n FROM v_n_rows) * {N_SCORE_LABELS}')}, 6) AS hamming_loss,
+  round({sdiv('tp', 'tp + fp + fn')}, 6) AS jaccard,
+  round((tp + fp) / CAST((SELECT n FROM v_n_rows) AS DOUBLE), 6) AS avg_predicted,
+  round((tp + fn) / CAST((SELECT n FROM v_n_rows) AS DOUBLE), 6) AS avg_true,
+  round({sdiv('tp', 'tp + fp')} - {sdiv('tp', 'tp + fn')}, 6) AS precision_recall_gap
+FROM (SELECT j, threshold, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn
+      FROM v_gw_counts GROUP BY j, threshold) s
+""",
+)
+oracle("tune_thresholds", "SELECT label_idx, label, round(threshold, 6) AS threshold, round(score, 6) AS score FROM v_tuned")
+oracle(
+    "threshold_summary",
+    "SELECT round(avg(threshold), 6) AS mean, round(quantile_cont(threshold, 0.5), 6) AS median, "
+    "round(min(threshold), 6) AS min, round(max(threshold), 6) AS max, round(stddev_pop(threshold), 6) AS std, "
+    "count(*) AS n_labels FROM v_tuned",
+)
+oracle(
+    "threshold_table",
+    "SELECT label, round(threshold, 6) AS threshold, round(score, 6) AS score, "
+    "CAST(row_number() OVER (ORDER BY threshold DESC, label ASC) AS INTEGER) AS rank FROM v_tuned",
+)
+oracle(
+    "threshold_compare",
+    """
+WITH b AS (SELECT unnest(['precision', 'recall', 'f1', 'jaccard', 'hamming_loss']) AS metric,
+                  unnest([precision, recall, f1, jaccard, hamming_loss]) AS base FROM v_micro),
+n AS (SELECT unnest(['precision', 'recall', 'f1', 'jaccard', 'hamming_loss']) AS metric,
+             unnest([precision, recall, f1, jaccard, hamming_loss]) AS new FROM v_pl_micro),
+j AS (SELECT b.metric, base, new, new - base AS chg,
+             CASE WHEN b.metric = 'hamming_loss' THEN new - base < 0 ELSE new - base > 0 END AS improved
+      FROM b JOIN n ON b.metric = n.metric)
+SELECT metric, round(base, 6) AS base, round(new, 6) AS new, round(chg, 6) AS abs_change,
+       round(CASE WHEN base <> 0 THEN chg / abs(base) * 100.0 END, 6) AS pct_change, improved,
+       bool_and(improved) OVER () AS all_improved
+FROM j
+""",
+)
+oracle(
+    "best_threshold",
+    "SELECT round(threshold, 6) AS threshold, round(round(f1, 12), 6) AS f1 FROM v_sens "
+    "ORDER BY round(f1, 12) DESC, threshold ASC LIMIT 1",
+)

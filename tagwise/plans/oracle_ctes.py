@@ -328,3 +328,168 @@ ON r.row_id = p.row_id
 """,
 )
 C.add("v_te_truth", "SELECT p.row_id, li.label_idx FROM (SELECT row_id, unnest(labels) AS label FROM v_test_parsed) p JOIN v_label_index li ON p.label = li.label")
+
+
+# ---- helpers for metric SQL
+def sdiv(a: str, b: str) -> str:
+    """a / b as DOUBLE, 0 when b = 0."""
+    return f"(CASE WHEN ({b}) = 0 THEN 0.0::DOUBLE ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)"
+
+
+def f1_sql(tp: str, fp: str, fn: str) -> str:
+    return sdiv(f"2 * {tp}", f"2 * {tp} + {fp} + {fn}")
+
+
+def r6(x: str) -> str:
+    return f"round({x}, 6)"
+
+
+SCORE_THRESHOLD = 0.55
+SENSITIVITY_GRID = [0.1 + 0.05 * i for i in range(17)]
+SWEEP_GRID = [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
+
+
+def grid_list(grid) -> str:
+    return "[" + ", ".join(dbl(t) for t in grid) + "]"
+
+
+C.add("v_pred", f"SELECT row_id, label_idx FROM v_proba WHERE proba >= {dbl(SCORE_THRESHOLD)}")
+C.add("v_n_rows", "SELECT count(*) AS n FROM v_score_rows")
+C.add(
+    "v_flags",
+    """
+SELECT row_id, label_idx, max(t) AS t, max(p) AS p FROM (
+  SELECT row_id, label_idx, 1 AS t, 0 AS p FROM v_truth
+  UNION ALL SELECT row_id, label_idx, 0 AS t, 1 AS p FROM v_pred) u
+GROUP BY row_id, label_idx
+""",
+)
+C.add(
+    "v_counts",
+    """
+SELECT n.label_idx,
+  CAST(coalesce(sum(f.t * f.p), 0) AS BIGINT) AS tp,
+  CAST(coalesce(sum((1 - f.t) * f.p), 0) AS BIGINT) AS fp,
+  CAST(coalesce(sum(f.t * (1 - f.p)), 0) AS BIGINT) AS fn
+FROM v_label_names n LEFT JOIN v_flags f ON f.label_idx = n.label_idx
+GROUP BY n.label_idx
+""",
+)
+C.add(
+    "v_per_label",
+    f"""
+SELECT label_idx, tp, fp, fn, tp + fn AS support,
+  {sdiv('tp', 'tp + fp')} AS precision, {sdiv('tp', 'tp + fn')} AS recall,
+  {f1_sql('tp', 'fp', 'fn')} AS f1, {sdiv('tp', 'tp + fp + fn')} AS jaccard,
+  {sdiv('fp + fn', '(SELECT n FROM v_n_rows)')} AS hamming
+FROM v_counts
+""",
+)
+C.add(
+    "v_micro",
+    f"""
+SELECT tp, fp, fn, {sdiv('tp', 'tp + fp')} AS precision, {sdiv('tp', 'tp + fn')} AS recall,
+  {f1_sql('tp', 'fp', 'fn')} AS f1, {sdiv('tp', 'tp + fp + fn')} AS jaccard,
+  {sdiv('fp + fn', f'(SELECT n FROM v_n_rows) * {N_SCORE_LABELS}')} AS hamming_loss
+FROM (SELECT CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn FROM v_counts) s
+""",
+)
+C.add(
+    "v_sc_chosen",
+    f"""
+SELECT row_id, label_idx, proba FROM (
+  SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY round(proba, 12) DESC, label_idx DESC) AS rk
+  FROM v_proba WHERE proba >= {dbl(SCORE_THRESHOLD)}) t
+WHERE rk <= 3
+""",
+)
+C.add(
+    "v_sc_decoded",
+    """
+SELECT r.row_id, coalesce(d.labels, []::VARCHAR[]) AS labels FROM v_score_rows r LEFT JOIN (
+  SELECT c.row_id, list(n.label ORDER BY c.label_idx) AS labels
+  FROM v_sc_chosen c JOIN v_label_names n ON n.label_idx = c.label_idx GROUP BY c.row_id) d ON d.row_id = r.row_id
+""",
+)
+C.add(
+    "v_lab",
+    """
+SELECT p.row_id, p.label_idx, p.proba, CASE WHEN t.row_id IS NULL THEN 0 ELSE 1 END AS t
+FROM v_proba p LEFT JOIN v_truth t ON t.row_id = p.row_id AND t.label_idx = p.label_idx
+""",
+)
+
+
+def grid_ctes(prefix: str, grid) -> None:
+    g = grid_list(grid)
+    C.add(
+        f"{prefix}_b",
+        f"""
+SELECT label_idx, len(list_filter({g}, lambda x: x <= proba)) AS b, sum(t) AS pos, sum(1 - t) AS neg
+FROM v_lab GROUP BY label_idx, len(list_filter({g}, lambda x: x <= proba))
+""",
+    )
+    C.add(
+        f"{prefix}_pred",
+        f"""
+SELECT label_idx, j, sum(pos) AS tp, sum(neg) AS fp FROM (
+  SELECT label_idx, pos, neg, unnest(range(0, b)) AS j FROM {prefix}_b) s
+GROUP BY label_idx, j
+""",
+    )
+    C.add(
+        f"{prefix}_counts",
+        f"""
+SELECT n.label_idx, g.j, g.threshold,
+  CAST(coalesce(p.tp, 0) AS BIGINT) AS tp, CAST(coalesce(p.fp, 0) AS BIGINT) AS fp,
+  CAST(coalesce(tt.P, 0) - coalesce(p.tp, 0) AS BIGINT) AS fn, CAST(coalesce(tt.P, 0) AS BIGINT) AS n_pos
+FROM v_label_names n
+CROSS JOIN (SELECT CAST(i - 1 AS INTEGER) AS j, {g}[i] AS threshold FROM range(1, {len(grid) + 1}) r(i)) g
+LEFT JOIN {prefix}_pred p ON p.label_idx = n.label_idx AND p.j = g.j
+LEFT JOIN (SELECT label_idx, sum(pos) AS P FROM {prefix}_b GROUP BY label_idx) tt ON tt.label_idx = n.label_idx
+""",
+    )
+
+
+grid_ctes("v_gs", SENSITIVITY_GRID)
+grid_ctes("v_gw", SWEEP_GRID)
+C.add(
+    "v_sens",
+    f"""
+SELECT j, threshold, avg({sdiv('tp', 'tp + fp')}) AS precision, avg({sdiv('tp', 'tp + fn')}) AS recall,
+       avg({f1_sql('tp', 'fp', 'fn')}) AS f1
+FROM v_gs_counts GROUP BY j, threshold
+""",
+)
+C.add(
+    "v_tuned",
+    f"""
+SELECT t.label_idx, n.label,
+  CASE WHEN n_pos > 0 AND score > 0 THEN threshold ELSE 0.5::DOUBLE END AS threshold,
+  CASE WHEN n_pos > 0 AND score > 0 THEN score ELSE 0.0::DOUBLE END AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY label_idx ORDER BY round(score, 12) DESC, j ASC) AS rk
+      FROM (SELECT label_idx, j, threshold, n_pos, {f1_sql('tp', 'fp', 'fn')} AS score FROM v_gs_counts) s) t
+JOIN v_label_names n ON n.label_idx = t.label_idx
+WHERE rk = 1
+""",
+)
+C.add(
+    "v_pl_pred",
+    f"""
+SELECT p.row_id, p.label_idx FROM v_proba p JOIN v_label_names n ON n.label_idx = p.label_idx
+LEFT JOIN v_tuned t ON t.label = n.label
+WHERE p.proba >= coalesce(t.threshold, {dbl(SCORE_THRESHOLD)})
+""",
+)
+C.add(
+    "v_pl_micro",
+    f"""
+SELECT {sdiv('tp', 'tp + fp')} AS precision, {sdiv('tp', 'tp + fn')} AS recall,
+  {f1_sql('tp', 'fp', 'fn')} AS f1, {sdiv('tp', 'tp + fp + fn')} AS jaccard,
+  {sdiv('fp + fn', f'(SELECT n FROM v_n_rows) * {N_SCORE_LABELS}')} AS hamming_loss
+FROM (SELECT CAST(sum(t * p) AS BIGINT) AS tp, CAST(sum((1 - t) * p) AS BIGINT) AS fp, CAST(sum(t * (1 - p)) AS BIGINT) AS fn
+      FROM (SELECT row_id, label_idx, max(t) AS t, max(p) AS p FROM (
+              SELECT row_id, label_idx, 1 AS t, 0 AS p FROM v_truth
+              UNION ALL SELECT row_id, label_idx, 0 AS t, 1 AS p FROM v_pl_pred) u GROUP BY row_id, label_idx) f) s
+""",
+)

@@ -53,3 +53,272 @@ def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted, _, _, test = fitted_nb(spark, sf_dir)
     pred = P.predict(fitted, test.select("row_id", "description"))
     return pred.select("row_id", joined("labels").alias("predicted"), F.size("labels").cast("long").alias("n_labels"))
+
+
+# ---------------------------------------------------------------- decision + metric keys on the scores view
+from tagwise.operators import decide as D  # noqa: E402
+from tagwise.operators import metrics as M  # noqa: E402
+from tagwise.operators import tune as TU  # noqa: E402
+from tagwise.operators.labels import LabelIndex  # noqa: E402
+
+SCORE_THRESHOLD = 0.55
+
+
+def _score_env(spark: SparkSession, sf_dir: str):
+    """(proba table, truth, rows, label names, N, L) for the fixed-score views."""
+    proba = D.with_proba(tables.scores(spark, sf_dir))
+    truth = tables.truth(spark, sf_dir)
+    rows = tables.score_rows(spark, sf_dir)
+    names = tables.label_names(spark)
+    n = rows.count()
+    return proba, truth, rows, names, n, tables.N_SCORE_LABELS
+
+
+def _global_pred(proba: DataFrame, t: float = SCORE_THRESHOLD) -> DataFrame:
+    return proba.filter(F.col("proba") >= F.lit(t)).select("row_id", "label_idx")
+
+
+@query("sigmoid_proba")
+def q_sigmoid_proba(spark, sf_dir):
+    proba = D.with_proba(tables.scores(spark, sf_dir))
+    return proba.select("row_id", "label_idx", r6(F.col("score")).alias("score"), r6(F.col("proba")).alias("proba"))
+
+
+@query("apply_threshold")
+def q_apply_threshold(spark, sf_dir):
+    from tagwise.operators.clean import apply_threshold
+
+    proba = D.with_proba(tables.scores(spark, sf_dir))
+    return proba.select("row_id", "label_idx", apply_threshold(F.col("proba"), SCORE_THRESHOLD).alias("pred"))
+
+
+def _per_label_decided(spark, sf_dir):
+    proba = D.with_proba(tables.scores(spark, sf_dir))
+    policy = D.resolve_thresholds(dict(tables.THRESHOLD_FIXTURE), spark=spark)
+    return D.apply_label_thresholds(proba, tables.label_names(spark), policy, tables.N_SCORE_LABELS)
+
+
+@query("apply_label_thresholds")
+def q_apply_label_thresholds(spark, sf_dir):
+    d = _per_label_decided(spark, sf_dir)
+    return d.select("row_id", "label_idx", r6(F.col("threshold")).alias("threshold"), "pred")
+
+
+def _chosen(spark, sf_dir, k=D.DEFAULT_TOP_K):
+    proba = D.with_proba(tables.scores(spark, sf_dir))
+    decided = D.apply_label_thresholds(proba, tables.label_names(spark), D.ThresholdPolicy(SCORE_THRESHOLD), tables.N_SCORE_LABELS)
+    return D.top_k(decided, k)
+
+
+@query("top_k_labels")
+def q_top_k_labels(spark, sf_dir):
+    return _chosen(spark, sf_dir).select("row_id", "label_idx", r6(F.col("proba")).alias("proba"))
+
+
+def _names_index(spark) -> LabelIndex:
+    return LabelIndex(tables.label_names(spark), tables.N_SCORE_LABELS)
+
+
+@query("decode_labels")
+def q_decode_labels(spark, sf_dir):
+    from tagwise.operators.labels import decode_labels
+
+    dec = decode_labels(tables.score_rows(spark, sf_dir), _chosen(spark, sf_dir).select("row_id", "label_idx"), _names_index(spark))
+    return dec.select("row_id", joined("labels").alias("labels"), F.size("labels").cast("long").alias("n_labels"))
+
+
+@query("predict_confidence")
+def q_predict_confidence(spark, sf_dir):
+    rows = tables.score_rows(spark, sf_dir)
+    conf = D.confidence_lists(_chosen(spark, sf_dir), tables.label_names(spark), tables.N_SCORE_LABELS)
+    out = rows.join(conf, "row_id", "left")
+    conf_str = F.array_join(
+        F.transform(
+            F.coalesce("genres_with_confidence", F.array().cast("array<struct<genre:string,confidence:double>>")),
+            lambda s: F.format_string("%s:%.6f", s["genre"], s["confidence"]),
+        ),
+        "|",
+    )
+    labels = F.coalesce("labels", F.array().cast("array<string>"))
+    from tagwise.operators.clean import render_labels
+
+    return out.select(
+        "row_id",
+        render_labels(labels).alias("genres"),
+        conf_str.alias("confidences"),
+        F.size(labels).cast("long").alias("genre_count"),
+    )
+
+
+@query("prediction_stats")
+def q_prediction_stats(spark, sf_dir):
+    from tagwise.operators.labels import decode_labels
+
+    dec = decode_labels(tables.score_rows(spark, sf_dir), _chosen(spark, sf_dir).select("row_id", "label_idx"), _names_index(spark))
+    return dec.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.size("labels")).cast("long").alias("total_labels"),
+        r6(F.avg(F.size("labels"))).alias("mean_labels"),
+    )
+
+
+def _counts(spark, sf_dir):
+    proba, truth, rows, names, n, L = _score_env(spark, sf_dir)
+    return M.label_counts(truth, _global_pred(proba), names, n), n, L
+
+
+@query("confusion_counts")
+def q_confusion_counts(spark, sf_dir):
+    c, _, _ = _counts(spark, sf_dir)
+    return c
+
+
+def _r6_all(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    out = []
+    for f in df.schema.fields:
+        if f.dataType.typeName() in ("double", "float") and f.name not in keep:
+            out.append(r6(F.col(f.name)).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
+@query("micro_metrics")
+def q_micro_metrics(spark, sf_dir):
+    c, n, L = _counts(spark, sf_dir)
+    return _r6_all(M.micro_metrics(c, n, L))
+
+
+@query("per_label_metrics")
+def q_per_label_metrics(spark, sf_dir):
+    c, n, L = _counts(spark, sf_dir)
+    return _r6_all(M.per_label_metrics(c, n).drop("hamming"))
+
+
+@query("macro_metrics")
+def q_macro_metrics(spark, sf_dir):
+    c, n, L = _counts(spark, sf_dir)
+    return _r6_all(M.macro_metrics(M.per_label_metrics(c, n)))
+
+
+@query("per_label_hamming")
+def q_per_label_hamming(spark, sf_dir):
+    c, n, L = _counts(spark, sf_dir)
+    return _r6_all(M.per_label_metrics(c, n).select("label_idx", "hamming"))
+
+
+@query("label_true_pred_counts")
+def q_label_true_pred_counts(spark, sf_dir):
+    c, _, _ = _counts(spark, sf_dir)
+    return M.true_pred_counts(c)
+
+
+@query("labels_per_row_hist")
+def q_labels_per_row_hist(spark, sf_dir):
+    proba, truth, rows, names, n, L = _score_env(spark, sf_dir)
+    return M.labels_per_row_hist(rows, truth, _global_pred(proba))
+
+
+@query("confidence_hist")
+def q_confidence_hist(spark, sf_dir):
+    proba = D.with_proba(tables.scores(spark, sf_dir))
+    return _r6_all(M.confidence_hist(proba))
+
+
+@query("confidence_stats")
+def q_confidence_stats(spark, sf_dir):
+    proba = D.with_proba(tables.scores(spark, sf_dir))
+    return _r6_all(M.confidence_stats(proba))
+
+
+@query("confusion_patterns")
+def q_confusion_patterns(spark, sf_dir):
+    proba, truth, rows, names, n, L = _score_env(spark, sf_dir)
+    return M.confusion_patterns(truth, _global_pred(proba), names)
+
+
+@query("label_cooccurrence")
+def q_label_cooccurrence(spark, sf_dir):
+    return M.cooccurrence(tables.truth(spark, sf_dir), tables.label_names(spark))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return M.confusion_matrix(tables.true_class(spark, sf_dir), tables.pred_class(spark, sf_dir))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    proba, truth, rows, names, n, L = _score_env(spark, sf_dir)
+    pos = truth.groupBy("label_idx").agg(F.count(F.lit(1)).alias("n_pos"))
+    c = names.select("label_idx").join(pos, "label_idx", "left").select(
+        "label_idx", F.coalesce("n_pos", F.lit(0)).cast("long").alias("n_pos")
+    )
+    c = c.withColumn("n_neg", F.lit(n) - F.col("n_pos"))
+    return c.select(
+        "label_idx",
+        "n_pos",
+        "n_neg",
+        r6(F.try_divide(F.lit(float(n)), 2.0 * F.col("n_pos"))).alias("w_pos"),
+        r6(F.try_divide(F.lit(float(n)), 2.0 * F.col("n_neg"))).alias("w_neg"),
+    )
+
+
+def _grid(spark, sf_dir, grid):
+    proba, truth, rows, names, n, L = _score_env(spark, sf_dir)
+    return TU.grid_counts(TU.with_truth(proba, truth), grid, names), n, L, names
+
+
+@query("threshold_sensitivity")
+def q_threshold_sensitivity(spark, sf_dir):
+    g, n, L, _ = _grid(spark, sf_dir, TU.SENSITIVITY_GRID)
+    return _r6_all(TU.threshold_sensitivity(g).drop("j"))
+
+
+@query("threshold_sweep")
+def q_threshold_sweep(spark, sf_dir):
+    g, n, L, _ = _grid(spark, sf_dir, TU.SWEEP_GRID)
+    return _r6_all(TU.threshold_sweep(g, n, L))
+
+
+def _tuned(spark, sf_dir):
+    g, n, L, names = _grid(spark, sf_dir, TU.TUNING_GRID)
+    return TU.tune_thresholds(g, "f1").join(names, "label_idx"), n, L, names
+
+
+@query("tune_thresholds")
+def q_tune_thresholds(spark, sf_dir):
+    t, *_ = _tuned(spark, sf_dir)
+    return _r6_all(t.select("label_idx", "label", "threshold", "score"))
+
+
+@query("threshold_summary")
+def q_threshold_summary(spark, sf_dir):
+    t, *_ = _tuned(spark, sf_dir)
+    return _r6_all(TU.threshold_summary(t))
+
+
+@query("threshold_table")
+def q_threshold_table(spark, sf_dir):
+    from pyspark.sql import Window
+
+    t, *_ = _tuned(spark, sf_dir)
+    w = Window.orderBy(F.col("threshold").desc(), F.col("label").asc())  # one row per label
+    return _r6_all(t.select("label", "threshold", "score").withColumn("rank", F.row_number().over(w)))
+
+
+@query("threshold_compare")
+def q_threshold_compare(spark, sf_dir):
+    t, n, L, names = _tuned(spark, sf_dir)
+    proba, truth, rows, names, n, L = _score_env(spark, sf_dir)
+    base = M.micro_metrics(M.label_counts(truth, _global_pred(proba), names, n), n, L)
+    policy = D.ThresholdPolicy(SCORE_THRESHOLD, t.select("label", "threshold"), L)
+    per = D.apply_label_thresholds(proba, names, policy, L).filter(F.col("pred") == 1).select("row_id", "label_idx")
+    new = M.micro_metrics(M.label_counts(truth, per, names, n), n, L)
+    return _r6_all(TU.compare_metrics(base, new))
+
+
+@query("best_threshold")
+def q_best_threshold(spark, sf_dir):
+    g, n, L, _ = _grid(spark, sf_dir, TU.SENSITIVITY_GRID)
+    return _r6_all(TU.best_point(TU.threshold_sensitivity(g), "threshold", "f1"))

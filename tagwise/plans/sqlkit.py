@@ -39,10 +39,14 @@ class CteSet:
         for n in self._defs:
             if n in words:
                 visit(n)
+        final = final_sql.strip()
         if not order:
-            return final_sql.strip()
+            return final
         body = ",\n".join(f"{n} AS (\n{self._defs[n]}\n)" for n in order)
-        return f"WITH {body}\n{final_sql.strip()}"
+        if re.match(r"(?i)^with\s", final):
+            # the final statement has CTEs of its own: append them after ours
+            return f"WITH {body},\n{final[4:].lstrip()}"
+        return f"WITH {body}\n{final}"
 
 
 def dbl(x: float) -> str:
