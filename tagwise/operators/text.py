@@ -51,8 +51,9 @@ class VectorizerParams:
         return replace(cls(), **d)
 
 
-def doc_terms(docs: DataFrame, params: VectorizerParams, text_col: str = "description") -> DataFrame:
-    """(row_id, term) for every n-gram occurrence of the whole text.
+def doc_grams(docs: DataFrame, params: VectorizerParams, text_col: str = "description") -> DataFrame:
+    """T1-T3 per row: ``(row_id, _toks, _grams)`` — stop-word-filtered tokens and all n-grams in order
+    (unigrams, then bigrams, then trigrams ...), over the whole text.
 
     Tokens come from one built-in regex extraction; stop words and n-grams use Spark ML's
     ``StopWordsRemover`` / ``NGram`` transformers (JVM, hash-set lookup and sliding windows), which are
@@ -74,7 +75,12 @@ def doc_terms(docs: DataFrame, params: VectorizerParams, text_col: str = "descri
         cur = NGram(n=n, inputCol="_toks", outputCol=f"_g{n}").transform(cur)
         gram_cols.append(F.col(f"_g{n}"))
     allg = gram_cols[0] if len(gram_cols) == 1 else F.concat(*gram_cols)
-    return cur.select("row_id", F.explode(allg).alias("term"))
+    return cur.select("row_id", "_raw", "_toks", allg.alias("_grams"))
+
+
+def doc_terms(docs: DataFrame, params: VectorizerParams, text_col: str = "description") -> DataFrame:
+    """(row_id, term) for every n-gram occurrence."""
+    return doc_grams(docs, params, text_col).select("row_id", F.explode("_grams").alias("term"))
 
 
 def by_row(docs: DataFrame) -> DataFrame:

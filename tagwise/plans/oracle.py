@@ -193,3 +193,155 @@ oracle(
     "SELECT round(threshold, 6) AS threshold, round(round(f1, 12), 6) AS f1 FROM v_sens "
     "ORDER BY round(f1, 12) DESC, threshold ASC LIMIT 1",
 )
+
+from tagwise.plans.oracle_ctes import STRIP, TOKEN_PATTERN, split_hash_sql, ngram_sql  # noqa: E402
+from tagwise.sources.io import NA_TOKENS  # noqa: E402
+
+_NA = "(" + ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS) + ")"
+
+
+def _na(c: str) -> str:
+    return f"CASE WHEN {c} IN {_NA} THEN NULL ELSE {c} END AS {c}"
+
+
+oracle("scan_docs", f"SELECT row_id, {_na('movie_name')}, {_na('description')}, {_na('genre')} FROM v_movies")
+oracle(
+    "dedup_titles",
+    "SELECT row_id, movie_name FROM (SELECT *, row_number() OVER (PARTITION BY movie_name ORDER BY row_id) AS rn "
+    "FROM v_titles WHERE movie_name IS NOT NULL) t WHERE rn = 1",
+)
+oracle("clean_titles", "SELECT row_id, movie_name, genre FROM v_clean")
+oracle(
+    "text_nulls",
+    "SELECT count(*) AS n_rows, count(*) FILTER (WHERE description IS NULL) AS n_null, "
+    "count(*) FILTER (WHERE length(coalesce(description, '')) = 0) AS n_empty FROM v_clean",
+)
+oracle("parse_labels", "SELECT row_id, array_to_string(labels, ',') AS labels, CAST(len(labels) AS BIGINT) AS n_labels FROM v_parsed_all")
+oracle("label_frequency", "SELECT label, n, round(pct, 6) AS pct FROM v_all_freq")
+oracle("rare_labels", "SELECT label, n, round(pct, 6) AS pct, pct >= 5.0e0 AS kept FROM v_all_freq")
+oracle("label_index", "SELECT label_idx, label FROM v_all_index")
+oracle("restrict_labels", "SELECT row_id, array_to_string(labels, ',') AS labels FROM v_all_kept WHERE len(labels) > 0")
+oracle(
+    "multi_hot",
+    "SELECT p.row_id, i.label_idx FROM v_all_pairs p JOIN v_all_index i ON i.label = p.label",
+)
+oracle(
+    "label_stats",
+    "SELECT (SELECT count(*) FROM v_parsed_all) AS n_rows, "
+    "(SELECT count(*) FROM v_parsed_all WHERE len(labels) = 0) AS n_missing, "
+    "(SELECT round(avg(CAST(len(labels) AS DOUBLE)), 6) FROM v_parsed_all) AS mean_labels, "
+    "(SELECT count(*) FROM v_all_kept WHERE len(labels) = 0) AS n_lost",
+)
+oracle(
+    "missing_labels",
+    "SELECT label_idx, label FROM v_label_index WHERE label NOT IN "
+    "(SELECT DISTINCT unnest(labels) FROM v_test_parsed)",
+)
+oracle(
+    "length_stats",
+    """
+WITH l AS (SELECT length(description) AS n FROM v_corpus WHERE length(description) > 0)
+SELECT count(*) AS n_texts, CAST(min(n) AS BIGINT) AS min, CAST(max(n) AS BIGINT) AS max, round(avg(n), 6) AS mean,
+  round(quantile_cont(n, 0.5), 6) AS median, round(quantile_cont(n, 0.25), 6) AS q25, round(quantile_cont(n, 0.75), 6) AS q75,
+  CAST(trunc(quantile_cont(n, 0.25)) AS BIGINT) AS optimal_min, CAST(trunc(quantile_cont(n, 0.75)) AS BIGINT) AS optimal_max
+FROM l
+""",
+)
+oracle(
+    "length_validation",
+    """
+WITH b AS (SELECT CAST(trunc(quantile_cont(length(description), 0.25)) AS BIGINT) AS lo,
+                  CAST(trunc(quantile_cont(length(description), 0.75)) AS BIGINT) AS hi
+           FROM v_corpus WHERE length(description) > 0),
+r AS (SELECT row_id, CAST(length(coalesce(description, '')) AS BIGINT) AS length FROM v_requests)
+SELECT row_id, length, length >= lo AND length <= hi AS is_optimal,
+  CASE WHEN length < lo THEN 'Description is too short (' || length || ' chars). Recommended minimum: ' || lo
+         || ' characters. Shorter descriptions may result in less accurate predictions.'
+       WHEN length > hi THEN 'Description is quite long (' || length || ' chars). Recommended maximum: ' || hi
+         || ' characters. Very long descriptions may not improve accuracy.' END AS recommendation,
+  lo AS optimal_min, hi AS optimal_max
+FROM r, b
+""",
+)
+oracle(
+    "validate_requests",
+    """
+SELECT row_id, reason IS NULL AS valid, reason FROM (
+  SELECT row_id, CASE WHEN description IS NULL OR length(description) < 1 THEN 'too_short'
+                      WHEN length(description) > 10000 THEN 'too_long' END AS reason FROM v_requests) t
+""",
+)
+oracle(
+    "score_input",
+    f"SELECT row_id, d AS description FROM (SELECT row_id, regexp_replace(coalesce(description, ''), '{STRIP}', '', 'g') AS d "
+    "FROM v_requests) t WHERE length(d) > 0",
+)
+oracle("train_test_split", "SELECT row_id, is_test FROM v_split")
+oracle("kfold_assign", f"SELECT row_id, CAST({split_hash_sql('row_id')} % 5 AS INTEGER) AS fold FROM v_train_docs")
+
+_RAW = f"regexp_extract_all(lower(coalesce(description, '')), '{TOKEN_PATTERN}')"
+oracle(
+    "tokenize",
+    f"SELECT row_id, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM (SELECT row_id, {_RAW} AS t FROM v_corpus) s",
+)
+from tagwise.plans.oracle_ctes import tokens_sql  # noqa: E402
+
+oracle(
+    "stopwords",
+    f"SELECT row_id, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 "
+    f"FROM (SELECT row_id, {tokens_sql('description')} AS t FROM v_corpus) s",
+)
+oracle(
+    "ngrams",
+    f"SELECT row_id, CAST(len(g) AS BIGINT) AS n_grams, md5(array_to_string(g, '|')) AS grams_md5 FROM ("
+    f"SELECT row_id, {ngram_sql('toks', 1, 3)} AS g FROM (SELECT row_id, {tokens_sql('description')} AS toks FROM v_corpus) t) s",
+)
+oracle("term_counts", "SELECT row_id, term, tf FROM v_tr_tc")
+oracle(
+    "vocabulary",
+    "SELECT term, count(*) AS df, sum(tf) AS ttf FROM v_tr_tc GROUP BY term "
+    "HAVING count(*) >= 3 AND count(*) <= 0.7e0 * (SELECT n FROM v_n_train)",
+)
+oracle("vocabulary_topn", "SELECT term, feat_idx, df, ttf, round(idf, 6) AS idf FROM v_vocab")
+oracle("tfidf_fit", "SELECT row_id, feat_idx, round(value, 6) AS value FROM v_tr_x")
+oracle("tfidf_transform", "SELECT row_id, feat_idx, round(value, 6) AS value FROM v_te_x0")
+oracle(
+    "l2_normalize",
+    "SELECT row_id, feat_idx, round(coalesce(value / sqrt(sum(value * value) OVER (PARTITION BY row_id)), 0.0), 6) AS value FROM v_tr_x",
+)
+oracle("chi2_scores", "SELECT feat_idx, round(score, 6) AS score FROM v_chi2")
+oracle("select_k_best", "SELECT feat_idx, sel_idx, round(score, 6) AS score FROM v_selected")
+oracle("mutual_info_scores", "SELECT feat_idx, round(score, 6) AS score FROM v_mi")
+oracle(
+    "feature_label_table",
+    """
+SELECT d.row_id, CAST(coalesce(f.n, 0) AS BIGINT) AS n_features, round(coalesce(f.s, 0.0), 6) AS value_sum,
+       array_to_string(l.labels, ',') AS labels
+FROM v_train_docs d
+JOIN (SELECT y.row_id, list(i.label ORDER BY i.label) AS labels FROM v_tr_y y JOIN v_label_index i ON i.label_idx = y.label_idx
+      GROUP BY y.row_id) l ON l.row_id = d.row_id
+LEFT JOIN (SELECT row_id, count(*) AS n, sum(value) AS s FROM v_tr_xs GROUP BY row_id) f ON f.row_id = d.row_id
+""",
+)
+oracle("prepare_features", "SELECT row_id, feat_idx, round(value, 6) AS value FROM v_tr_xs")
+oracle("nb_fit", "SELECT feat_idx, label_idx, round(w, 6) AS w FROM v_nb_coef")
+oracle("linear_scores", "SELECT row_id, label_idx, round(score, 6) AS score, CAST(score > 0 AS INTEGER) AS pred FROM v_te_scores")
+oracle(
+    "prediction_report",
+    """
+SELECT t.row_id,
+  CASE WHEN length(t.description) > 100 THEN substr(t.description, 1, 100) || '...' ELSE t.description END AS description,
+  CASE WHEN len(p.labels) = 0 THEN 'None' ELSE array_to_string(p.labels, ', ') END AS predicted_genres,
+  CAST(len(p.labels) AS BIGINT) AS genre_count
+FROM v_test_parsed t JOIN v_te_pred p ON p.row_id = t.row_id
+""",
+)
+oracle(
+    "prediction_merged",
+    """
+SELECT t.row_id, t.movie_name, t.genre,
+  CASE WHEN len(p.labels) = 0 THEN 'None' ELSE array_to_string(p.labels, ', ') END AS predicted_genres,
+  CAST(len(p.labels) AS BIGINT) AS genre_count
+FROM v_test_parsed t LEFT JOIN v_te_pred p ON p.row_id = t.row_id
+""",
+)

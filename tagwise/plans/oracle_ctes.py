@@ -493,3 +493,48 @@ FROM (SELECT CAST(sum(t * p) AS BIGINT) AS tp, CAST(sum((1 - t) * p) AS BIGINT)
               UNION ALL SELECT row_id, label_idx, 0 AS t, 1 AS p FROM v_pl_pred) u GROUP BY row_id, label_idx) f) s
 """,
 )
+
+
+# ---- all-movie label keys
+C.add("v_all_pairs", "SELECT row_id, unnest(labels) AS label FROM v_parsed_all")
+C.add(
+    "v_all_freq",
+    """
+SELECT label, count(*) AS n,
+       CAST(count(*) AS DOUBLE) * 100.0::DOUBLE / CAST((SELECT count(*) FROM v_parsed_all) AS DOUBLE) AS pct
+FROM v_all_pairs GROUP BY label
+""",
+)
+C.add(
+    "v_all_index",
+    f"SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS label_idx, label FROM v_all_freq WHERE pct >= {dbl(MIN_PCT)}",
+)
+C.add(
+    "v_all_kept",
+    """
+SELECT r.row_id, coalesce(k.labels, []::VARCHAR[]) AS labels FROM v_parsed_all r LEFT JOIN (
+  SELECT p.row_id, list(p.label ORDER BY p.label) AS labels FROM v_all_pairs p JOIN v_all_index i ON i.label = p.label
+  GROUP BY p.row_id) k ON k.row_id = r.row_id
+""",
+)
+
+# ---- mutual information (presence buckets) on the training tf-idf
+def _mi_cell(nab: str, na: str, nb: str) -> str:
+    n = "CAST((SELECT n FROM v_n_train) AS DOUBLE)"
+    return (
+        f"(CASE WHEN ({nab}) > 0 THEN CAST({nab} AS DOUBLE) / {n} * "
+        f"ln(CAST({nab} AS DOUBLE) * {n} / (CAST({na} AS DOUBLE) * CAST({nb} AS DOUBLE))) ELSE 0.0::DOUBLE END)"
+    )
+
+
+_N = "(SELECT n FROM v_n_train)"
+C.add(
+    "v_mi",
+    f"""
+SELECT feat_idx, sum(
+  {_mi_cell('n11', 'n1', 'n_pos')} + {_mi_cell('n1 - n11', 'n1', f'{_N} - n_pos')}
+  + {_mi_cell('n_pos - n11', f'{_N} - n1', 'n_pos')} + {_mi_cell(f'{_N} - n1 - n_pos + n11', f'{_N} - n1', f'{_N} - n_pos')}
+) / CAST((SELECT count(*) FROM v_label_index) AS DOUBLE) AS score
+FROM v_tr_grid GROUP BY feat_idx
+""",
+)

@@ -69,6 +69,8 @@ class PreparedTrain:
     y: DataFrame  # (row_id, label_idx)
     rows: DataFrame  # (row_id, description, labels)
     stats: TrainingStats
+    x_all: DataFrame  # tf-idf before selection
+    scores: DataFrame  # feature scores used for selection
 
 
 def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineParams()) -> PreparedTrain:
@@ -84,7 +86,9 @@ def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineP
     scores = SCORE_FUNCTIONS[params.score_fn](x_all, y, stats)
     sel = select_k_best(scores, params.k_features)
     x = apply_selection(x_all, sel).persist(StorageLevel.MEMORY_AND_DISK)
-    return PreparedTrain(FeatureState(labels, tfidf, sel), x, y, rows, TrainingStats(n_rows, labels.n_labels, sel.k))
+    return PreparedTrain(
+        FeatureState(labels, tfidf, sel), x, y, rows, TrainingStats(n_rows, labels.n_labels, sel.k), x_all, scores
+    )
 
 
 def transform(state: FeatureState, docs: DataFrame) -> DataFrame:

@@ -322,3 +322,273 @@ def q_threshold_compare(spark, sf_dir):
 def q_best_threshold(spark, sf_dir):
     g, n, L, _ = _grid(spark, sf_dir, TU.SENSITIVITY_GRID)
     return _r6_all(TU.best_point(TU.threshold_sensitivity(g), "threshold", "f1"))
+
+
+# ---------------------------------------------------------------- sources, cleaning, labels
+from tagwise.functions.exprs import fold_of, is_test, strip_ws, truncate_text  # noqa: E402
+from tagwise.operators import clean as CL  # noqa: E402
+from tagwise.operators import labels as LB  # noqa: E402
+from tagwise.operators import select as SE  # noqa: E402
+from tagwise.operators import text as TX  # noqa: E402
+from tagwise.sources import io as IO  # noqa: E402
+
+
+@query("scan_docs")
+def q_scan_docs(spark, sf_dir):
+    """The movie table written as CSV (quoted, multi-line) and scanned back with the explicit schema."""
+    import hashlib
+
+    path = IO.scratch_dir(spark, "movies_csv_" + hashlib.md5(sf_dir.encode()).hexdigest()[:12])
+    IO.write_csv(tables.movies(spark, sf_dir), path, force=True)
+    return IO.read_csv(spark, path)
+
+
+@query("dedup_titles")
+def q_dedup_titles(spark, sf_dir):
+    return CL.first_per_key(tables.titles(spark, sf_dir), "movie_name")
+
+
+@query("clean_titles")
+def q_clean_titles(spark, sf_dir):
+    return CL.clean_titles(tables.movies(spark, sf_dir)).select("row_id", "movie_name", "genre")
+
+
+@query("text_nulls")
+def q_text_nulls(spark, sf_dir):
+    return CL.text_null_stats(CL.clean_titles(tables.movies(spark, sf_dir)))
+
+
+def _parsed_all(spark, sf_dir):
+    return LB.parse_label_column(tables.movies(spark, sf_dir))
+
+
+@query("parse_labels")
+def q_parse_labels(spark, sf_dir):
+    p = _parsed_all(spark, sf_dir)
+    return p.select("row_id", joined("labels").alias("labels"), F.size("labels").cast("long").alias("n_labels"))
+
+
+@query("label_frequency")
+def q_label_frequency(spark, sf_dir):
+    return _r6_all(LB.label_frequency(_parsed_all(spark, sf_dir)))
+
+
+@query("rare_labels")
+def q_rare_labels(spark, sf_dir):
+    f = LB.label_frequency(_parsed_all(spark, sf_dir))
+    return _r6_all(f.withColumn("kept", F.col("pct") >= F.lit(LB.DEFAULT_MIN_LABEL_PCT)))
+
+
+def _all_index(spark, sf_dir):
+    p = _parsed_all(spark, sf_dir)
+    return p, LB.fit_labels(p)
+
+
+@query("label_index")
+def q_label_index(spark, sf_dir):
+    _, idx = _all_index(spark, sf_dir)
+    return idx.table
+
+
+@query("restrict_labels")
+def q_restrict_labels(spark, sf_dir):
+    p, idx = _all_index(spark, sf_dir)
+    return LB.restrict_labels(p, idx).select("row_id", joined("labels").alias("labels"))
+
+
+@query("multi_hot")
+def q_multi_hot(spark, sf_dir):
+    p, idx = _all_index(spark, sf_dir)
+    return LB.multi_hot(p, idx)
+
+
+@query("label_stats")
+def q_label_stats(spark, sf_dir):
+    p, idx = _all_index(spark, sf_dir)
+    return _r6_all(LB.label_stats(p, idx))
+
+
+@query("missing_labels")
+def q_missing_labels(spark, sf_dir):
+    fitted, _, _, test = fitted_nb(spark, sf_dir)
+    return LB.missing_labels(fitted.features.labels, test)
+
+
+def _corpus(spark, sf_dir):
+    return P.corpus(spark, sf_dir)
+
+
+@query("length_stats")
+def q_length_stats(spark, sf_dir):
+    return _r6_all(CL.length_stats(_corpus(spark, sf_dir)))
+
+
+@query("length_validation")
+def q_length_validation(spark, sf_dir):
+    lo, hi = CL.length_bounds(CL.length_stats(_corpus(spark, sf_dir)))
+    return CL.length_validation(tables.requests(spark, sf_dir), lo, hi)
+
+
+@query("validate_requests")
+def q_validate_requests(spark, sf_dir):
+    return CL.validate_requests(tables.requests(spark, sf_dir)).select("row_id", "valid", "reason")
+
+
+@query("score_input")
+def q_score_input(spark, sf_dir):
+    return CL.score_input(tables.requests(spark, sf_dir), "description")
+
+
+@query("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    return _corpus(spark, sf_dir).select("row_id", is_test(F.col("row_id")).alias("is_test"))
+
+
+@query("kfold_assign")
+def q_kfold_assign(spark, sf_dir):
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    return prep.rows.select("row_id", fold_of(F.col("row_id")).alias("fold"))
+
+
+def _grams(spark, sf_dir):
+    return TX.doc_grams(_corpus(spark, sf_dir), TX.VectorizerParams())
+
+
+@query("tokenize")
+def q_tokenize(spark, sf_dir):
+    g = _grams(spark, sf_dir)
+    return g.select("row_id", F.size("_raw").cast("long").alias("n_tokens"), F.md5(F.array_join("_raw", " ")).alias("tokens_md5"))
+
+
+@query("stopwords")
+def q_stopwords(spark, sf_dir):
+    g = _grams(spark, sf_dir)
+    return g.select("row_id", F.size("_toks").cast("long").alias("n_tokens"), F.md5(F.array_join("_toks", " ")).alias("tokens_md5"))
+
+
+@query("ngrams")
+def q_ngrams(spark, sf_dir):
+    g = _grams(spark, sf_dir)
+    return g.select("row_id", F.size("_grams").cast("long").alias("n_grams"), F.md5(F.array_join("_grams", "|")).alias("grams_md5"))
+
+
+@query("term_counts")
+def q_term_counts(spark, sf_dir):
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    return TX.term_counts(prep.rows, TX.VectorizerParams())
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf_dir):
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    p = TX.VectorizerParams()
+    n = prep.stats.n_rows
+    return TX.prune_terms(TX.doc_freq(TX.term_counts(prep.rows, p)), p, n)
+
+
+@query("vocabulary_topn")
+def q_vocabulary_topn(spark, sf_dir):
+    fitted, _, _, _ = fitted_nb(spark, sf_dir)
+    return _r6_all(fitted.features.tfidf.vocab)
+
+
+@query("tfidf_fit")
+def q_tfidf_fit(spark, sf_dir):
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    return _r6_all(prep.x_all)
+
+
+@query("tfidf_transform")
+def q_tfidf_transform(spark, sf_dir):
+    fitted, _, _, test = fitted_nb(spark, sf_dir)
+    return _r6_all(TX.transform_tfidf(test, fitted.features.tfidf))
+
+
+@query("l2_normalize")
+def q_l2_normalize(spark, sf_dir):
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    return _r6_all(TX.l2_normalize(prep.x_all))
+
+
+@query("chi2_scores")
+def q_chi2_scores(spark, sf_dir):
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    return _r6_all(prep.scores)
+
+
+@query("select_k_best")
+def q_select_k_best(spark, sf_dir):
+    fitted, _, _, _ = fitted_nb(spark, sf_dir)
+    return _r6_all(fitted.features.selection.table)
+
+
+@query("mutual_info_scores")
+def q_mutual_info_scores(spark, sf_dir):
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    st = SE.TrainingStats(prep.stats.n_rows, prep.stats.n_labels, prep.state.tfidf.n_features)
+    return _r6_all(SE.mutual_info_scores(prep.x_all, prep.y, st))
+
+
+@query("feature_label_table")
+def q_feature_label_table(spark, sf_dir):
+    """Features and labels side by side per training row (long features, label list)."""
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    feats = prep.x.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_features"), F.sum("value").alias("value_sum"))
+    out = prep.rows.select("row_id", "labels").join(feats, "row_id", "left")
+    return _r6_all(
+        out.select(
+            "row_id",
+            F.coalesce("n_features", F.lit(0)).cast("long").alias("n_features"),
+            F.coalesce("value_sum", F.lit(0.0)).alias("value_sum"),
+            joined("labels").alias("labels"),
+        )
+    )
+
+
+@query("prepare_features")
+def q_prepare_features(spark, sf_dir):
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    return _r6_all(prep.x)
+
+
+@query("nb_fit")
+def q_nb_fit(spark, sf_dir):
+    fitted, _, _, _ = fitted_nb(spark, sf_dir)
+    return _r6_all(fitted.model.coef.select("feat_idx", "label_idx", "w"))
+
+
+def _test_scores(spark, sf_dir):
+    fitted, _, _, test = fitted_nb(spark, sf_dir)
+    return P.score(fitted, test.select("row_id", "description"))
+
+
+@query("linear_scores")
+def q_linear_scores(spark, sf_dir):
+    from tagwise.operators.linear import baseline_predictions
+
+    s = baseline_predictions(_test_scores(spark, sf_dir))
+    return s.select("row_id", "label_idx", r6(F.col("score")).alias("score"), "pred")
+
+
+def _test_predictions(spark, sf_dir):
+    fitted, _, _, test = fitted_nb(spark, sf_dir)
+    pred = P.predict(fitted, test.select("row_id", "description"))
+    return test, pred
+
+
+@query("prediction_report")
+def q_prediction_report(spark, sf_dir):
+    test, pred = _test_predictions(spark, sf_dir)
+    rep = CL.prediction_report(test.select("row_id", "description").join(pred, "row_id", "left"))
+    return rep
+
+
+@query("prediction_merged")
+def q_prediction_merged(spark, sf_dir):
+    """The original input columns with predictions, joined on row_id (never by position)."""
+    test, pred = _test_predictions(spark, sf_dir)
+    merged = test.select("row_id", "movie_name", "genre").join(pred, "row_id", "left")
+    return merged.select(
+        "row_id", "movie_name", "genre", CL.render_labels(F.col("labels")).alias("predicted_genres"),
+        F.size("labels").cast("long").alias("genre_count"),
+    )
