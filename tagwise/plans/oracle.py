@@ -345,3 +345,40 @@ SELECT t.row_id, t.movie_name, t.genre,
 FROM v_test_parsed t LEFT JOIN v_te_pred p ON p.row_id = t.row_id
 """,
 )
+
+_CV = """
+SELECT candidate, avg(train_score) AS train_mean, stddev_pop(train_score) AS train_std,
+       avg(val_score) AS val_mean, stddev_pop(val_score) AS val_std, count(*) AS n_folds
+FROM v_candidates GROUP BY candidate
+"""
+oracle(
+    "cv_summary",
+    f"SELECT candidate, round(train_mean, 6) AS train_mean, round(train_std, 6) AS train_std, round(val_mean, 6) AS val_mean, "
+    f"round(val_std, 6) AS val_std, n_folds FROM ({_CV}) s",
+)
+oracle(
+    "overfit_bands",
+    f"SELECT candidate, round(train_mean - val_mean, 6) AS gap, CASE WHEN train_mean - val_mean > 0.05e0 THEN 'warning' "
+    f"WHEN train_mean - val_mean > 0.02e0 THEN 'caution' ELSE 'good' END AS band FROM ({_CV}) s",
+)
+oracle(
+    "pipeline_ranking",
+    f"""
+WITH s AS ({_CV}), b AS (SELECT val_mean AS bm FROM s WHERE candidate = 'view')
+SELECT candidate, round(val_mean, 6) AS val_mean, round(val_std, 6) AS val_std,
+  CAST(row_number() OVER (ORDER BY round(val_mean, 12) DESC, candidate ASC) AS INTEGER) AS rank,
+  round(val_mean - bm, 6) AS improvement,
+  round(CASE WHEN bm <> 0 THEN (val_mean - bm) / abs(bm) * 100.0 END, 6) AS improvement_pct
+FROM s, b
+""",
+)
+oracle("run_search", "SELECT run_id, metric, tag FROM v_runs WHERE tag = 'F' ORDER BY metric DESC, run_id ASC LIMIT 100")
+oracle(
+    "table_fingerprint",
+    """
+SELECT count(*) AS n_rows, bit_xor(('0x' || substr(md5(concat_ws('|',
+  coalesce(CAST(doc_id AS VARCHAR), '\\N'), coalesce(text, '\\N'), coalesce(lang, '\\N'), coalesce(source, '\\N'),
+  coalesce(CAST(n_chars AS VARCHAR), '\\N'))), 1, 15))::BIGINT) AS fingerprint
+FROM documents
+""",
+)

@@ -592,3 +592,35 @@ def q_prediction_merged(spark, sf_dir):
         "row_id", "movie_name", "genre", CL.render_labels(F.col("labels")).alias("predicted_genres"),
         F.size("labels").cast("long").alias("genre_count"),
     )
+
+
+# ---------------------------------------------------------------- CV tables, ledger, fingerprint
+BASELINE_CANDIDATE = "view"
+
+
+@query("cv_summary")
+def q_cv_summary(spark, sf_dir):
+    return _r6_all(TU.cv_summary(tables.candidates(spark, sf_dir)))
+
+
+@query("overfit_bands")
+def q_overfit_bands(spark, sf_dir):
+    return _r6_all(TU.overfit_bands(TU.cv_summary(tables.candidates(spark, sf_dir))))
+
+
+@query("pipeline_ranking")
+def q_pipeline_ranking(spark, sf_dir):
+    return _r6_all(TU.rank_candidates(TU.cv_summary(tables.candidates(spark, sf_dir)), BASELINE_CANDIDATE))
+
+
+@query("run_search")
+def q_run_search(spark, sf_dir):
+    """Runs tagged 'F', best metric first (ties by run id), default limit 100."""
+    return IO.search_runs(tables.runs(spark, sf_dir), "tag = 'F'", ["metric DESC", "run_id ASC"]).select(
+        "run_id", "metric", "tag"
+    )
+
+
+@query("table_fingerprint")
+def q_table_fingerprint(spark, sf_dir):
+    return IO.table_fingerprint(tables.table(spark, sf_dir, "documents"))
