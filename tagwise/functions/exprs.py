@@ -13,6 +13,7 @@ TITLE_SPACE_PATTERN = r"[ -]+"
 TITLE_DROP_PATTERN = r"[^a-z0-9_]"
 # tokens: maximal runs of at least two word characters (letters, digits, underscore)
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
+TOKEN_GAP_PATTERN = r"[^\p{L}\p{N}_]+"
 LABEL_SEPARATOR = ","
 # portable train/test split: first 8 hex digits of md5("<row_id>:<seed>") against fraction * 2^32
 SPLIT_SPACE = 4294967296

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark.ml.feature import NGram, StopWordsRemover
+from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
 
-from tagwise.functions.exprs import tokens
+from tagwise.functions.exprs import TOKEN_GAP_PATTERN, tokens  # noqa: F401
 from tagwise.functions.stopwords import token_stop_words
 from tagwise.operators.indexing import dense_index
 from tagwise.plans.broadcast import small
@@ -60,7 +61,10 @@ def doc_grams(docs: DataFrame, params: VectorizerParams, text_col: str = "descri
     several times faster than the equivalent SQL higher-order functions.
     """
     lo, hi = params.ngram_range
-    cur = docs.select("row_id", tokens(F.col(text_col)).alias("_raw"))
+    # maximal runs of >= 2 word characters == gaps of non-word characters, tokens of length >= 2
+    cur = RegexTokenizer(
+        inputCol="_low", outputCol="_raw", pattern=TOKEN_GAP_PATTERN, gaps=True, minTokenLength=2, toLowercase=False
+    ).transform(docs.select("row_id", F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_low")))
     if params.stop_words:
         cur = StopWordsRemover(
             inputCol="_raw", outputCol="_toks", stopWords=list(params.stop_words), caseSensitive=True
@@ -137,12 +141,13 @@ class TfidfState:
     n_docs: int
     n_features: int
     params: VectorizerParams
+    counts: DataFrame | None = None  # persisted (row_id, term, tf) of the fitted rows, for reuse
 
 
 def fit_tfidf(docs: DataFrame, params: VectorizerParams = VectorizerParams(), text_col: str = "description") -> TfidfState:
     """T5/T6/T8 fit on the given (training) rows only."""
     n_docs = docs.count()
-    tc = term_counts(docs, params, text_col)
+    tc = term_counts(docs, params, text_col).persist(StorageLevel.MEMORY_AND_DISK)
     kept = cap_terms(prune_terms(doc_freq(tc), params, n_docs), params.max_features)
     kept = materialize(kept)
     n_feat = kept.count()
@@ -150,7 +155,7 @@ def fit_tfidf(docs: DataFrame, params: VectorizerParams = VectorizerParams(), te
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
     vocab = dense_index(kept, "term", "feat_idx", n_feat)
     vocab = vocab.select("term", "feat_idx", "df", "ttf", idf_expr(n_docs, params.smooth_idf).alias("idf"))
-    return TfidfState(materialize(vocab), n_docs, n_feat, params)
+    return TfidfState(materialize(vocab), n_docs, n_feat, params, tc)
 
 
 def weight_expr(tf_col: str, params: VectorizerParams):

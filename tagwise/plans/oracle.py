@@ -382,3 +382,9 @@ SELECT count(*) AS n_rows, bit_xor(('0x' || substr(md5(concat_ws('|',
 FROM documents
 """,
 )
+
+oracle(
+    "stream_predict",
+    "SELECT row_id, array_to_string(labels, ',') AS predicted, CAST(len(labels) AS BIGINT) AS n_labels FROM v_rq_pred",
+)
+oracle("stream_quarantine", "SELECT row_id, reason FROM v_req_checked WHERE reason IS NOT NULL")

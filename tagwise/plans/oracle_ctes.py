@@ -538,3 +538,40 @@ SELECT feat_idx, sum(
 FROM v_tr_grid GROUP BY feat_idx
 """,
 )
+
+
+# ---- scoring arbitrary request rows with the NB model (streaming keys)
+C.add(
+    "v_req_checked",
+    """
+SELECT row_id, description, CASE WHEN description IS NULL OR length(description) < 1 THEN 'too_short'
+                                 WHEN length(description) > 10000 THEN 'too_long' END AS reason
+FROM v_requests
+""",
+)
+C.add("v_req_valid", "SELECT row_id, description FROM v_req_checked WHERE reason IS NULL")
+tfidf_cte("v_rq_x0", "v_req_valid")
+C.add(
+    "v_rq_x",
+    "SELECT x.row_id, s.sel_idx AS feat_idx, x.value FROM v_rq_x0 x JOIN v_selected s ON x.feat_idx = s.feat_idx",
+)
+C.add(
+    "v_rq_scores",
+    """
+SELECT r.row_id, li.label_idx, 1.0::DOUBLE / (1.0::DOUBLE + exp(-coalesce(s.score, 0.0))) AS proba
+FROM v_req_valid r CROSS JOIN v_label_index li
+LEFT JOIN (SELECT x.row_id, c.label_idx, sum(x.value * c.w) AS score FROM v_rq_x x JOIN v_nb_coef c ON x.feat_idx = c.feat_idx
+           GROUP BY x.row_id, c.label_idx) s ON s.row_id = r.row_id AND s.label_idx = li.label_idx
+""",
+)
+C.add(
+    "v_rq_pred",
+    f"""
+SELECT r.row_id, coalesce(p.labels, []::VARCHAR[]) AS labels FROM v_req_valid r LEFT JOIN (
+  SELECT c.row_id, list(li.label ORDER BY c.label_idx) AS labels FROM (
+    SELECT row_id, label_idx FROM (
+      SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY round(proba, 12) DESC, label_idx DESC) AS rk
+      FROM v_rq_scores WHERE proba >= {dbl(THRESHOLD)}) t WHERE rk <= {TOP_K}) c
+  JOIN v_label_index li ON li.label_idx = c.label_idx GROUP BY c.row_id) p ON p.row_id = r.row_id
+""",
+)

@@ -20,7 +20,7 @@ from tagwise.operators.clean import clean_titles, fill_text
 from tagwise.operators.labels import LabelIndex, decode_labels, fit_labels, multi_hot, parse_label_column, restrict_labels
 from tagwise.operators.linear import LinearModel, decision_scores
 from tagwise.operators.select import SCORE_FUNCTIONS, Selection, TrainingStats, apply_selection, select_k_best
-from tagwise.operators.text import TfidfState, VectorizerParams, fit_tfidf, transform_tfidf
+from tagwise.operators.text import TfidfState, VectorizerParams, fit_tfidf, tfidf_from_counts, transform_tfidf
 from tagwise.sources import tables
 
 
@@ -80,12 +80,14 @@ def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineP
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     y = multi_hot(rows, labels).persist(StorageLevel.MEMORY_AND_DISK)
     tfidf = fit_tfidf(rows, params.vectorizer)
-    x_all = transform_tfidf(rows, tfidf).persist(StorageLevel.MEMORY_AND_DISK)
+    # the fitted rows' term counts are reused: no second tokenisation pass over the training texts
+    x_all = tfidf_from_counts(tfidf.counts, tfidf).persist(StorageLevel.MEMORY_AND_DISK)
     n_rows = rows.count()
     stats = TrainingStats(n_rows, labels.n_labels, tfidf.n_features)
     scores = SCORE_FUNCTIONS[params.score_fn](x_all, y, stats)
     sel = select_k_best(scores, params.k_features)
     x = apply_selection(x_all, sel).persist(StorageLevel.MEMORY_AND_DISK)
+    tfidf.counts.unpersist()
     return PreparedTrain(
         FeatureState(labels, tfidf, sel), x, y, rows, TrainingStats(n_rows, labels.n_labels, sel.k), x_all, scores
     )

@@ -40,7 +40,10 @@ def fitted_nb(spark: SparkSession, sf_dir: str):
     """Default pipeline fitted on the training split (cached per session and input folder)."""
     key = (id(spark), sf_dir, "nb")
     if key not in _FIT_CACHE:
-        train, test = P.split(P.corpus(spark, sf_dir))
+        from pyspark import StorageLevel
+
+        corpus = P.corpus(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        train, test = P.split(corpus)
         fitted, prep = P.fit_pipeline(train)
         _FIT_CACHE[key] = (fitted, prep, train, test)
     return _FIT_CACHE[key]
@@ -624,3 +627,27 @@ def q_run_search(spark, sf_dir):
 @query("table_fingerprint")
 def q_table_fingerprint(spark, sf_dir):
     return IO.table_fingerprint(tables.table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- streaming scorer
+_STREAM_CACHE: dict = {}
+
+
+def _stream(spark, sf_dir):
+    from tagwise.streaming.scorer import run_scorer
+
+    key = (id(spark), sf_dir)
+    if key not in _STREAM_CACHE:
+        fitted, _, _, _ = fitted_nb(spark, sf_dir)
+        _STREAM_CACHE[key] = run_scorer(spark, sf_dir, fitted)
+    return _STREAM_CACHE[key]
+
+
+@query("stream_predict")
+def q_stream_predict(spark, sf_dir):
+    return _stream(spark, sf_dir)[0]
+
+
+@query("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    return _stream(spark, sf_dir)[1]
