@@ -651,3 +651,37 @@ def q_stream_predict(spark, sf_dir):
 @query("stream_quarantine")
 def q_stream_quarantine(spark, sf_dir):
     return _stream(spark, sf_dir)[1]
+
+
+# ---------------------------------------------------------------- linear trainers (rows-only keys)
+def _fit_linear(spark, sf_dir, kind):
+    from tagwise.operators.trainer import fit_linear
+
+    key = (id(spark), sf_dir, kind)
+    if key not in _FIT_CACHE:
+        fitted, prep, _, test = fitted_nb(spark, sf_dir)
+        model = fit_linear(prep.x, prep.y, prep.stats, kind=kind, C=0.1, alpha=1.0, rows=prep.rows.select("row_id"))
+        _FIT_CACHE[key] = P.FittedPipeline(fitted.features, model, P.PipelineParams(model=kind)), test
+    return _FIT_CACHE[key]
+
+
+@query("svm_scores")
+def q_svm_scores(spark, sf_dir):
+    """L3: squared-hinge one-vs-rest SVM (C=0.1, balanced) decision scores for the held-out rows."""
+    f, test = _fit_linear(spark, sf_dir, "svm")
+    return P.score(f, test.select("row_id", "description")).select("row_id", "label_idx", r6(F.col("score")).alias("score"))
+
+
+@query("ridge_scores")
+def q_ridge_scores(spark, sf_dir):
+    """One-vs-rest ridge classifier (alpha=1, balanced) decision scores for the held-out rows."""
+    f, test = _fit_linear(spark, sf_dir, "ridge")
+    return P.score(f, test.select("row_id", "description")).select("row_id", "label_idx", r6(F.col("score")).alias("score"))
+
+
+@query("pipeline_predict")
+def q_pipeline_predict(spark, sf_dir):
+    """The default SVM pipeline end to end on the held-out rows (threshold 0.55, top-3)."""
+    f, test = _fit_linear(spark, sf_dir, "svm")
+    pred = P.predict(f, test.select("row_id", "description"))
+    return pred.select("row_id", joined("labels").alias("predicted"), F.size("labels").cast("long").alias("n_labels"))
