@@ -388,3 +388,16 @@ oracle(
     "SELECT row_id, array_to_string(labels, ',') AS predicted, CAST(len(labels) AS BIGINT) AS n_labels FROM v_rq_pred",
 )
 oracle("stream_quarantine", "SELECT row_id, reason FROM v_req_checked WHERE reason IS NOT NULL")
+
+_CURVE_COLS = ("round(alpha, 6) AS alpha, round(train_mean, 6) AS train_mean, round(train_std, 6) AS train_std, "
+               "round(val_mean, 6) AS val_mean, round(val_std, 6) AS val_std")
+oracle(
+    "nb_grid_search",
+    f"SELECT {_CURVE_COLS}, CAST(row_number() OVER (ORDER BY round(val_mean, 12) DESC, alpha ASC) AS INTEGER) AS rank FROM v_nbg_curve",
+)
+oracle("nb_validation_curve", f"SELECT {_CURVE_COLS} FROM v_nbc_curve")
+oracle(
+    "nearest_candidate",
+    "SELECT round(alpha, 6) AS alpha, round(train_mean, 6) AS train_mean, round(val_mean, 6) AS val_mean, "
+    "round(train_mean - val_mean, 6) AS gap FROM v_nbc_curve ORDER BY abs(alpha - 1.0e0), alpha LIMIT 1",
+)

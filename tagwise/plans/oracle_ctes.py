@@ -575,3 +575,91 @@ SELECT r.row_id, coalesce(p.labels, []::VARCHAR[]) AS labels FROM v_req_valid r
   JOIN v_label_index li ON li.label_idx = c.label_idx GROUP BY c.row_id) p ON p.row_id = r.row_id
 """,
 )
+
+
+# ---- naive Bayes k-fold curves
+def nb_cv_ctes(prefix: str, alphas, k: int = 5) -> None:
+    al = "[" + ", ".join(dbl(a) for a in alphas) + "]"
+    C.add(f"{prefix}_folds", f"SELECT row_id, CAST({split_hash_sql('row_id')} % {k} AS INTEGER) AS g FROM v_train_docs")
+    C.add(f"{prefix}_x", f"SELECT x.row_id, x.feat_idx, x.value, f.g FROM v_tr_xs x JOIN {prefix}_folds f ON f.row_id = x.row_id")
+    C.add(f"{prefix}_hs", f"SELECT CAST(h AS INTEGER) AS h FROM range(0, {k}) r(h)")
+    C.add(
+        f"{prefix}_obs",
+        f"""
+SELECT hs.h, o.feat_idx, o.label_idx, sum(o.obs) AS obs FROM (
+  SELECT x.g, x.feat_idx, y.label_idx, sum(x.value) AS obs FROM {prefix}_x x JOIN v_tr_y y ON y.row_id = x.row_id
+  GROUP BY x.g, x.feat_idx, y.label_idx) o JOIN {prefix}_hs hs ON hs.h <> o.g
+GROUP BY hs.h, o.feat_idx, o.label_idx
+""",
+    )
+    C.add(
+        f"{prefix}_fc",
+        f"""
+SELECT hs.h, c.feat_idx, sum(c.fc) AS fc FROM (SELECT g, feat_idx, sum(value) AS fc FROM {prefix}_x GROUP BY g, feat_idx) c
+JOIN {prefix}_hs hs ON hs.h <> c.g GROUP BY hs.h, c.feat_idx
+""",
+    )
+    C.add(
+        f"{prefix}_grid",
+        f"""
+SELECT f.h, f.feat_idx, li.label_idx, coalesce(o.obs, 0.0) AS n1c, f.fc - coalesce(o.obs, 0.0) AS n0c
+FROM {prefix}_fc f CROSS JOIN v_label_index li
+LEFT JOIN {prefix}_obs o ON o.h = f.h AND o.feat_idx = f.feat_idx AND o.label_idx = li.label_idx
+""",
+    )
+    C.add(
+        f"{prefix}_coef",
+        f"""
+SELECT CAST(c.i - 1 AS INTEGER) AS cand, g.h, g.feat_idx, g.label_idx,
+  ln((g.n1c + {al}[c.i]) / (t.N1 + {al}[c.i] * (SELECT count(*) FROM v_selected)))
+  - ln((g.n0c + {al}[c.i]) / (t.N0 + {al}[c.i] * (SELECT count(*) FROM v_selected))) AS w
+FROM {prefix}_grid g JOIN (SELECT h, label_idx, sum(n1c) AS N1, sum(n0c) AS N0 FROM {prefix}_grid GROUP BY h, label_idx) t
+  ON t.h = g.h AND t.label_idx = g.label_idx
+CROSS JOIN range(1, {len(alphas) + 1}) c(i)
+""",
+    )
+    C.add(
+        f"{prefix}_pc",
+        f"""
+SELECT s.cand, s.h, CASE WHEN s.g = s.h THEN 'validation' ELSE 'train' END AS split, count(*) AS n_pred,
+       sum(CASE WHEN y.row_id IS NULL THEN 0 ELSE 1 END) AS tp
+FROM (SELECT c.cand, c.h, x.row_id, x.g, c.label_idx, sum(x.value * c.w) AS score
+      FROM {prefix}_x x JOIN {prefix}_coef c ON c.feat_idx = x.feat_idx
+      GROUP BY c.cand, c.h, x.row_id, x.g, c.label_idx) s
+LEFT JOIN v_tr_y y ON y.row_id = s.row_id AND y.label_idx = s.label_idx
+WHERE s.score > 0
+GROUP BY s.cand, s.h, CASE WHEN s.g = s.h THEN 'validation' ELSE 'train' END
+""",
+    )
+    C.add(
+        f"{prefix}_tt",
+        f"""
+SELECT hs.h, CASE WHEN t.g = hs.h THEN 'validation' ELSE 'train' END AS split, sum(t.n_true) AS n_true
+FROM (SELECT f.g, count(*) AS n_true FROM v_tr_y y JOIN {prefix}_folds f ON f.row_id = y.row_id GROUP BY f.g) t
+CROSS JOIN {prefix}_hs hs GROUP BY hs.h, CASE WHEN t.g = hs.h THEN 'validation' ELSE 'train' END
+""",
+    )
+    C.add(
+        f"{prefix}_f1",
+        f"""
+SELECT CAST(c.i - 1 AS INTEGER) AS cand, {al}[c.i] AS alpha, tt.h AS fold, tt.split,
+  {sdiv('2 * coalesce(pc.tp, 0)', '2 * coalesce(pc.tp, 0) + (coalesce(pc.n_pred, 0) - coalesce(pc.tp, 0)) + (tt.n_true - coalesce(pc.tp, 0))')} AS f1
+FROM {prefix}_tt tt CROSS JOIN range(1, {len(alphas) + 1}) c(i)
+LEFT JOIN {prefix}_pc pc ON pc.cand = c.i - 1 AND pc.h = tt.h AND pc.split = tt.split
+""",
+    )
+    C.add(
+        f"{prefix}_curve",
+        f"""
+SELECT cand, alpha,
+  avg(f1) FILTER (WHERE split = 'train') AS train_mean, stddev_pop(f1) FILTER (WHERE split = 'train') AS train_std,
+  avg(f1) FILTER (WHERE split = 'validation') AS val_mean, stddev_pop(f1) FILTER (WHERE split = 'validation') AS val_std
+FROM {prefix}_f1 GROUP BY cand, alpha
+""",
+    )
+
+
+import numpy as _np  # noqa: E402
+
+nb_cv_ctes("v_nbg", [float(a) for a in _np.linspace(0.04, 0.02, 10)])
+nb_cv_ctes("v_nbc", [float(a) for a in _np.logspace(-3, 1, 20)])

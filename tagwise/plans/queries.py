@@ -685,3 +685,45 @@ def q_pipeline_predict(spark, sf_dir):
     f, test = _fit_linear(spark, sf_dir, "svm")
     pred = P.predict(f, test.select("row_id", "description"))
     return pred.select("row_id", joined("labels").alias("predicted"), F.size("labels").cast("long").alias("n_labels"))
+
+
+# ---------------------------------------------------------------- NB cross-validation grids
+def _nb_curve(spark, sf_dir, alphas):
+    from tagwise.operators import cv as CV
+
+    key = (id(spark), sf_dir, "nb_curve", tuple(alphas))
+    if key not in _FIT_CACHE:
+        _, prep, _, _ = fitted_nb(spark, sf_dir)
+        c = CV.curve(CV.nb_cv_scores(prep.x, prep.y, prep.rows.select("row_id"), prep.stats, alphas))
+        _FIT_CACHE[key] = c.persist()
+    return _FIT_CACHE[key]
+
+
+@query("nb_grid_search")
+def q_nb_grid_search(spark, sf_dir):
+    """5-fold CV micro-F1 for the naive Bayes smoothing grid, ranked by validation mean."""
+    from pyspark.sql import Window
+
+    from tagwise.operators.cv import NB_GRID_ALPHAS
+
+    c = _nb_curve(spark, sf_dir, NB_GRID_ALPHAS)
+    w = Window.orderBy(F.round("val_mean", 12).desc(), F.col("alpha").asc())  # one row per candidate
+    return _r6_all(c.withColumn("rank", F.row_number().over(w)).drop("cand"))
+
+
+@query("nb_validation_curve")
+def q_nb_validation_curve(spark, sf_dir):
+    """Train / validation micro-F1 (mean ± population std over 5 folds) along the alpha curve."""
+    from tagwise.operators.cv import NB_CURVE_ALPHAS
+
+    return _r6_all(_nb_curve(spark, sf_dir, NB_CURVE_ALPHAS).drop("cand"))
+
+
+@query("nearest_candidate")
+def q_nearest_candidate(spark, sf_dir):
+    """The curve point nearest the default alpha (1.0) and its train − validation gap."""
+    from tagwise.operators.cv import NB_CURVE_ALPHAS
+
+    c = _nb_curve(spark, sf_dir, NB_CURVE_ALPHAS)
+    n = TU.nearest(c.select("alpha", "train_mean", "val_mean"), "alpha", 1.0)
+    return _r6_all(n.withColumn("gap", F.col("train_mean") - F.col("val_mean")))
