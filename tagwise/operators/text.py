@@ -191,3 +191,55 @@ def tfidf_from_counts(tc: DataFrame, state: TfidfState) -> DataFrame:
     vocab = small(state.vocab.select("term", "feat_idx", "idf"), state.n_features)
     x = tc.join(vocab, "term", "inner").select("row_id", "feat_idx", weight_expr("tf", state.params).alias("value"))
     return l2_normalize(x) if state.params.norm == "l2" else x
+
+
+# fixed values: the preprocessor grid the reference tuned
+GRID_MAX_FEATURES = (15000, 20000)
+GRID_NGRAM_MAX = (2, 3)
+GRID_MAX_DF = (0.6, 0.7)
+GRID_MIN_DF = (2, 3)
+GRID_K = (5000, 6000)
+
+
+def vocab_grid(docs: DataFrame, n_docs: int, base: VectorizerParams = VectorizerParams()) -> DataFrame:
+    """For every configuration, how many terms survive the df rule, the vocabulary size after the
+    cap, the selected-feature count and the total-count cut of the cap.
+
+    Term statistics are computed once with the widest n-gram range; they are then reduced to a
+    histogram over (n-gram length, df, total count), and every configuration is a filter over it."""
+    p = replace(base, ngram_range=(1, max(GRID_NGRAM_MAX)), max_features=None)
+    stats = doc_freq(term_counts(docs, p))
+    hist = stats.groupBy(F.size(F.split("term", " ")).alias("n"), "df", "ttf").agg(F.count(F.lit(1)).alias("cnt"))
+    cfgs = [
+        (mf, ng, mx, mn, k)
+        for mf in GRID_MAX_FEATURES
+        for ng in GRID_NGRAM_MAX
+        for mx in GRID_MAX_DF
+        for mn in GRID_MIN_DF
+        for k in GRID_K
+    ]
+    cfg = F.array(
+        *[
+            F.struct(F.lit(mf).alias("max_features"), F.lit(ng).alias("ngram_max"), F.lit(mx).alias("max_df"),
+                     F.lit(mn).alias("min_df"), F.lit(k).alias("k_features"))
+            for mf, ng, mx, mn, k in cfgs
+        ]
+    )
+    keys = ["max_features", "ngram_max", "max_df", "min_df", "k_features"]
+    per = hist.select("n", "df", "ttf", "cnt", F.explode(cfg).alias("c")).select("n", "df", "ttf", "cnt", "c.*")
+    per = per.filter(
+        (F.col("n") <= F.col("ngram_max")) & (F.col("df") >= F.col("min_df")) & (F.col("df") <= F.col("max_df") * F.lit(float(n_docs)))
+    )
+    by_ttf = per.groupBy(*keys, "ttf").agg(F.sum("cnt").alias("cnt"))
+    w = Window.partitionBy(*keys).orderBy(F.col("ttf").desc())  # one row per distinct total count
+    cum = by_ttf.withColumn("above", F.sum("cnt").over(w) - F.col("cnt"))
+    return cum.groupBy(*keys).agg(
+        F.sum("cnt").alias("n_candidates"),
+        F.min(F.when(F.col("above") < F.col("max_features"), F.col("ttf"))).alias("cut_ttf"),
+    ).select(
+        *keys,
+        "n_candidates",
+        F.least(F.col("n_candidates"), F.col("max_features").cast("long")).alias("n_terms"),
+        F.least(F.col("n_candidates"), F.col("max_features").cast("long"), F.col("k_features").cast("long")).alias("n_features"),
+        "cut_ttf",
+    )

@@ -299,7 +299,7 @@ oracle(
 oracle("term_counts", "SELECT row_id, term, tf FROM v_tr_tc")
 oracle(
     "vocabulary",
-    "SELECT term, count(*) AS df, sum(tf) AS ttf FROM v_tr_tc GROUP BY term "
+    "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ttf FROM v_tr_tc GROUP BY term "
     "HAVING count(*) >= 3 AND count(*) <= 0.7e0 * (SELECT n FROM v_n_train)",
 )
 oracle("vocabulary_topn", "SELECT term, feat_idx, df, ttf, round(idf, 6) AS idf FROM v_vocab")
@@ -401,3 +401,28 @@ oracle(
     "SELECT round(alpha, 6) AS alpha, round(train_mean, 6) AS train_mean, round(val_mean, 6) AS val_mean, "
     "round(train_mean - val_mean, 6) AS gap FROM v_nbc_curve ORDER BY abs(alpha - 1.0e0), alpha LIMIT 1",
 )
+
+from tagwise.plans.oracle_ctes import ngram_sql as _ng, tokens_sql as _tk  # noqa: E402
+
+_GRID = ", ".join(
+    f"({mf}, {ng}, {dbl(mx)}, {mn}, {k})"
+    for mf in (15000, 20000) for ng in (2, 3) for mx in (0.6, 0.7) for mn in (2, 3) for k in (5000, 6000)
+)
+oracle(
+    "vocab_grid",
+    f"""
+WITH terms AS (SELECT row_id, unnest({_ng('toks', 1, 3)}) AS term
+               FROM (SELECT row_id, {_tk('description')} AS toks FROM v_train_docs) t),
+st AS (SELECT term, count(*) AS df, sum(tf) AS ttf FROM (SELECT row_id, term, count(*) AS tf FROM terms GROUP BY row_id, term) c GROUP BY term),
+hist AS (SELECT len(string_split(term, ' ')) AS n, df, ttf, count(*) AS cnt FROM st GROUP BY ALL),
+cfg AS (SELECT * FROM (VALUES {_GRID}) AS c(max_features, ngram_max, max_df, min_df, k_features)),
+per AS (SELECT c.*, h.ttf, sum(h.cnt) AS cnt FROM hist h, cfg c
+        WHERE h.n <= c.ngram_max AND h.df >= c.min_df AND h.df <= c.max_df * (SELECT n FROM v_n_train)
+        GROUP BY ALL),
+cum AS (SELECT *, sum(cnt) OVER (PARTITION BY max_features, ngram_max, max_df, min_df, k_features ORDER BY ttf DESC) - cnt AS above FROM per)
+SELECT max_features, ngram_max, max_df, min_df, k_features, CAST(sum(cnt) AS BIGINT) AS n_candidates,
+  CAST(least(sum(cnt), max_features) AS BIGINT) AS n_terms, CAST(least(sum(cnt), max_features, k_features) AS BIGINT) AS n_features,
+  CAST(min(CASE WHEN above < max_features THEN ttf END) AS BIGINT) AS cut_ttf
+FROM cum GROUP BY max_features, ngram_max, max_df, min_df, k_features
+""",
+)

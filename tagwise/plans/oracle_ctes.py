@@ -186,7 +186,7 @@ C.add("v_tr_tc", "SELECT row_id, term, count(*) AS tf FROM v_tr_terms GROUP BY r
 C.add(
     "v_vocab_kept",
     f"""
-SELECT term, count(*) AS df, sum(tf) AS ttf FROM v_tr_tc GROUP BY term
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ttf FROM v_tr_tc GROUP BY term
 HAVING count(*) >= {MIN_DF} AND count(*) <= {dbl(MAX_DF)} * (SELECT n FROM v_n_train)
 ORDER BY ttf DESC, term ASC LIMIT {MAX_FEATURES}
 """,

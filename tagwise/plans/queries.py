@@ -727,3 +727,9 @@ def q_nearest_candidate(spark, sf_dir):
     c = _nb_curve(spark, sf_dir, NB_CURVE_ALPHAS)
     n = TU.nearest(c.select("alpha", "train_mean", "val_mean"), "alpha", 1.0)
     return _r6_all(n.withColumn("gap", F.col("train_mean") - F.col("val_mean")))
+
+
+@query("vocab_grid")
+def q_vocab_grid(spark, sf_dir):
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    return TX.vocab_grid(prep.rows, prep.stats.n_rows)
