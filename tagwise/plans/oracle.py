@@ -426,3 +426,48 @@ SELECT max_features, ngram_max, max_df, min_df, k_features, CAST(sum(cnt) AS BIG
 FROM cum GROUP BY max_features, ngram_max, max_df, min_df, k_features
 """,
 )
+
+oracle(
+    "model_card",
+    """
+SELECT 'nb' AS model, 1.0e0 AS alpha, (SELECT count(*) FROM v_label_index) AS n_labels, (SELECT count(*) FROM v_vocab) AS n_vocab,
+  (SELECT count(*) FROM v_selected) AS n_features, 'global' AS threshold_type, 0.55e0 AS threshold,
+  round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(jaccard, 6) AS jaccard,
+  round(hamming_loss, 6) AS hamming_loss
+FROM v_te_micro
+""",
+)
+oracle(
+    "analysis_report",
+    """
+WITH hits AS (SELECT t.row_id, t.label_idx FROM v_truth t JOIN v_pred p ON p.row_id = t.row_id AND p.label_idx = t.label_idx),
+missed AS (SELECT t.row_id, t.label_idx FROM v_truth t
+           WHERE NOT EXISTS (SELECT 1 FROM v_pred p WHERE p.row_id = t.row_id AND p.label_idx = t.label_idx)),
+cp AS (SELECT label_idx AS i, label_idx AS j, count(*) AS n FROM hits GROUP BY label_idx
+       UNION ALL SELECT m.label_idx, p.label_idx, count(*) FROM missed m JOIN v_pred p ON p.row_id = m.row_id AND p.label_idx <> m.label_idx
+       GROUP BY m.label_idx, p.label_idx),
+co AS (SELECT a.label_idx AS i, b.label_idx AS j, count(*) AS n FROM v_truth a JOIN v_truth b ON a.row_id = b.row_id GROUP BY ALL),
+grid AS (SELECT a.label_idx AS i, b.label_idx AS j FROM v_label_names a CROSS JOIN v_label_names b),
+per AS (SELECT coalesce(t.nt, 0) AS nt, coalesce(p.np, 0) AS np FROM v_score_rows r
+        LEFT JOIN (SELECT row_id, count(*) AS nt FROM v_truth GROUP BY row_id) t ON t.row_id = r.row_id
+        LEFT JOIN (SELECT row_id, count(*) AS np FROM v_pred GROUP BY row_id) p ON p.row_id = r.row_id),
+bins AS (SELECT n FROM range(0, (SELECT greatest(max(nt), max(np)) FROM per) + 1) AS b(n)),
+mm AS (SELECT min(proba) AS lo, max(proba) AS hi FROM v_proba),
+ch AS (SELECT CASE WHEN hi = lo THEN 0 ELSE least(floor((proba - lo) / (hi - lo) * 50), 49) END AS b, count(*) AS n
+       FROM v_proba, mm GROUP BY ALL),
+u AS (
+  SELECT 'per_label_precision' AS aggregate, CAST(label_idx AS BIGINT) AS k1, CAST(NULL AS BIGINT) AS k2, precision AS value FROM v_per_label
+  UNION ALL SELECT 'per_label_recall', label_idx, NULL, recall FROM v_per_label
+  UNION ALL SELECT 'per_label_f1', label_idx, NULL, f1 FROM v_per_label
+  UNION ALL SELECT 'per_label_hamming', label_idx, NULL, hamming FROM v_per_label
+  UNION ALL SELECT 'true_count', label_idx, NULL, tp + fn FROM v_counts
+  UNION ALL SELECT 'pred_count', label_idx, NULL, tp + fp FROM v_counts
+  UNION ALL SELECT 'cooccurrence', g.i, g.j, coalesce(co.n, 0) FROM grid g LEFT JOIN co ON co.i = g.i AND co.j = g.j
+  UNION ALL SELECT 'confusion_patterns', g.i, g.j, coalesce(cp.n, 0) FROM grid g LEFT JOIN cp ON cp.i = g.i AND cp.j = g.j
+  UNION ALL SELECT 'rows_by_true_count', n, NULL, (SELECT count(*) FROM per WHERE nt = bins.n) FROM bins
+  UNION ALL SELECT 'rows_by_pred_count', n, NULL, (SELECT count(*) FROM per WHERE np = bins.n) FROM bins
+  UNION ALL SELECT 'confidence_hist', CAST(b AS BIGINT), NULL, n FROM ch
+  UNION ALL SELECT 'sensitivity_f1', j, NULL, f1 FROM v_sens)
+SELECT aggregate, k1, k2, round(CAST(value AS DOUBLE), 6) AS value FROM u
+""",
+)

@@ -663,3 +663,26 @@ import numpy as _np  # noqa: E402
 
 nb_cv_ctes("v_nbg", [float(a) for a in _np.linspace(0.04, 0.02, 10)])
 nb_cv_ctes("v_nbc", [float(a) for a in _np.logspace(-3, 1, 20)])
+
+
+# ---- held-out evaluation of the NB pipeline (no top-k: thresholded predictions)
+C.add("v_te_rows", "SELECT row_id FROM v_test_parsed")
+C.add(
+    "v_te_eval_flags",
+    f"""
+SELECT row_id, label_idx, max(t) AS t, max(p) AS p FROM (
+  SELECT row_id, label_idx, 1 AS t, 0 AS p FROM v_te_truth
+  UNION ALL SELECT row_id, label_idx, 0 AS t, 1 AS p FROM v_te_scores WHERE proba >= {dbl(THRESHOLD)}) u
+GROUP BY row_id, label_idx
+""",
+)
+C.add(
+    "v_te_micro",
+    f"""
+SELECT {sdiv('tp', 'tp + fp')} AS precision, {sdiv('tp', 'tp + fn')} AS recall, {f1_sql('tp', 'fp', 'fn')} AS f1,
+  {sdiv('tp', 'tp + fp + fn')} AS jaccard,
+  {sdiv('fp + fn', '(SELECT count(*) FROM v_te_rows) * (SELECT count(*) FROM v_label_index)')} AS hamming_loss
+FROM (SELECT CAST(sum(t * p) AS BIGINT) AS tp, CAST(sum((1 - t) * p) AS BIGINT) AS fp, CAST(sum(t * (1 - p)) AS BIGINT) AS fn
+      FROM v_te_eval_flags) s
+""",
+)

@@ -733,3 +733,48 @@ def q_nearest_candidate(spark, sf_dir):
 def q_vocab_grid(spark, sf_dir):
     _, prep, _, _ = fitted_nb(spark, sf_dir)
     return TX.vocab_grid(prep.rows, prep.stats.n_rows)
+
+
+# ---------------------------------------------------------------- jobs
+@query("train_job")
+def q_train_job(spark, sf_dir):
+    """The full training job (SVM pipeline), state saved, ledger appended; returns train metrics."""
+    import hashlib
+
+    from tagwise.plans import jobs as J
+
+    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
+    return J.train_job(spark, sf_dir, IO.scratch_dir(spark, f"model_{tag}"), IO.scratch_dir(spark, f"ledger_{tag}")).select(
+        "split", "metric", r6(F.col("value")).alias("value")
+    )
+
+
+@query("eval_job")
+def q_eval_job(spark, sf_dir):
+    """Evaluates the latest trained model (training it first when the ledger has none)."""
+    import hashlib
+
+    from tagwise.plans import jobs as J
+
+    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
+    model_dir, ledger = IO.scratch_dir(spark, f"model_{tag}"), IO.scratch_dir(spark, f"ledger_{tag}")
+    if not IO.path_exists(spark, f"{model_dir}/params"):
+        J.train_job(spark, sf_dir, model_dir, ledger).collect()
+    return J.eval_job(spark, sf_dir, None, ledger).select("split", "metric", r6(F.col("value")).alias("value"))
+
+
+@query("model_card")
+def q_model_card(spark, sf_dir):
+    from tagwise.plans import jobs as J
+
+    fitted, _, _, test = fitted_nb(spark, sf_dir)
+    return _r6_all(J.model_card(fitted, test))
+
+
+@query("analysis_report")
+def q_analysis_report(spark, sf_dir):
+    from tagwise.plans import jobs as J
+
+    proba, truth, rows, names, n, L = _score_env(spark, sf_dir)
+    out = J.analysis_report(proba, truth, rows, names, n, L, SCORE_THRESHOLD)
+    return out.select("aggregate", "k1", "k2", r6(F.col("value")).alias("value"))
