@@ -778,3 +778,24 @@ def q_analysis_report(spark, sf_dir):
     proba, truth, rows, names, n, L = _score_env(spark, sf_dir)
     out = J.analysis_report(proba, truth, rows, names, n, L, SCORE_THRESHOLD)
     return out.select("aggregate", "k1", "k2", r6(F.col("value")).alias("value"))
+
+
+# ---------------------------------------------------------------- reductions (rows-only keys)
+@query("nmf_topics")
+def q_nmf_topics(spark, sf_dir):
+    """NMF (10 components, 50 multiplicative updates) of the selected training tf-idf, L2 rows."""
+    from tagwise.operators import reduce as RD
+
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    w, _, _ = RD.nmf(prep.x, prep.rows.select("row_id"), prep.stats.n_features, k=10, max_iter=50)
+    return _r6_all(RD.nmf_features(w))
+
+
+@query("svd_features")
+def q_svd_features(spark, sf_dir):
+    """Uncentred truncated SVD (10 components) of the selected training tf-idf: U·S per row."""
+    from tagwise.operators import reduce as RD
+
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    us, _ = RD.svd(prep.x, prep.rows.select("row_id"), prep.stats.n_features, k=10)
+    return _r6_all(us)
