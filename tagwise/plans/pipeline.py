@@ -73,21 +73,35 @@ class PreparedTrain:
     scores: DataFrame  # feature scores used for selection
 
 
-def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineParams()) -> PreparedTrain:
-    """Labels -> rare-label rule -> drop unlabeled rows -> tf-idf -> score -> k best."""
+def fit_label_stage(train_parsed: DataFrame, params: PipelineParams = PipelineParams()):
+    """Label index (rare-label rule) and the labelled training rows with their targets."""
     labels = fit_labels(train_parsed, params.min_label_pct)
     rows = restrict_labels(train_parsed, labels).select("row_id", "description", "labels")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     y = multi_hot(rows, labels).persist(StorageLevel.MEMORY_AND_DISK)
+    return labels, rows, y
+
+
+def fit_text_stage(rows: DataFrame, params: PipelineParams = PipelineParams()):
+    """Vocabulary + idf and the training tf-idf (from the fit's own term counts: one tokenisation pass)."""
     tfidf = fit_tfidf(rows, params.vectorizer)
-    # the fitted rows' term counts are reused: no second tokenisation pass over the training texts
     x_all = tfidf_from_counts(tfidf.counts, tfidf).persist(StorageLevel.MEMORY_AND_DISK)
-    n_rows = rows.count()
-    stats = TrainingStats(n_rows, labels.n_labels, tfidf.n_features)
+    return tfidf, x_all
+
+
+def fit_selection_stage(x_all: DataFrame, y: DataFrame, stats: TrainingStats, params: PipelineParams = PipelineParams()):
     scores = SCORE_FUNCTIONS[params.score_fn](x_all, y, stats)
     sel = select_k_best(scores, params.k_features)
     x = apply_selection(x_all, sel).persist(StorageLevel.MEMORY_AND_DISK)
-    tfidf.counts.unpersist()
+    return scores, sel, x
+
+
+def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineParams()) -> PreparedTrain:
+    """Labels -> rare-label rule -> drop unlabeled rows -> tf-idf -> score -> k best."""
+    labels, rows, y = fit_label_stage(train_parsed, params)
+    tfidf, x_all = fit_text_stage(rows, params)
+    n_rows = tfidf.n_docs
+    scores, sel, x = fit_selection_stage(x_all, y, TrainingStats(n_rows, labels.n_labels, tfidf.n_features), params)
     return PreparedTrain(
         FeatureState(labels, tfidf, sel), x, y, rows, TrainingStats(n_rows, labels.n_labels, sel.k), x_all, scores
     )

@@ -36,15 +36,49 @@ def joined(c) -> F.Column:
 _FIT_CACHE: dict = {}
 
 
+def _stage(spark: SparkSession, sf_dir: str, name: str):
+    """Fit stages cached per session and input folder, so each key only runs the stages it needs."""
+    from pyspark import StorageLevel
+
+    key = (id(spark), sf_dir, name)
+    if key in _FIT_CACHE:
+        return _FIT_CACHE[key]
+    if name == "split":
+        corpus = P.corpus(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        out = P.split(corpus)
+    elif name == "labels":
+        train, _ = _stage(spark, sf_dir, "split")
+        out = P.fit_label_stage(train)
+    elif name == "text":
+        _, rows, _ = _stage(spark, sf_dir, "labels")
+        out = P.fit_text_stage(rows)
+    elif name == "select":
+        labels, rows, y = _stage(spark, sf_dir, "labels")
+        tfidf, x_all = _stage(spark, sf_dir, "text")
+        stats = P.TrainingStats(tfidf.n_docs, labels.n_labels, tfidf.n_features)
+        out = P.fit_selection_stage(x_all, y, stats)
+    elif name == "prep":
+        labels, rows, y = _stage(spark, sf_dir, "labels")
+        tfidf, x_all = _stage(spark, sf_dir, "text")
+        scores, sel, x = _stage(spark, sf_dir, "select")
+        out = P.PreparedTrain(
+            P.FeatureState(labels, tfidf, sel), x, y, rows, P.TrainingStats(tfidf.n_docs, labels.n_labels, sel.k), x_all, scores
+        )
+    else:
+        raise KeyError(name)
+    _FIT_CACHE[key] = out
+    return out
+
+
 def fitted_nb(spark: SparkSession, sf_dir: str):
     """Default pipeline fitted on the training split (cached per session and input folder)."""
     key = (id(spark), sf_dir, "nb")
     if key not in _FIT_CACHE:
-        from pyspark import StorageLevel
+        from tagwise.operators.bayes import fit_nb
 
-        corpus = P.corpus(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-        train, test = P.split(corpus)
-        fitted, prep = P.fit_pipeline(train)
+        train, test = _stage(spark, sf_dir, "split")
+        prep = _stage(spark, sf_dir, "prep")
+        fitted = P.FittedPipeline(prep.state, fit_nb(prep.x, prep.y, prep.stats, 1.0), P.PipelineParams())
         _FIT_CACHE[key] = (fitted, prep, train, test)
     return _FIT_CACHE[key]
 
@@ -413,8 +447,9 @@ def q_label_stats(spark, sf_dir):
 
 @query("missing_labels")
 def q_missing_labels(spark, sf_dir):
-    fitted, _, _, test = fitted_nb(spark, sf_dir)
-    return LB.missing_labels(fitted.features.labels, test)
+    _, test = _stage(spark, sf_dir, "split")
+    labels, _, _ = _stage(spark, sf_dir, "labels")
+    return LB.missing_labels(labels, test)
 
 
 def _corpus(spark, sf_dir):
@@ -449,8 +484,8 @@ def q_train_test_split(spark, sf_dir):
 
 @query("kfold_assign")
 def q_kfold_assign(spark, sf_dir):
-    _, prep, _, _ = fitted_nb(spark, sf_dir)
-    return prep.rows.select("row_id", fold_of(F.col("row_id")).alias("fold"))
+    _, rows, _ = _stage(spark, sf_dir, "labels")
+    return rows.select("row_id", fold_of(F.col("row_id")).alias("fold"))
 
 
 def _grams(spark, sf_dir):
@@ -477,59 +512,60 @@ def q_ngrams(spark, sf_dir):
 
 @query("term_counts")
 def q_term_counts(spark, sf_dir):
-    _, prep, _, _ = fitted_nb(spark, sf_dir)
-    return TX.term_counts(prep.rows, TX.VectorizerParams())
+    _, rows, _ = _stage(spark, sf_dir, "labels")
+    return TX.term_counts(rows, TX.VectorizerParams())
 
 
 @query("vocabulary")
 def q_vocabulary(spark, sf_dir):
-    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    _, rows, _ = _stage(spark, sf_dir, "labels")
     p = TX.VectorizerParams()
-    n = prep.stats.n_rows
-    return TX.prune_terms(TX.doc_freq(TX.term_counts(prep.rows, p)), p, n)
+    return TX.prune_terms(TX.doc_freq(TX.term_counts(rows, p)), p, rows.count())
 
 
 @query("vocabulary_topn")
 def q_vocabulary_topn(spark, sf_dir):
-    fitted, _, _, _ = fitted_nb(spark, sf_dir)
-    return _r6_all(fitted.features.tfidf.vocab)
+    tfidf, _ = _stage(spark, sf_dir, "text")
+    return _r6_all(tfidf.vocab)
 
 
 @query("tfidf_fit")
 def q_tfidf_fit(spark, sf_dir):
-    _, prep, _, _ = fitted_nb(spark, sf_dir)
-    return _r6_all(prep.x_all)
+    _, x_all = _stage(spark, sf_dir, "text")
+    return _r6_all(x_all)
 
 
 @query("tfidf_transform")
 def q_tfidf_transform(spark, sf_dir):
-    fitted, _, _, test = fitted_nb(spark, sf_dir)
-    return _r6_all(TX.transform_tfidf(test, fitted.features.tfidf))
+    _, test = _stage(spark, sf_dir, "split")
+    tfidf, _ = _stage(spark, sf_dir, "text")
+    return _r6_all(TX.transform_tfidf(test, tfidf))
 
 
 @query("l2_normalize")
 def q_l2_normalize(spark, sf_dir):
-    _, prep, _, _ = fitted_nb(spark, sf_dir)
-    return _r6_all(TX.l2_normalize(prep.x_all))
+    _, x_all = _stage(spark, sf_dir, "text")
+    return _r6_all(TX.l2_normalize(x_all))
 
 
 @query("chi2_scores")
 def q_chi2_scores(spark, sf_dir):
-    _, prep, _, _ = fitted_nb(spark, sf_dir)
-    return _r6_all(prep.scores)
+    labels, rows, y = _stage(spark, sf_dir, "labels")
+    tfidf, x_all = _stage(spark, sf_dir, "text")
+    return _r6_all(SE.chi2_scores(x_all, y, SE.TrainingStats(tfidf.n_docs, labels.n_labels, tfidf.n_features)))
 
 
 @query("select_k_best")
 def q_select_k_best(spark, sf_dir):
-    fitted, _, _, _ = fitted_nb(spark, sf_dir)
-    return _r6_all(fitted.features.selection.table)
+    _, sel, _ = _stage(spark, sf_dir, "select")
+    return _r6_all(sel.table)
 
 
 @query("mutual_info_scores")
 def q_mutual_info_scores(spark, sf_dir):
-    _, prep, _, _ = fitted_nb(spark, sf_dir)
-    st = SE.TrainingStats(prep.stats.n_rows, prep.stats.n_labels, prep.state.tfidf.n_features)
-    return _r6_all(SE.mutual_info_scores(prep.x_all, prep.y, st))
+    labels, rows, y = _stage(spark, sf_dir, "labels")
+    tfidf, x_all = _stage(spark, sf_dir, "text")
+    return _r6_all(SE.mutual_info_scores(x_all, y, SE.TrainingStats(tfidf.n_docs, labels.n_labels, tfidf.n_features)))
 
 
 @query("feature_label_table")
@@ -731,8 +767,8 @@ def q_nearest_candidate(spark, sf_dir):
 
 @query("vocab_grid")
 def q_vocab_grid(spark, sf_dir):
-    _, prep, _, _ = fitted_nb(spark, sf_dir)
-    return TX.vocab_grid(prep.rows, prep.stats.n_rows)
+    _, rows, _ = _stage(spark, sf_dir, "labels")
+    return TX.vocab_grid(rows, rows.count())
 
 
 # ---------------------------------------------------------------- jobs
