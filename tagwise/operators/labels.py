@@ -50,10 +50,17 @@ class LabelIndex:
 
     table: DataFrame
     n_labels: int
+    _rows: list | None = None
 
     def names(self) -> DataFrame:
         return self.table
 
+    def rows(self) -> list:
+        """(label_idx, label) pairs, fetched once (only called when n_labels <= LITERAL_LIMIT)."""
+        if self._rows is None:
+            self._rows = [(r["label_idx"], r["label"]) for r in self.table.orderBy("label_idx").collect()]
+        return self._rows
+
 
 def index_labels(labels: DataFrame) -> LabelIndex:
     """Dense index over the (small) distinct-label table, sorted by label."""
@@ -73,8 +80,8 @@ def _label_map(index: LabelIndex):
     """label -> label_idx as a literal map when the (counted) index is small enough, else None."""
     if not fits_literal(index.n_labels):
         return None
-    rows = index.table.orderBy("label_idx").collect()  # bounded: n_labels <= LITERAL_LIMIT
-    return F.create_map(*[x for r in rows for x in (F.lit(r["label"]), F.lit(r["label_idx"]))])
+    rows = index.rows()  # bounded: n_labels <= LITERAL_LIMIT
+    return F.create_map(*[x for idx, lab in rows for x in (F.lit(lab), F.lit(idx))])
 
 
 def restrict_labels(parsed: DataFrame, index: LabelIndex) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -48,14 +49,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Fit barrier: write the (small) fitted-state table to the reliable checkpoint folder.
+    """Fit barrier: write the (small) fitted-state table into the shared checkpoint folder and read it back.
 
-    Reliable checkpoints survive executor loss (unlike localCheckpoint) and cut the lineage so
-    that later stages do not recompute the fit.
+    A written table survives executor loss (unlike localCheckpoint) and cuts the lineage so later
+    stages never recompute the fit; it costs one job (a reliable ``checkpoint()`` costs two).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    # persist first: the checkpoint write is a second job over the same RDD and would recompute it
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/tagwise-state/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
