@@ -243,3 +243,32 @@ def vocab_grid(docs: DataFrame, n_docs: int, base: VectorizerParams = Vectorizer
         F.least(F.col("n_candidates"), F.col("max_features").cast("long"), F.col("k_features").cast("long")).alias("n_features"),
         "cut_ttf",
     )
+
+
+# fixed values: the character analyzer collapses runs of two or more whitespace characters to one space
+WS_RUN_PATTERN = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]{2,}"
+
+
+def char_grams(docs: DataFrame, n: int, text_col: str = "description") -> DataFrame:
+    """(row_id, term) for every character n-gram of the lower-cased whole text (whitespace runs
+    collapsed). Characters are split once and windowed with Spark ML's ``NGram``; the window's
+    separators sit at fixed odd positions, so dropping every second character restores the gram."""
+    t = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), WS_RUN_PATTERN, " ")
+    chars = docs.select("row_id", F.split(t, "", -1).alias("_chars"))
+    chars = chars.select("row_id", F.filter("_chars", lambda c: F.length(c) > 0).alias("_chars"))
+    g = NGram(n=n, inputCol="_chars", outputCol="_g").transform(by_row(chars))
+    g = g.select("row_id", F.explode("_g").alias("_w"))
+    return g.select("row_id", F.regexp_replace("_w", r"(?s)(.) ", "$1").alias("term"))
+
+
+def char_vocabulary(docs: DataFrame, n_docs: int, n: int = 3, params: VectorizerParams = VectorizerParams()) -> DataFrame:
+    """Character n-gram vocabulary with the same df pruning and frequency cap as the word vocabulary."""
+    tc = char_grams(docs, n).groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return cap_terms(prune_terms(doc_freq(tc), params, n_docs), params.max_features)
+
+
+def word_char_space(word_vocab: DataFrame, char_vocab: DataFrame) -> DataFrame:
+    """Union of the two term spaces, kept apart by a prefix ('w:' words, 'c:' characters)."""
+    w = word_vocab.select(F.concat(F.lit("w:"), "term").alias("term"), "df", "ttf")
+    c = char_vocab.select(F.concat(F.lit("c:"), "term").alias("term"), "df", "ttf")
+    return w.unionByName(c)

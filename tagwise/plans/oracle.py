@@ -471,3 +471,20 @@ u AS (
 SELECT aggregate, k1, k2, round(CAST(value AS DOUBLE), 6) AS value FROM u
 """,
 )
+
+from tagwise.operators.text import WS_RUN_PATTERN  # noqa: E402
+
+oracle(
+    "char_ngrams",
+    f"""
+WITH t AS (SELECT row_id, regexp_replace(lower(coalesce(description, '')), '{WS_RUN_PATTERN}', ' ', 'g') AS s FROM v_train_docs),
+g AS (SELECT row_id, unnest(CASE WHEN length(s) >= 3 THEN list_transform(range(1, length(s) - 1), lambda i: substr(s, i, 3))
+                               ELSE []::VARCHAR[] END) AS term FROM t),
+tc AS (SELECT row_id, term, count(*) AS tf FROM g GROUP BY row_id, term),
+cv AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ttf FROM tc GROUP BY term
+       HAVING count(*) >= 3 AND count(*) <= 0.7e0 * (SELECT n FROM v_n_train)
+       ORDER BY ttf DESC, term ASC LIMIT 10000)
+SELECT 'w:' || term AS term, df, ttf FROM v_vocab
+UNION ALL SELECT 'c:' || term AS term, df, ttf FROM cv
+""",
+)

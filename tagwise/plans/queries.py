@@ -835,3 +835,12 @@ def q_svd_features(spark, sf_dir):
     _, prep, _, _ = fitted_nb(spark, sf_dir)
     us, _ = RD.svd(prep.x, prep.rows.select("row_id"), prep.stats.n_features, k=10)
     return _r6_all(us)
+
+
+@query("char_ngrams")
+def q_char_ngrams(spark, sf_dir):
+    """Word ∪ character-trigram term space (prefixed), each pruned and capped like the word vocabulary."""
+    _, rows, _ = _stage(spark, sf_dir, "labels")
+    tfidf, _ = _stage(spark, sf_dir, "text")
+    n = rows.count()
+    return TX.word_char_space(tfidf.vocab.select("term", "df", "ttf"), TX.char_vocabulary(rows, n, 3))
