@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagwise.session import materialize
 
 # At or below this many rows a global window (one task) is cheap and exact.
-WINDOW_LIMIT = 1_000_000
+WINDOW_LIMIT = 100_000
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id = partition id << 33 | position in partition
 
 

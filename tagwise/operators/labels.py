@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tagwise.functions.exprs import parse_labels
 from tagwise.plans.broadcast import fits_literal, small
-from tagwise.operators.indexing import dense_index
+from tagwise.operators.indexing import WINDOW_LIMIT, dense_index
 from tagwise.session import materialize
 
 DEFAULT_MIN_LABEL_PCT = 5.0
@@ -67,8 +67,9 @@ def index_labels(labels: DataFrame) -> LabelIndex:
     # The distinct-label table is materialised first so its size is known before any broadcast.
     distinct = materialize(labels.select("label").distinct())
     n = distinct.count()
+    # numbering a written table of n rows: re-evaluated per use without touching the data again
     idx = dense_index(distinct, "label", "label_idx", n)
-    return LabelIndex(materialize(idx), n)
+    return LabelIndex(idx if n <= WINDOW_LIMIT else materialize(idx), n)
 
 
 def fit_labels(parsed: DataFrame, min_pct: float = DEFAULT_MIN_LABEL_PCT) -> LabelIndex:

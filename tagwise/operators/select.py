@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagwise.operators.indexing import dense_index
+from tagwise.operators.indexing import WINDOW_LIMIT, dense_index
 from tagwise.plans.broadcast import small
 from tagwise.session import materialize
 
@@ -117,8 +117,8 @@ def select_k_best(scores: DataFrame, k: int) -> Selection:
     top = scores.orderBy(F.round("score", 9).desc_nulls_last(), F.col("feat_idx").desc()).limit(k)
     top = materialize(top)
     n = top.count()
-    sel = dense_index(top, "feat_idx", "sel_idx", n)
-    return Selection(materialize(sel.select("feat_idx", "sel_idx", "score")), n)
+    sel = dense_index(top, "feat_idx", "sel_idx", n).select("feat_idx", "sel_idx", "score")
+    return Selection(sel if n <= WINDOW_LIMIT else materialize(sel), n)
 
 
 def apply_selection(x: DataFrame, sel: Selection) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
 
 from tagwise.functions.exprs import TOKEN_GAP_PATTERN, tokens  # noqa: F401
 from tagwise.functions.stopwords import token_stop_words
-from tagwise.operators.indexing import dense_index
+from tagwise.operators.indexing import WINDOW_LIMIT, dense_index
 from tagwise.plans.broadcast import small
 from tagwise.session import materialize
 
@@ -155,7 +155,9 @@ def fit_tfidf(docs: DataFrame, params: VectorizerParams = VectorizerParams(), te
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
     vocab = dense_index(kept, "term", "feat_idx", n_feat)
     vocab = vocab.select("term", "feat_idx", "df", "ttf", idf_expr(n_docs, params.smooth_idf).alias("idf"))
-    return TfidfState(materialize(vocab), n_docs, n_feat, params, tc)
+    if n_feat > WINDOW_LIMIT:
+        vocab = materialize(vocab)
+    return TfidfState(vocab, n_docs, n_feat, params, tc)
 
 
 def weight_expr(tf_col: str, params: VectorizerParams):
