@@ -11,16 +11,13 @@ from tagwise.functions.exprs import clean_title, strip_ws, truncate_text
 def first_per_key(df: DataFrame, key: str, order: str = "row_id") -> DataFrame:
     """Keep the first row (smallest ``order``) per raw ``key`` value; null keys are dropped.
 
-    ``min_by`` is a partial aggregate, so a key that holds a third of all rows is combined map-side
-    instead of being sorted by one task (a ``row_number`` window would pull the whole hot key into one task).
+    The (key -> min order) table is a partial aggregate over two narrow columns, so a key that holds a
+    third of all rows is combined map-side; the rows are then kept by a semi-join on (key, order), whose
+    join key includes the unique row key, so a hot title still spreads over all tasks and wide text
+    columns are never sorted or aggregated.
     """
-    cols = [c for c in df.columns]
-    picked = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("_first"))
-    )
-    return picked.select("_first.*")
+    firsts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias(order))
+    return df.join(firsts, [key, order], "left_semi")
 
 
 def clean_titles(df: DataFrame, col: str = "movie_name", lowercase: bool = False) -> DataFrame:
