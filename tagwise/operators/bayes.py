@@ -40,7 +40,12 @@ def nb_coefficients(grid: DataFrame, stats: TrainingStats, alpha: float, fit_pri
         b = F.log(F.col("n_pos") / F.lit(n)) - F.log((F.lit(n) - F.col("n_pos")) / F.lit(n))
     else:
         b = F.lit(0.0)
-    intercept = grid.select("label_idx", "n_pos").distinct().select("label_idx", b.alias("b"))
+    # one row per label from the (small) label table itself, not from the feature x label grid
+    labels = grid.sparkSession.range(stats.n_labels).select(F.col("id").cast("int").alias("label_idx"))
+    pos = grid.select("label_idx", "n_pos").where(F.col("feat_idx") == F.lit(0)) if fit_prior else None
+    if pos is not None:
+        labels = labels.join(pos, "label_idx", "left")
+    intercept = labels.select("label_idx", b.alias("b"))
     return coef, intercept
 
 
