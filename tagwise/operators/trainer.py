@@ -195,6 +195,41 @@ def lbfgs(fun, x0, max_iter=200, tol=1e-5, m=10):
     return x, f, g, history
 
 
+def fista_l1(smooth, x0, n_w, max_iter=300, tol=1e-6):
+    """L4: proximal gradient (FISTA with backtracking) for  ‖w‖₁ + smooth(θ);  θ = [w; b], the bias
+    (last ``len(x0) - n_w`` entries) is not penalised. ``smooth`` returns (value, gradient)."""
+
+    def prox(v, t):
+        out = v.copy()
+        out[:n_w] = np.sign(v[:n_w]) * np.maximum(np.abs(v[:n_w]) - t, 0.0)
+        return out
+
+    x = x0.copy()
+    yk, tk, step = x.copy(), 1.0, 1.0
+    f_y, g_y = smooth(yk)
+    history = []
+    for _ in range(max_iter):
+        while True:
+            xn = prox(yk - step * g_y, step)
+            f_n, g_n = smooth(xn)
+            d = xn - yk
+            if f_n <= f_y + float(g_y @ d) + float(d @ d) / (2 * step) + 1e-12:
+                break
+            step *= 0.5
+            if step < 1e-12:
+                break
+        history.append(f_n + float(np.sum(np.abs(xn[:n_w]))))
+        if np.max(np.abs(xn - x)) <= tol * max(1.0, float(np.max(np.abs(x)))):
+            x = xn
+            break
+        t_next = (1 + np.sqrt(1 + 4 * tk * tk)) / 2
+        yk = xn + ((tk - 1) / t_next) * (xn - x)
+        x, tk = xn, t_next
+        f_y, g_y = smooth(yk)
+    f_x, g_x = smooth(x)
+    return x, history, g_x
+
+
 def class_weights(y: DataFrame, n_rows: int, n_labels: int) -> np.ndarray:
     """A20 balanced weights per label: [w_neg, w_pos] = n / (2·n_neg), n / (2·n_pos)."""
     pos = {r["label_idx"]: r["n"] for r in y.groupBy("label_idx").agg(F.count(F.lit(1)).alias("n")).collect()}  # L rows
@@ -219,18 +254,34 @@ def fit_linear(
     rows: DataFrame | None = None,
     balanced: bool = True,
     return_history: bool = False,
+    penalty: str = "l2",
+    dual: bool | None = None,
 ):
     """Fit all labels jointly (block-separable objective) and return a coefficient-table model.
-    Labels that are constant in the training rows get w = 0 and a constant score (0 or 1)."""
+    Labels that are constant in the training rows get w = 0 and a constant score (0 or 1).
+
+    L4: ``penalty='l1'`` (svm only) minimises ‖w‖₁ + C·Σ c·loss with proximal gradient steps over the
+    same distributed gradient; ``dual`` only selects a solver in the reference and is accepted and ignored."""
     if kind not in ("svm", "ridge"):
         raise ValueError(f"unknown trainer {kind!r}")
+    if penalty not in ("l2", "l1") or (penalty == "l1" and kind != "svm"):
+        raise ValueError(f"unsupported penalty {penalty!r} for {kind!r}")
     spark = x.sparkSession
     rows = rows if rows is not None else y.select("row_id").union(x.select("row_id")).distinct()
     packed = pack_rows(x, y, rows).persist(StorageLevel.MEMORY_AND_DISK)
     n, L, F_ = stats.n_rows, stats.n_labels, stats.n_features
     cw = class_weights(y, n, L) if balanced else np.ones((L, 2))
     oracle = _Oracle(packed, stats, cw, kind)
-    theta, f, g, hist = lbfgs(lambda t: _objective(t, oracle, kind, C, alpha), np.zeros(L * F_ + L), max_iter, tol)
+    if penalty == "l1":
+        def smooth(t):
+            W_ = t[: L * F_].reshape(L, F_)
+            b_ = t[L * F_ :]
+            loss, G, gb = oracle(W_, b_)
+            return C * loss, np.concatenate([(C * G).ravel(), C * gb])
+
+        theta, hist, g = fista_l1(smooth, np.zeros(L * F_ + L), L * F_, max_iter, tol)
+    else:
+        theta, f, g, hist = lbfgs(lambda t: _objective(t, oracle, kind, C, alpha), np.zeros(L * F_ + L), max_iter, tol)
     W = theta[: L * F_].reshape(L, F_)
     b = theta[L * F_ :].copy()
     const = {l: (1.0 if cw[l, 0] == 0 else 0.0) for l in range(L) if cw[l, 0] == 0 or cw[l, 1] == 0}
@@ -243,7 +294,10 @@ def fit_linear(
         [(int(f_), int(l), float(W[l, f_])) for l, f_ in zip(*nz)], "feat_idx int, label_idx int, w double"
     )  # ≤ L·k entries, bounded by the selection size
     intercept = spark.createDataFrame([(int(l), float(b[l])) for l in range(L)], "label_idx int, b double")
-    model = LinearModel(materialize(coef), materialize(intercept), F_, L, kind, {"C": C, "alpha": alpha, "iterations": len(hist) - 1})
+    model = LinearModel(
+        materialize(coef), materialize(intercept), F_, L, kind,
+        {"C": C, "alpha": alpha, "penalty": penalty, "iterations": len(hist) - 1},
+    )
     if return_history:
         return model, hist, g
     return model

@@ -107,3 +107,21 @@ def test_constant_label_gets_constant_score(spark):
     m = fit_linear(x, y_all, TrainingStats(n, 3, f), kind="svm", rows=rows, max_iter=50)
     W = coef_matrix(m, 3, f)
     assert np.all(W[2, :f] == 0) and W[2, f] == 1.0
+
+
+def test_l1_penalty_kkt(spark):
+    """‖w‖₁ + C·loss: at the optimum |∂loss_j| = 1 where w_j ≠ 0 and ≤ 1 where w_j = 0 (bias: gradient 0)."""
+    X, Y, x, y, rows = make_problem(spark, n=50, f=6, L=2, seed=7)
+    n, f = X.shape
+    model, hist, g = fit_linear(
+        x, y, TrainingStats(n, 2, f), kind="svm", C=0.5, rows=rows, penalty="l1", tol=1e-9, max_iter=400, return_history=True
+    )
+    W = coef_matrix(model, 2, f)
+    gw = g[: 2 * f].reshape(2, f)
+    nz = W[:, :f] != 0
+    assert np.allclose(np.abs(gw[nz]), 1.0, atol=1e-3)
+    assert np.all(np.abs(gw[~nz]) <= 1.0 + 1e-3)
+    assert np.allclose(g[2 * f :], 0.0, atol=1e-3)
+    assert nz.sum() < W[:, :f].size  # the L1 penalty zeroes some weights
+    with pytest.raises(ValueError):
+        fit_linear(x, y, TrainingStats(n, 2, f), kind="ridge", rows=rows, penalty="l1")
