@@ -70,3 +70,30 @@ def test_ledger_latest_and_search(spark, scratch):
     runs = spark.createDataFrame([(i, float(i % 7), "F") for i in range(300)], "run_id long, metric double, tag string")
     top = IO.search_runs(runs, "tag = 'F'", ["metric DESC", "run_id ASC"])
     assert top.count() == 100 and top.first()["metric"] == 6.0
+
+
+def test_metrics_append_and_parameters(spark, scratch):
+    m = spark.createDataFrame([("r1", "train", "f1", 0.5)], "run_id string, split string, metric string, value double")
+    IO.save_metrics(m, os.path.join(scratch, "metrics"))
+    IO.save_metrics(m.withColumn("split", F.lit("test")), os.path.join(scratch, "metrics"))
+    assert spark.read.parquet(os.path.join(scratch, "metrics")).count() == 2
+    IO.save_parameters(spark, {"C": 0.1, "loss": "squared_hinge"}, os.path.join(scratch, "params"))
+    import json
+
+    assert json.loads(spark.read.text(os.path.join(scratch, "params")).first()[0]) == {"C": 0.1, "loss": "squared_hinge"}
+
+
+def test_compare_pipelines_smoke(spark):
+    from tagwise.operators.text import VectorizerParams
+    from tagwise.plans import jobs as J
+    from tagwise.plans import pipeline as P
+    from tests.conftest import SF_SMALL
+
+    train, _ = P.split(P.corpus(spark, SF_SMALL))
+    cands = {
+        "base": P.PipelineParams(vectorizer=VectorizerParams(max_features=2000, ngram_range=(1, 1)), k_features=500),
+        "bigrams": P.PipelineParams(vectorizer=VectorizerParams(max_features=2000, ngram_range=(1, 2)), k_features=500),
+    }
+    out = {r["candidate"]: r for r in J.compare_pipelines(train, cands, "base").collect()}
+    assert set(out) == {"base", "bigrams"} and out["base"]["improvement"] == 0.0
+    assert sorted(r["rank"] for r in out.values()) == [1, 2]
