@@ -36,11 +36,16 @@ def joined(c) -> F.Column:
 _FIT_CACHE: dict = {}
 
 
+def _sid(spark: SparkSession):
+    """Session identity for the caches: a stopped session's id() may be reused, its application id not."""
+    return (spark.sparkContext.applicationId, id(spark))
+
+
 def _stage(spark: SparkSession, sf_dir: str, name: str):
     """Fit stages cached per session and input folder, so each key only runs the stages it needs."""
     from pyspark import StorageLevel
 
-    key = (id(spark), sf_dir, name)
+    key = (_sid(spark), sf_dir, name)
     if key in _FIT_CACHE:
         return _FIT_CACHE[key]
     if name == "split":
@@ -72,7 +77,7 @@ def _stage(spark: SparkSession, sf_dir: str, name: str):
 
 def fitted_nb(spark: SparkSession, sf_dir: str):
     """Default pipeline fitted on the training split (cached per session and input folder)."""
-    key = (id(spark), sf_dir, "nb")
+    key = (_sid(spark), sf_dir, "nb")
     if key not in _FIT_CACHE:
         from tagwise.operators.bayes import fit_nb
 
@@ -672,7 +677,7 @@ _STREAM_CACHE: dict = {}
 def _stream(spark, sf_dir):
     from tagwise.streaming.scorer import run_scorer
 
-    key = (id(spark), sf_dir)
+    key = (_sid(spark), sf_dir)
     if key not in _STREAM_CACHE:
         fitted, _, _, _ = fitted_nb(spark, sf_dir)
         _STREAM_CACHE[key] = run_scorer(spark, sf_dir, fitted)
@@ -693,7 +698,7 @@ def q_stream_quarantine(spark, sf_dir):
 def _fit_linear(spark, sf_dir, kind):
     from tagwise.operators.trainer import fit_linear
 
-    key = (id(spark), sf_dir, kind)
+    key = (_sid(spark), sf_dir, kind)
     if key not in _FIT_CACHE:
         fitted, prep, _, test = fitted_nb(spark, sf_dir)
         model = fit_linear(prep.x, prep.y, prep.stats, kind=kind, C=0.1, alpha=1.0, rows=prep.rows.select("row_id"))
@@ -727,7 +732,7 @@ def q_pipeline_predict(spark, sf_dir):
 def _nb_curve(spark, sf_dir, alphas):
     from tagwise.operators import cv as CV
 
-    key = (id(spark), sf_dir, "nb_curve", tuple(alphas))
+    key = (_sid(spark), sf_dir, "nb_curve", tuple(alphas))
     if key not in _FIT_CACHE:
         _, prep, _, _ = fitted_nb(spark, sf_dir)
         c = CV.curve(CV.nb_cv_scores(prep.x, prep.y, prep.rows.select("row_id"), prep.stats, alphas))
