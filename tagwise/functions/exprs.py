@@ -48,37 +48,6 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), 0)
 
 
-def remove_stop_words(toks: Column, stop_words: list[str] | None) -> Column:
-    if not stop_words:
-        return toks
-    stop = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(toks, lambda t: ~F.array_contains(stop, t))
-
-
-def ngrams(toks: Column, n_min: int, n_max: int) -> Column:
-    """All word n-grams for n in [n_min, n_max], joined by one space (no bad array index)."""
-    parts = []
-    for n in range(n_min, n_max + 1):
-        if n == 1:
-            parts.append(toks)
-            continue
-        seq = F.sequence(F.lit(1), F.size(toks) - F.lit(n - 1))
-        grams = F.transform(seq, lambda i, _n=n: F.array_join(F.slice(toks, i, F.lit(_n)), " "))
-        parts.append(F.when(F.size(toks) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
-
-
-def char_ngrams(text: Column, n_min: int, n_max: int) -> Column:
-    """Character n-grams of the lower-cased text (whole text, every position)."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    parts = []
-    for n in range(n_min, n_max + 1):
-        seq = F.sequence(F.lit(1), F.length(t) - F.lit(n - 1))
-        grams = F.transform(seq, lambda i, _n=n: F.substring(t, i, _n))
-        parts.append(F.when(F.length(t) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
-
-
 def sigmoid(c: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-c))
 
