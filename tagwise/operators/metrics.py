@@ -30,7 +30,7 @@ def label_counts(truth: DataFrame, pred: DataFrame, label_ids: DataFrame, n_rows
         F.sum((1 - F.col("t")) * F.col("p")).cast("long").alias("fp"),
         F.sum(F.col("t") * (1 - F.col("p"))).cast("long").alias("fn"),
     )
-    out = label_ids.select("label_idx").join(F.broadcast(c), "label_idx", "left")
+    out = label_ids.select("label_idx").join(c, "label_idx", "left")  # AQE broadcasts it from runtime size
     out = out.select(
         "label_idx",
         *[F.coalesce(F.col(k), F.lit(0)).cast("long").alias(k) for k in ("tp", "fp", "fn")],
