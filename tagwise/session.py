@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,8 +35,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is.
-    Only when it is unset (local tests) do we pick a scratch folder of our own.
+    ``spark.checkpoint.dir`` (or a folder already set on the context) is used as is. Only a single-JVM
+    ``local`` master, where driver and executors are one process, may fall back to a scratch folder of its
+    own; on a cluster a missing setting is an error, because executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,18 +45,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tagwise-ckpt-", dir="/tmp")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="tagwise-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def state_path(spark: SparkSession, name: str = "state") -> str:
+    """A fresh path inside the shared checkpoint folder (a new run id each time)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tagwise-{name}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Fit barrier: write the (small) fitted-state table into the shared checkpoint folder and read it back.
+    """Fit barrier: write the table into the shared checkpoint folder and read it back.
 
     A written table survives executor loss (unlike localCheckpoint) and cuts the lineage so later
     stages never recompute the fit; it costs one job (a reliable ``checkpoint()`` costs two).
     """
-    base = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{base.rstrip('/')}/tagwise-state/{uuid.uuid4().hex}"
+    path = state_path(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
