@@ -1,14 +1,72 @@
-"""Training-corpus pipeline over ``documents``; each stage is written as Parquet and reread as the next one's docs."""
+"""Training-corpus pipeline over ``documents``.
+
+STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes
+as Parquet in the shared checkpoint folder and rereads as the next stage's docs. All stages but the last return the
+columns of ``documents`` (extra columns included). Rows without a doc_id or text are documents like any other.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tagwise.session import materialize
+from tagwise.llm import ledger, packing, quality, simhash, suffix
+from tagwise.session import materialize, state_path
 from tagwise.sources.tables import table
 
-STAGES: list = []
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine scores below 0.5 go. Scored in place, without a shuffle."""
+    score = quality.scorer(spark, quality.fit(docs, table(spark, sf_dir, "labels")))
+    # the score is a row's own expression: it adds no column that could clash
+    return docs.where(score(F.col("text"), F.col("n_chars")) >= 0.5)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each SimHash group stays.
+
+    Rows that repeat a doc_id are copies of it and one stays; rows without an id cannot be told apart by it and stay.
+    """
+    groups = simhash.simhash_groups(docs)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.where(F.col("doc_id").isNotNull())
+    stays = named.join(kept, named["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    return stays.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def _with_text(docs: DataFrame, text: F.Column, n_chars: F.Column) -> DataFrame:
+    return docs.select(*[{"text": text.alias("text"), "n_chars": n_chars.cast("long").alias("n_chars")}.get(c, F.col(f"`{c}`")) for c in docs.columns])
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 200-byte strings are removed; a character that is cut in two goes as a whole."""
+    return suffix.drop_repeats(docs)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked. Findings are joined back by blob, so every path of a blob is masked."""
+    versions = docs.select(F.col("doc_id").alias("key"), "text")
+    found = ledger.update_ledger(versions, state_path(spark, "ledger")).where(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    joined = docs.join(found.dropDuplicates(["_blob"]), ledger.blob_id(docs["text"]) == F.col("_blob"), "left")
+    text = F.when(F.col("_spans").isNotNull(), ledger.redact(docs["text"], F.col("_spans"))).otherwise(docs["text"])
+    return _with_text(joined.drop("_blob"), text, F.when(F.col("_spans").isNull(), docs["n_chars"]).otherwise(F.length(text))).drop("_spans")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document that is left, with its sequence and offset."""
+    return packing.packed_documents(docs)
+
+
+STAGES = [
+    ("quality_classifier", quality_stage),
+    ("simhash_near_dedup", near_dedup_stage),
+    ("suffix_array_dedup", substring_stage),
+    ("secret_scans", secrets_stage),
+    ("best_fit_packing", packing_stage),
+]
+
+# SQL cannot express the fitted classifier, the byte-level tokenizer or the genetic algorithm; tests/llm/test_pipeline.py
+# holds the stages against brute-force versions
 ORACLE_SQL = None
 
 

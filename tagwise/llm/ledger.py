@@ -50,8 +50,8 @@ def blob_id(text: Column) -> Column:
 
 def _spans(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of one rule: each piece is the gap before a match plus the match; running lengths give the offsets."""
-    pieces = F.regexp_extract_all(text, F.lit(f"(?s)(.*?)({rule.pattern})"), F.lit(0))
-    gaps = F.regexp_extract_all(text, F.lit(f"(?s)(.*?)({rule.pattern})"), F.lit(1))
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s)\\G(.*?)({rule.pattern})"), F.lit(0))
+    gaps = F.regexp_extract_all(text, F.lit(f"(?s)\\G(.*?)({rule.pattern})"), F.lit(1))
     both = F.arrays_zip(pieces.alias("piece"), gaps.alias("gap"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 

@@ -2,12 +2,45 @@
 
 from __future__ import annotations
 
+from tagwise.llm.balltree import op5_exact_top_k
+from tagwise.llm.bpe import op6_bpe_encode_decode
+from tagwise.llm.density import op4_html_extraction
+from tagwise.llm.langid import op9_language_id
 from tagwise.llm.ledger import op7_secret_scans
+from tagwise.llm.packing import op2_best_fit_packing
+from tagwise.llm.quality import op1_quality_classifier
 from tagwise.llm.simhash import op10_simhash_near_dedup
+from tagwise.llm.suffix import op8_suffix_array_dedup
+from tagwise.llm.vectors import op3_embedding_near_dedup
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_exact_top_k": op5_exact_top_k,
+    "op6_bpe_encode_decode": op6_bpe_encode_decode,
     "op7_secret_scans": op7_secret_scans,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_language_id": op9_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+# SQL for the operators that it can express on whole tables; the others are tested against brute force in tests/llm
+ORACLE: dict[str, str] = {
+    # all pairs by integer inner product: the queries against all rows
+    "op5_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[]) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+}
