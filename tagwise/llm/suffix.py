@@ -152,7 +152,7 @@ def _windows(joined: DataFrame, window: int) -> DataFrame:
                     for e in edges or ():
                         first, n = divmod(e["run"], 1024)
                         h = _Rolling(data[first : first + n + window - 1]).every(window)
-                        cols[0].append(_mix(h + np.uint64(e["bucket"] & 0xFFFFFFFFFFFFFFFF) * np.uint64(_BASE)))
+                        cols[0].append(_mix(h + np.uint64(e["bucket"] * _BASE % (1 << 64))))
                         cols[1].append(np.full(n, key, np.int64))
                         cols[2].append(np.arange(first, first + n, dtype=np.int64) if e["open"] else np.full(n, -1, np.int64))
                 if cols[0]:
@@ -201,8 +201,8 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, q: int = QGRAM) -> tu
 
 def _removed(size: int, window: int, whole: list[int] | None, hits: list[int] | None) -> np.ndarray:
     """Maximal removed runs as an array of (begin, end)."""
-    w = np.array(sorted(whole or ()), np.int64)
-    h = np.array(hits or (), np.int64)
+    w, h = (np.array([] if x is None else x, np.int64) for x in (whole, hits))
+    w.sort()
     begin = np.concatenate([w // 1024, h])
     end = np.concatenate([w // 1024 + w % 1024 - 1 + window, h + window])
     if not len(begin):

@@ -53,7 +53,7 @@ def test_pools_open_bins_over_blocks(spark):
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 2049, 3000).tolist()
     items = spark.createDataFrame(list(enumerate(lengths)), "id long, length long")
-    got = packing.pack(items, block_items=256).collect()
+    got = packing.pack(items, block_items=1024).collect()
     assert sorted(r.id for r in got) == list(range(3000))
     used, bound = len({r.sequence_id for r in got}), packing.lower_bound(np.array(lengths), 2048)
     assert used <= bound * 1.01 + 2
