@@ -15,6 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "nb_predict",
+    "svm_scores",
+    "pipeline_predict",
     "tfidf_fit",
     "chi2_scores",
     "vocabulary_topn",

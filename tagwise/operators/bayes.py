@@ -17,7 +17,7 @@ from tagwise.plans.broadcast import small
 from tagwise.session import materialize
 
 
-def nb_coefficients(grid: DataFrame, stats: TrainingStats, alpha: float, fit_prior: bool = False) -> tuple[DataFrame, DataFrame]:
+def nb_coefficients(grid: DataFrame, stats: TrainingStats, alpha: float) -> tuple[DataFrame, DataFrame]:
     """Coefficient table ``(feat_idx, label_idx, w)`` and intercepts ``(label_idx, b)`` from the contingency grid."""
     a = F.lit(float(alpha))
     nf = F.lit(float(stats.n_features))
@@ -35,45 +35,20 @@ def nb_coefficients(grid: DataFrame, stats: TrainingStats, alpha: float, fit_pri
     g = g.join(small(totals, stats.n_labels), "label_idx")
     w = F.log((F.col("n1c") + a) / (F.col("N1") + a * nf)) - F.log((F.col("n0c") + a) / (F.col("N0") + a * nf))
     coef = g.select("feat_idx", "label_idx", w.alias("w"))
-    n = float(stats.n_rows)
-    if fit_prior:
-        b = F.log(F.col("n_pos") / F.lit(n)) - F.log((F.lit(n) - F.col("n_pos")) / F.lit(n))
-    else:
-        b = F.lit(0.0)
-    # one row per label from the (small) label table itself, not from the feature x label grid
-    labels = grid.sparkSession.range(stats.n_labels).select(F.col("id").cast("int").alias("label_idx"))
-    pos = grid.select("label_idx", "n_pos").where(F.col("feat_idx") == F.lit(0)) if fit_prior else None
-    if pos is not None:
-        labels = labels.join(pos, "label_idx", "left")
-    intercept = labels.select("label_idx", b.alias("b"))
+    # uniform prior: no intercept, one row per label
+    intercept = grid.sparkSession.range(stats.n_labels).select(F.col("id").cast("int").alias("label_idx"), F.lit(0.0).alias("b"))
     return coef, intercept
 
 
-def fit_nb(x: DataFrame, y: DataFrame, stats: TrainingStats, alpha: float = 1.0, fit_prior: bool = False) -> LinearModel:
+def fit_nb(x: DataFrame, y: DataFrame, stats: TrainingStats, alpha: float = 1.0) -> LinearModel:
     """Fit on training rows only; the result is a materialised, size-known coefficient table."""
     grid = feature_label_grid(x, y, stats)
-    coef, intercept = nb_coefficients(grid, stats, alpha, fit_prior)
+    coef, intercept = nb_coefficients(grid, stats, alpha)
     return LinearModel(
         coef=materialize(coef),
         intercept=materialize(intercept),
         n_features=stats.n_features,
         n_labels=stats.n_labels,
         kind="nb",
-        params={"alpha": float(alpha), "fit_prior": bool(fit_prior)},
+        params={"alpha": float(alpha)},
     )
-
-
-def nb_grid_coefficients(x: DataFrame, y: DataFrame, stats: TrainingStats, alphas: list[float]) -> DataFrame:
-    """Several smoothing values in one pass: ``(cand, feat_idx, label_idx, w)`` over one shared grid."""
-    grid = feature_label_grid(x, y, stats)
-    per = []
-    for i, a in enumerate(alphas):
-        coef, _ = nb_coefficients(grid, stats, a)
-        per.append(coef.withColumn("cand", F.lit(i)))
-    out = per[0]
-    for p in per[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-__all__ = ["fit_nb", "nb_coefficients", "nb_grid_coefficients", "small"]

@@ -9,15 +9,15 @@ from tagwise.functions.exprs import clean_title, strip_ws, truncate_text
 
 
 def first_per_key(df: DataFrame, key: str, order: str = "row_id") -> DataFrame:
-    """Keep the first row (smallest ``order``) per raw ``key`` value; null keys are dropped.
+    """Keep the first row (smallest ``order``, which is unique) per raw ``key`` value; null keys are dropped.
 
-    The (key -> min order) table is a partial aggregate over two narrow columns, so a key that holds a
-    third of all rows is combined map-side; the rows are then kept by a semi-join on (key, order), whose
-    join key includes the unique row key, so a hot title still spreads over all tasks and wide text
-    columns are never sorted or aggregated.
+    Keys of any length are told by a 256-bit hash. (hash -> min order) is a partial aggregate over two narrow
+    columns, so a key that holds a third of all rows is combined map-side; the rows are then kept by a semi-join on
+    the unique ``order`` alone, so a hot key spreads over all tasks and the wide columns move at most once, by the
+    same column as later joins.
     """
-    firsts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias(order))
-    return df.join(firsts, [key, order], "left_semi")
+    firsts = df.filter(F.col(key).isNotNull()).groupBy(F.sha2(F.col(key).cast("binary"), 256)).agg(F.min(order).alias(order))
+    return df.join(firsts.select(order), order, "left_semi")
 
 
 def clean_titles(df: DataFrame, col: str = "movie_name", lowercase: bool = False) -> DataFrame:

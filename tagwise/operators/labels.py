@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwise.functions.exprs import parse_labels
-from tagwise.plans.broadcast import fits_literal, small
+from tagwise.plans.broadcast import small
 from tagwise.operators.indexing import WINDOW_LIMIT, dense_index
 from tagwise.session import materialize
 
@@ -50,17 +50,10 @@ class LabelIndex:
 
     table: DataFrame
     n_labels: int
-    _rows: list | None = None
 
     def names(self) -> DataFrame:
         return self.table
 
-    def rows(self) -> list:
-        """(label_idx, label) pairs, fetched once (only called when n_labels <= LITERAL_LIMIT)."""
-        if self._rows is None:
-            self._rows = [(r["label_idx"], r["label"]) for r in self.table.orderBy("label_idx").collect()]
-        return self._rows
-
 
 def index_labels(labels: DataFrame) -> LabelIndex:
     """Dense index over the (small) distinct-label table, sorted by label."""
@@ -77,21 +70,8 @@ def fit_labels(parsed: DataFrame, min_pct: float = DEFAULT_MIN_LABEL_PCT) -> Lab
     return index_labels(kept_labels(label_frequency(parsed), min_pct))
 
 
-def _label_map(index: LabelIndex):
-    """label -> label_idx as a literal map when the (counted) index is small enough, else None."""
-    if not fits_literal(index.n_labels):
-        return None
-    rows = index.rows()  # bounded: n_labels <= LITERAL_LIMIT
-    return F.create_map(*[x for idx, lab in rows for x in (F.lit(lab), F.lit(idx))])
-
-
 def restrict_labels(parsed: DataFrame, index: LabelIndex) -> DataFrame:
     """Keep only known labels; rows left without labels are dropped."""
-    m = _label_map(index)
-    if m is not None:
-        # narrow: no join, no shuffle
-        kept = F.filter("labels", lambda x: m[x].isNotNull())
-        return parsed.withColumn("labels", kept).filter(F.size("labels") > 0)
     known = small(index.table.select("label"), index.n_labels)
     pairs = exploded(parsed).join(known, "label", "left_semi")
     lists = pairs.groupBy("row_id").agg(F.array_sort(F.collect_list("label")).alias("labels"))
@@ -100,10 +80,6 @@ def restrict_labels(parsed: DataFrame, index: LabelIndex) -> DataFrame:
 
 def multi_hot(parsed: DataFrame, index: LabelIndex) -> DataFrame:
     """T20 transform: sparse multi-hot target ``(row_id, label_idx)``; unknown labels are dropped."""
-    m = _label_map(index)
-    if m is not None:
-        idx = F.filter(F.transform("labels", lambda x: m[x]), lambda i: i.isNotNull())
-        return parsed.select("row_id", F.explode(F.transform(idx, lambda i: i.cast("int"))).alias("label_idx"))
     return exploded(parsed).join(small(index.table, index.n_labels), "label", "inner").select("row_id", "label_idx")
 
 
@@ -120,14 +96,9 @@ def decode_labels(rows: DataFrame, pred: DataFrame, index: LabelIndex) -> DataFr
 
 def label_stats(parsed: DataFrame, index: LabelIndex) -> DataFrame:
     """A3: rows with missing labels, mean labels per row, rows lost by the rare-label rule."""
-    m = _label_map(index)
-    if m is not None:
-        n_kept = F.size(F.filter("labels", lambda x: m[x].isNotNull()))
-        per_row = parsed.select("labels", n_kept.alias("_n_kept"))
-    else:
-        known = small(index.table.select("label"), index.n_labels)
-        kept = exploded(parsed).join(known, "label", "left_semi").groupBy("row_id").agg(F.count(F.lit(1)).alias("_n_kept"))
-        per_row = parsed.join(kept, "row_id", "left").select("labels", F.coalesce("_n_kept", F.lit(0)).alias("_n_kept"))
+    known = small(index.table.select("label"), index.n_labels)
+    kept = exploded(parsed).join(known, "label", "left_semi").groupBy("row_id").agg(F.count(F.lit(1)).alias("_n_kept"))
+    per_row = parsed.select("row_id", "labels").join(kept, "row_id", "left").select("labels", F.coalesce("_n_kept", F.lit(0)).alias("_n_kept"))
     return per_row.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.size("labels") == 0).alias("n_missing"),

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagwise.plans.broadcast import fits_literal, small
+from tagwise.plans.broadcast import join_state
 
 INTERCEPT_FEATURE = -1
 
@@ -37,15 +37,14 @@ def decision_scores(x: DataFrame, rows: DataFrame, model: LinearModel) -> DataFr
     """score(row, label) = Σ_f x·w + b for every row in ``rows`` and every label.
 
     The coefficient table (F·L rows, bounded by the vocabulary cap × label count) is broadcast when its
-    counted size allows; rows are hash-partitioned by row_id once so the per-row sums and the later
-    per-row top-k window share that partitioning.
+    counted size allows; the products are summed map-side before their one shuffle by (row, label).
     """
     bias = model.intercept.select(F.lit(INTERCEPT_FEATURE).alias("feat_idx"), "label_idx", F.col("b").alias("w"))
     coef = model.coef.select("feat_idx", "label_idx", "w").unionByName(bias)
     n_coef = (model.n_features + 1) * model.n_labels
-    feats = x.select("row_id", "feat_idx", "value").unionByName(_intercept_rows(rows)).repartition("row_id")
+    feats = x.select("row_id", "feat_idx", "value").unionByName(_intercept_rows(rows))
     return (
-        feats.join(small(coef, n_coef), "feat_idx", "inner")
+        join_state(feats, coef, "feat_idx", n_coef)
         .groupBy("row_id", "label_idx")
         .agg(F.sum(F.col("value") * F.col("w")).alias("score"))
     )
@@ -54,11 +53,3 @@ def decision_scores(x: DataFrame, rows: DataFrame, model: LinearModel) -> DataFr
 def baseline_predictions(scores: DataFrame) -> DataFrame:
     """The estimator's own predict: score > 0 (= probability > 0.5)."""
     return scores.withColumn("pred", (F.col("score") > 0).cast("int"))
-
-
-def label_lookup(table: DataFrame, key: str, value: str, n_rows: int):
-    """Small label-keyed table as a literal map (when it fits), for use inside expressions."""
-    if not fits_literal(n_rows):
-        return None
-    rows = table.select(key, value).collect()  # bounded by fits_literal
-    return F.create_map(*[x for r in rows for x in (F.lit(r[key]), F.lit(r[value]))])

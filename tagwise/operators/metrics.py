@@ -7,7 +7,7 @@ table so labels that are never true or never predicted still appear.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagwise.functions.exprs import f1_from_counts, safe_div
@@ -112,6 +112,12 @@ def labels_per_row_hist(rows: DataFrame, truth: DataFrame, pred: DataFrame) -> D
     )
 
 
+def _all_pairs(ids: DataFrame, col: str, a: str, b: str) -> DataFrame:
+    """Every pair of ids of a small table, zero cells of a heat map included; the list is a scalar subquery."""
+    every = ids.agg(F.collect_set(col)).scalar()
+    return ids.select(F.col(col).alias(a), F.explode(every).alias(b))
+
+
 def cooccurrence(truth: DataFrame, label_ids: DataFrame) -> DataFrame:
     """Rows having both labels i and j (diagonal = rows with label i); zero cells included.
 
@@ -120,10 +126,7 @@ def cooccurrence(truth: DataFrame, label_ids: DataFrame) -> DataFrame:
     a = truth.select("row_id", F.col("label_idx").alias("label_i"))
     b = truth.select("row_id", F.col("label_idx").alias("label_j"))
     c = a.join(b, "row_id").groupBy("label_i", "label_j").agg(F.count(F.lit(1)).alias("n"))
-    ids = [r["label_idx"] for r in label_ids.select("label_idx").collect()]  # label table: small, counted
-    grid = label_ids.select(F.col("label_idx").alias("label_i")).select(
-        "label_i", F.explode(F.array(*[F.lit(i) for i in ids])).alias("label_j")
-    )
+    grid = _all_pairs(label_ids, "label_idx", "label_i", "label_j")
     return grid.join(c, ["label_i", "label_j"], "left").select(
         "label_i", "label_j", F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )
@@ -143,10 +146,7 @@ def confusion_patterns(truth: DataFrame, pred: DataFrame, label_ids: DataFrame)
         .agg(F.count(F.lit(1)).alias("n"))
     )
     c = diag.select("label_i", "label_j", "n").unionByName(off)
-    ids = [r["label_idx"] for r in label_ids.select("label_idx").collect()]
-    grid = label_ids.select(F.col("label_idx").alias("label_i")).select(
-        "label_i", F.explode(F.array(*[F.lit(i) for i in ids])).alias("label_j")
-    )
+    grid = _all_pairs(label_ids, "label_idx", "label_i", "label_j")
     return grid.join(c, ["label_i", "label_j"], "left").select(
         "label_i", "label_j", F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )
@@ -157,10 +157,7 @@ def confusion_matrix(true_cls: DataFrame, pred_cls: DataFrame) -> DataFrame:
     j = true_cls.join(pred_cls, "row_id")
     c = j.groupBy("true_idx", "pred_idx").agg(F.count(F.lit(1)).alias("n"))
     seen = true_cls.select(F.col("true_idx").alias("l")).union(pred_cls.select(F.col("pred_idx").alias("l"))).distinct()
-    ids = sorted(r["l"] for r in seen.collect())  # bounded by the class count
-    grid = seen.select(F.col("l").alias("true_idx")).select(
-        "true_idx", F.explode(F.array(*[F.lit(i) for i in ids])).alias("pred_idx")
-    )
+    grid = _all_pairs(seen, "l", "true_idx", "pred_idx")
     return grid.join(c, ["true_idx", "pred_idx"], "left").select(
         "true_idx", "pred_idx", F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )
@@ -187,7 +184,32 @@ def confidence_stats(proba: DataFrame) -> DataFrame:
     return proba.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("proba").alias("mean"),
-        F.percentile("proba", F.lit(0.5)).alias("median"),
+        F.lit(exact_median(proba, "proba")).alias("median"),
         F.min("proba").alias("min"),
         F.max("proba").alias("max"),
     )
+
+
+def exact_median(df: DataFrame, col: str, bins: int = 4096) -> float | None:
+    """Median of a column of values in [0, 1]: two rounds of counting by equal-width bins (partial aggregates, one
+    row per bin), then the exact percentile of the distinct values left in the bin of the middle rank."""
+    df, lo, width, rank = df.select(F.col(col).alias("x")).where("x IS NOT NULL"), 0.0, 1.0, None
+    for _ in range(2):
+        b = F.least(F.floor((F.col("x") - lo) / (width / bins)), F.lit(bins - 1)).cast("int")
+        counts = sorted((r["b"], r["n"]) for r in df.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+        n = sum(c for _, c in counts)
+        if not n:
+            return None
+        rank = (n - 1) / 2 if rank is None else rank
+        seen = 0
+        for i, c in counts:
+            if seen + c > int(rank):
+                break
+            seen += c
+        if seen + c <= int(rank + 0.5):  # the two middle values lie in different bins
+            break
+        df, lo, width, rank = df.where(b == i), lo + i * width / bins, width / bins, rank - seen
+    per = df.groupBy("x").agg(F.count(F.lit(1)).alias("n")).orderBy("x")
+    above = per.withColumn("upto", F.sum("n").over(Window.orderBy("x")))  # distinct values of one bin
+    mid = above.where((F.col("upto") > int(rank)) & (F.col("upto") - F.col("n") <= int(rank + 0.5))).agg(F.min("x"), F.max("x")).first()
+    return (mid[0] + mid[1]) / 2

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwise.operators.indexing import WINDOW_LIMIT, dense_index
-from tagwise.plans.broadcast import small
+from tagwise.plans.broadcast import join_state, small
 from tagwise.session import materialize
 
 
@@ -123,5 +123,5 @@ def select_k_best(scores: DataFrame, k: int) -> Selection:
 
 def apply_selection(x: DataFrame, sel: Selection) -> DataFrame:
     """Keep selected columns, renumbered; no re-normalisation afterwards."""
-    m = small(sel.table.select("feat_idx", "sel_idx"), sel.k)
-    return x.join(m, "feat_idx", "inner").select("row_id", F.col("sel_idx").alias("feat_idx"), "value")
+    m = sel.table.select("feat_idx", "sel_idx")
+    return join_state(x, m, "feat_idx", sel.k).select("row_id", F.col("sel_idx").alias("feat_idx"), "value")

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
 from tagwise.functions.exprs import TOKEN_GAP_PATTERN, tokens  # noqa: F401
 from tagwise.functions.stopwords import token_stop_words
 from tagwise.operators.indexing import WINDOW_LIMIT, dense_index
-from tagwise.plans.broadcast import small
+from tagwise.plans.broadcast import join_state
 from tagwise.session import materialize
 
 VECTORIZER_KEYS = {"max_features", "ngram_range", "min_df", "max_df", "sublinear_tf", "use_idf", "smooth_idf", "stop_words", "norm"}
@@ -88,10 +87,9 @@ def doc_terms(docs: DataFrame, params: VectorizerParams, text_col: str = "descri
 
 
 def by_row(docs: DataFrame) -> DataFrame:
-    """Hash-partition documents by row_id once (explicit count, so AQE keeps the parallelism of this
-    CPU-heavy text stage); per-row aggregates downstream then need no further exchange."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.repartition(n, "row_id")
+    """Hash-partition documents by row_id once; per-row aggregates downstream then need no further exchange, and AQE
+    sizes the partitions by their bytes."""
+    return docs.repartition("row_id")
 
 
 def term_counts(docs: DataFrame, params: VectorizerParams, text_col: str = "description") -> DataFrame:
@@ -141,14 +139,13 @@ class TfidfState:
     n_docs: int
     n_features: int
     params: VectorizerParams
-    counts: DataFrame | None = None  # persisted (row_id, term, tf) of the fitted rows, for reuse
 
 
 def fit_tfidf(docs: DataFrame, params: VectorizerParams = VectorizerParams(), text_col: str = "description") -> TfidfState:
-    """T5/T6/T8 fit on the given (training) rows only."""
+    """T5/T6/T8 fit on the given (training) rows only. Only the surviving terms are kept; the rows are tokenised again
+    when they are transformed, which is cheaper than holding the counts of all terms."""
     n_docs = docs.count()
-    tc = term_counts(docs, params, text_col).persist(StorageLevel.MEMORY_AND_DISK)
-    kept = cap_terms(prune_terms(doc_freq(tc), params, n_docs), params.max_features)
+    kept = cap_terms(prune_terms(doc_freq(term_counts(docs, params, text_col)), params, n_docs), params.max_features)
     kept = materialize(kept)
     n_feat = kept.count()
     if n_feat == 0:
@@ -157,7 +154,7 @@ def fit_tfidf(docs: DataFrame, params: VectorizerParams = VectorizerParams(), te
     vocab = vocab.select("term", "feat_idx", "df", "ttf", idf_expr(n_docs, params.smooth_idf).alias("idf"))
     if n_feat > WINDOW_LIMIT:
         vocab = materialize(vocab)
-    return TfidfState(vocab, n_docs, n_feat, params, tc)
+    return TfidfState(vocab, n_docs, n_feat, params)
 
 
 def weight_expr(tf_col: str, params: VectorizerParams):
@@ -182,19 +179,12 @@ def transform_tfidf(docs: DataFrame, state: TfidfState, text_col: str = "descrip
     before counting, so only in-vocabulary occurrences are aggregated."""
     p = state.params
     terms = doc_terms(by_row(docs.select("row_id", text_col)), p, text_col)
-    vocab = small(state.vocab.select("term", "feat_idx", "idf"), state.n_features)
-    counted = terms.join(vocab, "term", "inner").groupBy("row_id", "feat_idx", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    vocab = state.vocab.select("term", "feat_idx", "idf")
+    counted = join_state(terms, vocab, "term", state.n_features).groupBy("row_id", "feat_idx", "idf").agg(F.count(F.lit(1)).alias("tf"))
     x = counted.select("row_id", "feat_idx", weight_expr("tf", p).alias("value"))
     return l2_normalize(x) if p.norm == "l2" else x
 
 
-def tfidf_from_counts(tc: DataFrame, state: TfidfState) -> DataFrame:
-    """tf-idf from an existing ``(row_id, term, tf)`` table (fit and transform on the same rows)."""
-    vocab = small(state.vocab.select("term", "feat_idx", "idf"), state.n_features)
-    x = tc.join(vocab, "term", "inner").select("row_id", "feat_idx", weight_expr("tf", state.params).alias("value"))
-    return l2_normalize(x) if state.params.norm == "l2" else x
-
-
 # fixed values: the preprocessor grid the reference tuned
 GRID_MAX_FEATURES = (15000, 20000)
 GRID_NGRAM_MAX = (2, 3)
@@ -256,9 +246,9 @@ def char_grams(docs: DataFrame, n: int, text_col: str = "description") -> DataFr
     collapsed). Characters are split once and windowed with Spark ML's ``NGram``; the window's
     separators sit at fixed odd positions, so dropping every second character restores the gram."""
     t = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), WS_RUN_PATTERN, " ")
-    chars = docs.select("row_id", F.split(t, "", -1).alias("_chars"))
+    chars = by_row(docs.select("row_id", text_col)).select("row_id", F.split(t, "", -1).alias("_chars"))
     chars = chars.select("row_id", F.filter("_chars", lambda c: F.length(c) > 0).alias("_chars"))
-    g = NGram(n=n, inputCol="_chars", outputCol="_g").transform(by_row(chars))
+    g = NGram(n=n, inputCol="_chars", outputCol="_g").transform(chars)
     g = g.select("row_id", F.explode("_g").alias("_w"))
     return g.select("row_id", F.regexp_replace("_w", r"(?s)(.) ", "$1").alias("term"))
 

@@ -99,10 +99,11 @@ def _grad_block(block, W, b, cw, kind, F_):
 
 
 class _Oracle:
-    """Distributed loss/gradient over the packed rows (one Spark job per evaluation)."""
+    """Distributed loss/gradient (one Spark job per evaluation) over CSR blocks that are built once and kept."""
 
     def __init__(self, packed: DataFrame, stats: TrainingStats, cw: np.ndarray, kind: str):
-        self.rdd = packed.rdd
+        n_labels = stats.n_labels
+        self.rdd = packed.rdd.mapPartitions(lambda rows: _blocks(rows, n_labels)).persist(StorageLevel.MEMORY_AND_DISK)
         self.sc = packed.sparkSession.sparkContext
         self.L, self.F = stats.n_labels, stats.n_features
         self.cw, self.kind = cw, kind
@@ -114,7 +115,7 @@ class _Oracle:
         def part(it):
             Wb, bb = bw.value
             loss, G, gb = 0.0, np.zeros((L, F_)), np.zeros(L)
-            for blk in _blocks(it, L):
+            for blk in it:
                 lo, g, g_b = _grad_block(blk, Wb, bb, cw, kind, F_)
                 loss += lo
                 G += g
@@ -268,7 +269,7 @@ def fit_linear(
         raise ValueError(f"unsupported penalty {penalty!r} for {kind!r}")
     spark = x.sparkSession
     rows = rows if rows is not None else y.select("row_id").union(x.select("row_id")).distinct()
-    packed = pack_rows(x, y, rows).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = pack_rows(x, y, rows)
     n, L, F_ = stats.n_rows, stats.n_labels, stats.n_features
     cw = class_weights(y, n, L) if balanced else np.ones((L, 2))
     oracle = _Oracle(packed, stats, cw, kind)
@@ -288,7 +289,7 @@ def fit_linear(
     for l, v in const.items():
         W[l] = 0.0
         b[l] = v
-    packed.unpersist()
+    oracle.rdd.unpersist()
     nz = np.nonzero(W)
     coef = spark.createDataFrame(
         [(int(f_), int(l), float(W[l, f_])) for l, f_ in zip(*nz)], "feat_idx int, label_idx int, w double"

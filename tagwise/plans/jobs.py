@@ -5,23 +5,31 @@ The driver only sequences fit barriers and writes small tables; rows never pass
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwise.operators import decide as D
 from tagwise.operators import metrics as M
 from tagwise.operators import tune as TU
-from tagwise.operators.labels import LabelIndex, multi_hot
+from tagwise.operators.labels import LabelIndex, multi_hot, restrict_labels
 from tagwise.operators.linear import LinearModel
 from tagwise.operators.select import Selection
 from tagwise.operators.text import TfidfState, VectorizerParams
 from tagwise.plans import pipeline as P
+from tagwise.session import materialize
 from tagwise.sources import io as IO
 from tagwise.sources import tables
 
 METRIC_NAMES = ("precision", "recall", "f1", "jaccard", "hamming_loss")
 
 
+# order of the rows of the report's macro and confidence parts
+MACRO_NAMES = ("precision", "recall", "f1")
+CONFIDENCE_NAMES = ("mean", "median")
+
+
 def long_metrics(one_row: DataFrame, split: str, run_id: str) -> DataFrame:
     """One-row metric set -> (run_id, split, metric, value)."""
     arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in METRIC_NAMES])
@@ -34,6 +42,7 @@ def evaluate(fitted: P.FittedPipeline, parsed_rows: DataFrame, policy: D.Thresho
     """Five micro metrics of thresholded, top-k-free predictions against the known labels."""
     labels = fitted.features.labels
     policy = policy or D.ThresholdPolicy(D.DEFAULT_THRESHOLD)
+    parsed_rows = restrict_labels(parsed_rows, labels)  # rows without a known label have no truth to compare with
     docs = parsed_rows.select("row_id", "description")
     decided = D.apply_label_thresholds(P.score(fitted, docs), labels.table, policy, labels.n_labels)
     pred = decided.filter(F.col("pred") == 1).select("row_id", "label_idx")
@@ -61,13 +70,8 @@ def save_pipeline(fitted: P.FittedPipeline, path: str) -> None:
             "n_vocab": f.tfidf.n_features,
             "n_docs": f.tfidf.n_docs,
             "k": f.selection.k,
-            "vectorizer": {
-                "max_features": f.tfidf.params.max_features,
-                "ngram_range": list(f.tfidf.params.ngram_range),
-                "min_df": f.tfidf.params.min_df,
-                "max_df": f.tfidf.params.max_df,
-                "sublinear_tf": f.tfidf.params.sublinear_tf,
-            },
+            "vectorizer": asdict(f.tfidf.params),
+            "pipeline": asdict(fitted.params),
         },
         path,
     )
@@ -75,16 +79,13 @@ def save_pipeline(fitted: P.FittedPipeline, path: str) -> None:
 
 def load_pipeline(spark: SparkSession, path: str) -> P.FittedPipeline:
     t, p = IO.load_state(spark, path, ["labels", "vocab", "selection", "coef", "intercept"])
-    v = p["vectorizer"]
-    vp = VectorizerParams(
-        max_features=v["max_features"], ngram_range=tuple(v["ngram_range"]), min_df=v["min_df"], max_df=v["max_df"],
-        sublinear_tf=v["sublinear_tf"],
-    )
+    vp = VectorizerParams.from_dict(p["vectorizer"])
+    params = P.PipelineParams(**{**p["pipeline"], "vectorizer": VectorizerParams.from_dict(p["pipeline"]["vectorizer"])})
     feats = P.FeatureState(
         LabelIndex(t["labels"], p["n_labels"]), TfidfState(t["vocab"], p["n_docs"], p["n_vocab"], vp), Selection(t["selection"], p["k"])
     )
     model = LinearModel(t["coef"], t["intercept"], p["k"], p["n_labels"], p["kind"], p["model"])
-    return P.FittedPipeline(feats, model, P.PipelineParams(model=p["kind"]))
+    return P.FittedPipeline(feats, model, params)
 
 
 def train_job(spark: SparkSession, sf_dir: str, model_dir: str, ledger_path: str, params: P.PipelineParams = P.PipelineParams(model="svm")) -> DataFrame:
@@ -95,7 +96,7 @@ def train_job(spark: SparkSession, sf_dir: str, model_dir: str, ledger_path: str
     led.log_dataset(run, docs, "training", f"{sf_dir}/documents.parquet", "documents")
     train, _ = P.split(P.corpus(spark, sf_dir), params)
     fitted, prep = P.fit_pipeline(train, params)
-    metrics = evaluate(fitted, prep.rows)
+    metrics = materialize(evaluate(fitted, prep.rows))  # logged and returned: scored once
     save_pipeline(fitted, model_dir)
     led.log(run, "param", {"model": params.model, "C": params.C, "alpha": params.alpha, "k_features": params.k_features})
     led.log(run, "model", {"path": model_dir})
@@ -120,7 +121,7 @@ def eval_job(spark: SparkSession, sf_dir: str, model_dir: str | None, ledger_pat
     _, test = P.split(P.corpus(spark, sf_dir))
     run = led.new_run()
     led.log_dataset(run, test.select("row_id", "description", "genre"), "evaluation", f"{sf_dir}/documents.parquet", "test")
-    out = long_metrics(evaluate(fitted, test, policy), "test", run)
+    out = long_metrics(materialize(evaluate(fitted, test, policy)), "test", run)
     led.log(run, "metric", {r["metric"]: r["value"] for r in out.collect()}, prefix="test_")
     return out
 
@@ -145,9 +146,15 @@ def analysis_report(proba: DataFrame, truth: DataFrame, rows: DataFrame, names:
                     threshold: float = D.DEFAULT_THRESHOLD, out_dir: str | None = None) -> DataFrame:
     """One scoring pass feeds every chart aggregate; the result is the stacked long table
     (aggregate, k1, k2, value) and, when ``out_dir`` is given, one small table per aggregate."""
-    pred = proba.filter(F.col("proba") >= F.lit(threshold)).select("row_id", "label_idx").persist()
-    counts = M.label_counts(truth, pred, names, n_rows).persist()
+    proba = materialize(proba)
+    pred = proba.filter(F.col("proba") >= F.lit(threshold)).select("row_id", "label_idx")
+    counts = materialize(M.label_counts(truth, pred, names, n_rows))
     per = M.per_label_metrics(counts, n_rows)
+    sens = TU.threshold_sensitivity(TU.grid_counts(TU.with_truth(proba, truth), TU.SENSITIVITY_GRID, names))
+    hist = M.labels_per_row_hist(rows, truth, pred)
+    scalar = lambda df, cols: df.select(
+        F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("e")
+    ).select("e.*")
 
     def stack(df, name, k1, k2, value):
         return df.select(
@@ -166,13 +173,14 @@ def analysis_report(proba: DataFrame, truth: DataFrame, rows: DataFrame, names:
         "pred_count": stack(M.true_pred_counts(counts), "pred_count", "label_idx", None, "n_pred"),
         "cooccurrence": stack(M.cooccurrence(truth, names), "cooccurrence", "label_i", "label_j", "n"),
         "confusion_patterns": stack(M.confusion_patterns(truth, pred, names), "confusion_patterns", "label_i", "label_j", "n"),
-        "rows_by_true_count": stack(M.labels_per_row_hist(rows, truth, pred), "rows_by_true_count", "n_labels", None, "n_rows_true"),
-        "rows_by_pred_count": stack(M.labels_per_row_hist(rows, truth, pred), "rows_by_pred_count", "n_labels", None, "n_rows_pred"),
+        "rows_by_true_count": stack(hist, "rows_by_true_count", "n_labels", None, "n_rows_true"),
+        "rows_by_pred_count": stack(hist, "rows_by_pred_count", "n_labels", None, "n_rows_pred"),
         "confidence_hist": stack(M.confidence_hist(proba), "confidence_hist", "bin", None, "n"),
-        "sensitivity_f1": stack(
-            TU.threshold_sensitivity(TU.grid_counts(TU.with_truth(proba, truth), TU.SENSITIVITY_GRID, names)),
-            "sensitivity_f1", "j", None, "f1",
-        ),
+        "sensitivity_precision": stack(sens, "sensitivity_precision", "j", None, "precision"),
+        "sensitivity_recall": stack(sens, "sensitivity_recall", "j", None, "recall"),
+        "sensitivity_f1": stack(sens, "sensitivity_f1", "j", None, "f1"),
+        "macro": stack(scalar(M.macro_metrics(per), MACRO_NAMES), "macro", "k", None, "v"),
+        "confidence": stack(scalar(M.confidence_stats(proba), CONFIDENCE_NAMES), "confidence", "k", None, "v"),
     }
     if out_dir:
         for name, df in parts.items():

@@ -376,17 +376,31 @@ oracle("run_search", "SELECT run_id, metric, tag FROM v_runs WHERE tag = 'F' ORD
 oracle(
     "table_fingerprint",
     """
-SELECT count(*) AS n_rows, bit_xor(('0x' || substr(md5(concat_ws('|',
-  coalesce(CAST(doc_id AS VARCHAR), '\\N'), coalesce(text, '\\N'), coalesce(lang, '\\N'), coalesce(source, '\\N'),
-  coalesce(CAST(n_chars AS VARCHAR), '\\N'))), 1, 15))::BIGINT) AS fingerprint
-FROM documents
+SELECT count(*) AS n_rows, bit_xor(h) AS fingerprint, CAST(sum(h) AS VARCHAR) AS hash_sum FROM (
+  SELECT ('0x' || substr(md5(concat(coalesce(length(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(length(text) || ':' || text, '-'),
+    coalesce(length(lang) || ':' || lang, '-'), coalesce(length(source) || ':' || source, '-'),
+    coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-'))), 1, 15))::BIGINT AS h
+  FROM documents) t
 """,
 )
 
-oracle(
-    "stream_predict",
-    "SELECT row_id, array_to_string(labels, ',') AS predicted, CAST(len(labels) AS BIGINT) AS n_labels FROM v_rq_pred",
-)
+# one record per valid request, batch and stream alike
+RECORDS = """
+SELECT r.row_id, array_to_string(p.labels, ',') AS predicted, CAST(len(p.labels) AS BIGINT) AS n_labels, coalesce(c.conf, '') AS confidences,
+  CASE WHEN length(r.description) > 100 THEN substr(r.description, 1, 100) || '...' ELSE r.description END AS description,
+  CAST(length(r.description) AS BIGINT) AS length, length(r.description) BETWEEN 100 AND 500 AS is_optimal,
+  CASE WHEN length(r.description) < 100 THEN 'Description is too short (' || length(r.description) || ' chars). Recommended minimum: 100'
+         || ' characters. Shorter descriptions may result in less accurate predictions.'
+       WHEN length(r.description) > 500 THEN 'Description is quite long (' || length(r.description) || ' chars). Recommended maximum: 500'
+         || ' characters. Very long descriptions may not improve accuracy.' END AS recommendation
+FROM v_req_valid r JOIN v_rq_pred p ON p.row_id = r.row_id LEFT JOIN (
+  SELECT ch.row_id, array_to_string(list(printf('%s:%.6f', li.label, ch.proba) ORDER BY ch.proba DESC, ch.label_idx), '|') AS conf
+  FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY round(proba, 12) DESC, label_idx DESC) AS rk
+        FROM v_rq_scores WHERE proba >= 0.55e0) ch JOIN v_label_index li ON li.label_idx = ch.label_idx
+  WHERE ch.rk <= 3 GROUP BY ch.row_id) c ON c.row_id = r.row_id
+"""
+oracle("stream_predict", RECORDS)
+oracle("predict_text_confidence", RECORDS)
 oracle("stream_quarantine", "SELECT row_id, reason FROM v_req_checked WHERE reason IS NOT NULL")
 
 _CURVE_COLS = ("round(alpha, 6) AS alpha, round(train_mean, 6) AS train_mean, round(train_std, 6) AS train_std, "
@@ -467,7 +481,14 @@ u AS (
   UNION ALL SELECT 'rows_by_true_count', n, NULL, (SELECT count(*) FROM per WHERE nt = bins.n) FROM bins
   UNION ALL SELECT 'rows_by_pred_count', n, NULL, (SELECT count(*) FROM per WHERE np = bins.n) FROM bins
   UNION ALL SELECT 'confidence_hist', CAST(b AS BIGINT), NULL, n FROM ch
-  UNION ALL SELECT 'sensitivity_f1', j, NULL, f1 FROM v_sens)
+  UNION ALL SELECT 'sensitivity_f1', j, NULL, f1 FROM v_sens
+  UNION ALL SELECT 'sensitivity_precision', j, NULL, precision FROM v_sens
+  UNION ALL SELECT 'sensitivity_recall', j, NULL, recall FROM v_sens
+  UNION ALL SELECT 'macro', 0, NULL, avg(precision) FROM v_per_label
+  UNION ALL SELECT 'macro', 1, NULL, avg(recall) FROM v_per_label
+  UNION ALL SELECT 'macro', 2, NULL, avg(f1) FROM v_per_label
+  UNION ALL SELECT 'confidence', 0, NULL, avg(proba) FROM v_proba
+  UNION ALL SELECT 'confidence', 1, NULL, quantile_cont(proba, 0.5) FROM v_proba)
 SELECT aggregate, k1, k2, round(CAST(value AS DOUBLE), 6) AS value FROM u
 """,
 )

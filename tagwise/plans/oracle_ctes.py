@@ -62,7 +62,7 @@ C.add(
     "v_movies",
     """
 select d.doc_id as row_id,
- case when d.doc_id % 83 = 0 then null else substr(d.text, 1, 24) end as movie_name,
+ case when d.doc_id % 83 = 0 then null else d.text end as movie_name,
  case when d.doc_id % 97 = 0 then null else d.text end as description,
  case when d.doc_id % 89 = 0 then null else concat(concat_ws(' ,',
    case when d.lang <> 'en' then d.lang end, d.source,
@@ -85,7 +85,7 @@ C.add(
 SELECT DISTINCT row_id, label_idx FROM (
   SELECT vec_id AS row_id, CAST(label AS INTEGER) AS label_idx FROM embeddings
   UNION ALL
-  SELECT vec_id AS row_id, CAST((label + vec_id) % 10 AS INTEGER) AS label_idx FROM embeddings)
+  SELECT vec_id AS row_id, CAST((label + vec_id) % 64 AS INTEGER) AS label_idx FROM embeddings)
 """,
 )
 C.add("v_score_rows", "SELECT vec_id AS row_id FROM embeddings")
@@ -103,8 +103,8 @@ C.add("v_proba", "SELECT row_id, label_idx, score, 1.0::DOUBLE / (1.0::DOUBLE +
 C.add("v_true_class", "SELECT vec_id AS row_id, CAST(label AS INTEGER) AS true_idx FROM embeddings")
 C.add(
     "v_pred_class",
-    f"""
-SELECT vec_id AS row_id, CAST(list_position(embedding[1:{N_SCORE_LABELS}], list_max(embedding[1:{N_SCORE_LABELS}])) - 1 AS INTEGER) AS pred_idx
+    """
+SELECT vec_id AS row_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS pred_idx
 FROM embeddings
 """,
 )
@@ -595,8 +595,9 @@ GROUP BY hs.h, o.feat_idx, o.label_idx
     C.add(
         f"{prefix}_fc",
         f"""
-SELECT hs.h, c.feat_idx, sum(c.fc) AS fc FROM (SELECT g, feat_idx, sum(value) AS fc FROM {prefix}_x GROUP BY g, feat_idx) c
-JOIN {prefix}_hs hs ON hs.h <> c.g GROUP BY hs.h, c.feat_idx
+SELECT hs.h, s.sel_idx AS feat_idx, coalesce(sum(c.fc), 0.0) AS fc FROM v_selected s CROSS JOIN {prefix}_hs hs
+LEFT JOIN (SELECT g, feat_idx, sum(value) AS fc FROM {prefix}_x GROUP BY g, feat_idx) c ON c.feat_idx = s.sel_idx AND c.g <> hs.h
+GROUP BY hs.h, s.sel_idx
 """,
     )
     C.add(
@@ -666,13 +667,15 @@ nb_cv_ctes("v_nbc", [float(a) for a in _np.logspace(-3, 1, 20)])
 
 
 # ---- held-out evaluation of the NB pipeline (no top-k: thresholded predictions)
-C.add("v_te_rows", "SELECT row_id FROM v_test_parsed")
+# rows without a known label are dropped before scoring
+C.add("v_te_rows", "SELECT DISTINCT row_id FROM v_te_truth")
 C.add(
     "v_te_eval_flags",
     f"""
 SELECT row_id, label_idx, max(t) AS t, max(p) AS p FROM (
   SELECT row_id, label_idx, 1 AS t, 0 AS p FROM v_te_truth
-  UNION ALL SELECT row_id, label_idx, 0 AS t, 1 AS p FROM v_te_scores WHERE proba >= {dbl(THRESHOLD)}) u
+  UNION ALL SELECT row_id, label_idx, 0 AS t, 1 AS p FROM v_te_scores
+  WHERE proba >= {dbl(THRESHOLD)} AND row_id IN (SELECT row_id FROM v_te_rows)) u
 GROUP BY row_id, label_idx
 """,
 )

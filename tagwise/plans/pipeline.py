@@ -13,14 +13,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwise.functions.exprs import is_test
+from tagwise.functions.exprs import is_test, truncate_text
 from tagwise.operators import decide
 from tagwise.operators.bayes import fit_nb
-from tagwise.operators.clean import clean_titles, fill_text
+from tagwise.operators.clean import DEFAULT_OPTIMAL_MAX, DEFAULT_OPTIMAL_MIN, check_request_params, clean_titles, fill_text, length_validation
 from tagwise.operators.labels import LabelIndex, decode_labels, fit_labels, multi_hot, parse_label_column, restrict_labels
 from tagwise.operators.linear import LinearModel, decision_scores
 from tagwise.operators.select import SCORE_FUNCTIONS, Selection, TrainingStats, apply_selection, select_k_best
-from tagwise.operators.text import TfidfState, VectorizerParams, fit_tfidf, tfidf_from_counts, transform_tfidf
+from tagwise.operators.text import TfidfState, VectorizerParams, fit_tfidf, transform_tfidf
 from tagwise.sources import tables
 
 
@@ -35,6 +35,10 @@ class PipelineParams:
     model: str = "nb"
     alpha: float = 1.0
     C: float = 0.1
+    penalty: str = "l2"
+    max_iter: int = 200
+    tol: float = 1e-4
+    balanced: bool = True
 
 
 @dataclass
@@ -83,9 +87,9 @@ def fit_label_stage(train_parsed: DataFrame, params: PipelineParams = PipelinePa
 
 
 def fit_text_stage(rows: DataFrame, params: PipelineParams = PipelineParams()):
-    """Vocabulary + idf and the training tf-idf (from the fit's own term counts: one tokenisation pass)."""
+    """Vocabulary + idf and the training tf-idf."""
     tfidf = fit_tfidf(rows, params.vectorizer)
-    x_all = tfidf_from_counts(tfidf.counts, tfidf).persist(StorageLevel.MEMORY_AND_DISK)
+    x_all = transform_tfidf(rows, tfidf).persist(StorageLevel.MEMORY_AND_DISK)
     return tfidf, x_all
 
 
@@ -96,8 +100,16 @@ def fit_selection_stage(x_all: DataFrame, y: DataFrame, stats: TrainingStats, pa
     return scores, sel, x
 
 
-def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineParams()) -> PreparedTrain:
-    """Labels -> rare-label rule -> drop unlabeled rows -> tf-idf -> score -> k best."""
+def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineParams(), state: FeatureState | None = None) -> PreparedTrain:
+    """Labels -> rare-label rule -> drop unlabeled rows -> tf-idf -> score -> k best.
+
+    F6: with a pre-fitted ``state`` nothing is fitted; the rows are only restricted and transformed by it."""
+    if state is not None:
+        rows = restrict_labels(train_parsed, state.labels).select("row_id", "description", "labels")
+        x_all = transform_tfidf(rows, state.tfidf)
+        stats = TrainingStats(rows.count(), state.labels.n_labels, state.selection.k)
+        scores = state.selection.table.select("feat_idx", "score")
+        return PreparedTrain(state, apply_selection(x_all, state.selection), multi_hot(rows, state.labels), rows, stats, x_all, scores)
     labels, rows, y = fit_label_stage(train_parsed, params)
     tfidf, x_all = fit_text_stage(rows, params)
     n_rows = tfidf.n_docs
@@ -107,6 +119,23 @@ def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineP
     )
 
 
+def prepare_corpus(parsed: DataFrame, params: PipelineParams = PipelineParams()) -> PreparedTrain:
+    """Features fitted on the whole corpus. Leaky: rows that are later held out take part in every fit, so results
+    on them say nothing about unseen rows; only for descriptive tables."""
+    return prepare_features(parsed, params)
+
+
+def split_processed(df: DataFrame, feature_prefix: str = "tfidf_", key: str = "row_id") -> tuple[list[str], list[str]]:
+    """Feature and label columns of a processed (wide) table; an error names what is missing."""
+    features = [c for c in df.columns if c.startswith(feature_prefix)]
+    labels = [c for c in df.columns if c not in features and c != key]
+    if not features:
+        raise ValueError(f"No feature columns (prefix '{feature_prefix}') found. Available columns: {', '.join(df.columns)}")
+    if not labels:
+        raise ValueError(f"No label columns found. Available columns: {', '.join(df.columns)}")
+    return features, labels
+
+
 def transform(state: FeatureState, docs: DataFrame) -> DataFrame:
     """Selected tf-idf features for any rows (unknown terms dropped, no re-normalisation)."""
     return apply_selection(transform_tfidf(docs, state.tfidf), state.selection)
@@ -119,7 +148,10 @@ def fit_pipeline(train_parsed: DataFrame, params: PipelineParams = PipelineParam
     else:
         from tagwise.operators.trainer import fit_linear
 
-        model = fit_linear(prep.x, prep.y, prep.stats, kind=params.model, C=params.C, alpha=params.alpha)
+        model = fit_linear(
+            prep.x, prep.y, prep.stats, kind=params.model, C=params.C, alpha=params.alpha, max_iter=params.max_iter, tol=params.tol,
+            rows=prep.rows.select("row_id"), balanced=params.balanced, penalty=params.penalty,
+        )
     return FittedPipeline(prep.state, model, params), prep
 
 
@@ -141,3 +173,32 @@ def predict(
     decided = decide.apply_label_thresholds(score(fitted, docs), labels.table, policy, labels.n_labels)
     chosen = decide.top_k(decided, k)
     return decode_labels(docs.select("row_id"), chosen.select("row_id", "label_idx"), labels)
+
+
+def predict_records(
+    fitted: FittedPipeline,
+    requests: DataFrame,
+    threshold: float | dict | None = None,
+    k: int = decide.DEFAULT_TOP_K,
+    bounds: tuple[int, int] = (DEFAULT_OPTIMAL_MIN, DEFAULT_OPTIMAL_MAX),
+) -> DataFrame:
+    """One nested record per request ``(row_id, description)``: the text cut to 100 characters, labels in label
+    order, (label, confidence) by confidence, and the length validation. Used by batch and stream alike."""
+    check_request_params(threshold if isinstance(threshold, (int, float)) else None, k)
+    labels = fitted.features.labels
+    policy = decide.resolve_thresholds(threshold, spark=requests.sparkSession)
+    docs = requests.select("row_id", "description")
+    decided = decide.apply_label_thresholds(score(fitted, docs), labels.table, policy, labels.n_labels)
+    lists = decide.confidence_lists(decide.top_k(decided, k), labels.table, labels.n_labels)
+    checked = length_validation(docs, *bounds).select("row_id", F.struct("length", "is_optimal", "recommendation").alias("validation"))
+    return (
+        docs.join(lists, "row_id", "left")
+        .join(checked, "row_id")
+        .select(
+            "row_id",
+            truncate_text(F.col("description")).alias("description"),
+            F.coalesce("labels", F.array().cast("array<string>")).alias("genres"),
+            F.coalesce("genres_with_confidence", F.array().cast("array<struct<genre:string,confidence:double>>")).alias("genres_with_confidence"),
+            "validation",
+        )
+    )

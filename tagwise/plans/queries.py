@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tagwise.functions.exprs import r6
 from tagwise.plans import pipeline as P
+from tagwise.session import state_path
 from tagwise.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -378,9 +379,7 @@ from tagwise.sources import io as IO  # noqa: E402
 @query("scan_docs")
 def q_scan_docs(spark, sf_dir):
     """The movie table written as CSV (quoted, multi-line) and scanned back with the explicit schema."""
-    import hashlib
-
-    path = IO.scratch_dir(spark, "movies_csv_" + hashlib.md5(sf_dir.encode()).hexdigest()[:12])
+    path = state_path(spark, "csv")
     IO.write_csv(tables.movies(spark, sf_dir), path, force=True)
     return IO.read_csv(spark, path)
 
@@ -689,6 +688,16 @@ def q_stream_predict(spark, sf_dir):
     return _stream(spark, sf_dir)[0]
 
 
+@query("predict_text_confidence")
+def q_predict_text_confidence(spark, sf_dir):
+    """Prediction records with confidences and length validation for all valid requests, as one batch."""
+    from tagwise.streaming.scorer import flat_records
+
+    fitted, _, _, _ = fitted_nb(spark, sf_dir)
+    good = CL.validate_requests(tables.requests(spark, sf_dir)).filter("valid").select("row_id", "description")
+    return flat_records(P.predict_records(fitted, good))
+
+
 @query("stream_quarantine")
 def q_stream_quarantine(spark, sf_dir):
     return _stream(spark, sf_dir)[1]
@@ -777,30 +786,29 @@ def q_vocab_grid(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- jobs
+def _trained(spark, sf_dir):
+    """(model folder, ledger folder, train metrics) of this session's training run; each run has folders of its own."""
+    from tagwise.plans import jobs as J
+
+    key = (_sid(spark), sf_dir, "train_job")
+    if key not in _FIT_CACHE:
+        model_dir, ledger = state_path(spark, "model"), state_path(spark, "runs")
+        _FIT_CACHE[key] = model_dir, ledger, J.train_job(spark, sf_dir, model_dir, ledger)
+    return _FIT_CACHE[key]
+
+
 @query("train_job")
 def q_train_job(spark, sf_dir):
     """The full training job (SVM pipeline), state saved, ledger appended; returns train metrics."""
-    import hashlib
-
-    from tagwise.plans import jobs as J
-
-    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
-    return J.train_job(spark, sf_dir, IO.scratch_dir(spark, f"model_{tag}"), IO.scratch_dir(spark, f"ledger_{tag}")).select(
-        "split", "metric", r6(F.col("value")).alias("value")
-    )
+    return _trained(spark, sf_dir)[2].select("split", "metric", r6(F.col("value")).alias("value"))
 
 
 @query("eval_job")
 def q_eval_job(spark, sf_dir):
-    """Evaluates the latest trained model (training it first when the ledger has none)."""
-    import hashlib
-
+    """Evaluates the model that this session's ledger names (trained first if it was not yet)."""
     from tagwise.plans import jobs as J
 
-    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
-    model_dir, ledger = IO.scratch_dir(spark, f"model_{tag}"), IO.scratch_dir(spark, f"ledger_{tag}")
-    if not IO.path_exists(spark, f"{model_dir}/params"):
-        J.train_job(spark, sf_dir, model_dir, ledger).collect()
+    _, ledger, _ = _trained(spark, sf_dir)
     return J.eval_job(spark, sf_dir, None, ledger).select("split", "metric", r6(F.col("value")).alias("value"))
 
 

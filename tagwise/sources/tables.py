@@ -24,7 +24,7 @@ MOVIE_SCHEMA = T.StructType(
     ]
 )
 
-# fixed values: the per-label thresholds fixture (L8, L9 absent on purpose -> global default)
+# fixed values: the per-label thresholds fixture (the labels from L8 on are absent on purpose -> global default)
 THRESHOLD_FIXTURE = [
     ("L0", 0.40),
     ("L1", 0.45),
@@ -35,7 +35,7 @@ THRESHOLD_FIXTURE = [
     ("L6", 0.70),
     ("L7", 0.50),
 ]
-N_SCORE_LABELS = 10
+N_SCORE_LABELS = 64  # one label per embedding element
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +43,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messy movie table over documents ⟕ labels: null/duplicate names, null texts and genres."""
+    """Messy movie table over documents ⟕ labels: null/duplicate names, null texts and genres.
+
+    The whole text is the name, so only exact copies are duplicates."""
     d = table(spark, sf_dir, "documents").alias("d")
     lab = table(spark, sf_dir, "labels").alias("l")
     j = d.join(lab, F.col("d.doc_id") == F.col("l.doc_id"), "left")
@@ -57,9 +59,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return j.select(
         F.col("d.doc_id").alias("row_id"),
-        F.when(F.col("d.doc_id") % 83 == 0, F.lit(None).cast("string"))
-        .otherwise(F.substring(F.col("d.text"), 1, 24))
-        .alias("movie_name"),
+        F.when(F.col("d.doc_id") % 83 == 0, F.lit(None).cast("string")).otherwise(F.col("d.text")).alias("movie_name"),
         F.when(F.col("d.doc_id") % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("d.text")).alias("description"),
         F.when(F.col("d.doc_id") % 89 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(genre_parts, F.lit(", ")))
@@ -72,20 +72,20 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decision scores (row_id, label_idx, score): first ten embedding elements times ten."""
+    """Decision scores (row_id, label_idx, score): every embedding element times ten."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(
         F.col("vec_id").alias("row_id"),
-        F.posexplode(F.slice("embedding", 1, N_SCORE_LABELS)).alias("label_idx", "x"),
+        F.posexplode("embedding").alias("label_idx", "x"),
     ).select("row_id", F.col("label_idx").cast("int").alias("label_idx"), (F.col("x").cast("double") * 10).alias("score"))
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """True labels (row_id, label_idx): {label, (label + vec_id) % 10}."""
+    """True labels (row_id, label_idx): {label, (label + vec_id) % 64}."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(
         F.col("vec_id").alias("row_id"),
-        F.explode(F.array_distinct(F.array(F.col("label").cast("int"), ((F.col("label") + F.col("vec_id")) % 10).cast("int")))).alias(
+        F.explode(F.array_distinct(F.array(F.col("label").cast("int"), ((F.col("label") + F.col("vec_id")) % N_SCORE_LABELS).cast("int")))).alias(
             "label_idx"
         ),
     )
@@ -112,13 +112,11 @@ def true_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pred_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arg-max of the first ten elements (first maximum wins)."""
+    """Arg-max of the elements (first maximum wins)."""
     e = table(spark, sf_dir, "embeddings")
-    first = F.slice("embedding", 1, N_SCORE_LABELS)
-    best = F.array_max(first)
     return e.select(
         F.col("vec_id").alias("row_id"),
-        (F.array_position(first, best) - 1).cast("int").alias("pred_idx"),
+        (F.array_position("embedding", F.array_max("embedding")) - 1).cast("int").alias("pred_idx"),
     )
 
 

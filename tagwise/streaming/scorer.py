@@ -34,6 +34,21 @@ def requests_projection(docs: DataFrame) -> DataFrame:
     )
 
 
+def flat_records(records: DataFrame) -> DataFrame:
+    """Prediction records with the nested parts as text."""
+    shown = F.transform("genres_with_confidence", lambda s: F.format_string("%s:%.6f", s["genre"], s["confidence"]))
+    return records.select(
+        "row_id",
+        F.array_join("genres", ",").alias("predicted"),
+        F.size("genres").cast("long").alias("n_labels"),
+        F.array_join(shown, "|").alias("confidences"),
+        "description",
+        F.col("validation.length").alias("length"),
+        F.col("validation.is_optimal").alias("is_optimal"),
+        F.col("validation.recommendation").alias("recommendation"),
+    )
+
+
 def run_scorer(
     spark: SparkSession,
     source_dir: str,
@@ -42,16 +57,16 @@ def run_scorer(
     checkpoint_dir: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Process everything available (``availableNow``) and return (predictions, quarantine) tables."""
+    # without folders of its own the run is a one-off; a restart must pass the same folders to go on where it stopped
     run = uuid.uuid4().hex[:12]
     sink_dir = sink_dir or scratch_dir(spark, f"stream_sink_{run}")
-    checkpoint_dir = checkpoint_dir or scratch_dir(spark, f"stream_ckpt_{run}")
+    checkpoint_dir = checkpoint_dir or f"{sink_dir}/_progress"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         checked = validate_requests(batch).persist()
         good = checked.filter("valid").select("row_id", "description")
         bad = checked.filter(~F.col("valid")).select("row_id", "reason")
-        pred = P.predict(fitted, good)
-        out = pred.select("row_id", F.array_join("labels", ",").alias("predicted"), F.size("labels").cast("long").alias("n_labels"))
+        out = flat_records(P.predict_records(fitted, good))
         out.write.mode("overwrite").parquet(f"{sink_dir}/predictions/batch_id={batch_id}")
         bad.write.mode("overwrite").parquet(f"{sink_dir}/quarantine/batch_id={batch_id}")
         checked.unpersist()
