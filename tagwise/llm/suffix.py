@@ -28,7 +28,7 @@ character in two when equal strings begin or end inside one.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -116,23 +116,40 @@ def _key(docs: DataFrame) -> DataFrame:
 
 
 def bucket_entries(docs: DataFrame, window: int, q: int) -> DataFrame:
-    """``(key, text)`` -> ``(key, run, bucket, class)``; run = first start * 1024 + number of starts."""
+    """``(key, text)`` -> ``(key, run, more, bucket, class)``; run = first start * 1024 + number of starts.
+
+    Runs of one class within one text are one entry, the others' numbers packed into ``more`` (null if there are none),
+    so lines that a text repeats over and over and periodic texts make no hot bucket.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 128):
                 part = b.slice(k, 128)
-                rows, out = [], []
+                rows, out, more = [], [], []
                 for i, t in enumerate(part.column(1).to_pylist()):
                     first, n, bucket, kind = runs(np.frombuffer(_text_bytes(t), np.uint8), window, q)
-                    if len(first):
-                        rows.append(np.full(len(first), i))
-                        out.append((first * 1024 + n, bucket.view(np.int64), kind.view(np.int64)))
+                    if not len(first):
+                        continue
+                    run = first * 1024 + n
+                    order = np.lexsort((run, kind))
+                    lead = np.flatnonzero(np.concatenate([[True], kind[order][1:] != kind[order][:-1]]))
+                    if len(lead) < len(order):
+                        groups = np.split(run[order], lead[1:])
+                        more += [g[1:].tobytes() if len(g) > 1 else None for g in groups]
+                    else:
+                        more += [None] * len(lead)
+                    rows.append(np.full(len(lead), i))
+                    lead = order[lead]
+                    out.append((run[lead], bucket[lead].view(np.int64), kind[lead].view(np.int64)))
                 if rows:
-                    cols = [pa.array(np.concatenate([o[i] for o in out])) for i in range(3)]
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.concatenate(rows))), *cols], names=["key", "run", "bucket", "class"])
+                    run, bucket, kind = (pa.array(np.concatenate([o[i] for o in out])) for i in range(3))
+                    key = part.column(0).take(pa.array(np.concatenate(rows)))
+                    yield pa.RecordBatch.from_arrays([key, run, pa.array(more, pa.binary()), bucket, kind], names=["key", "run", "more", "bucket", "class"])
 
-    return docs.select("key", "text").where(F.octet_length("text") >= window).mapInArrow(scan, "key long, run long, bucket long, class long")
+    return docs.select("key", "text").where(F.octet_length("text") >= window).mapInArrow(
+        scan, "key long, run long, more binary, bucket long, class long"
+    )
 
 
 def _windows(joined: DataFrame, window: int) -> DataFrame:
@@ -166,14 +183,15 @@ def _windows(joined: DataFrame, window: int) -> DataFrame:
 
 def repeated_starts(docs: DataFrame, window: int = WINDOW, q: int = QGRAM) -> tuple[DataFrame, DataFrame]:
     """Window starts of ``(key, text)`` whose window also starts elsewhere, as two tables of one row per key:
-    ``(key, whole)`` with runs of starts and ``(key, hits)`` with single starts at edges."""
+    ``(key, whole, more)`` with runs of starts (``more``: packed) and ``(key, hits)`` with single starts at edges."""
     entries = bucket_entries(docs, window, q)
     # buckets with a single entry are resolved; the count is combined before the shuffle
-    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    size = F.lit(1) + F.coalesce((F.octet_length("more") / 8).cast("long"), F.lit(0))
+    shared = entries.groupBy("bucket").agg(F.sum(size).alias("n")).where("n > 1").select("bucket")
     held = entries.join(shared, "bucket")
     by_class, by_bucket = Window.partitionBy("bucket", "class"), Window.partitionBy("bucket")
     refined = (
-        held.withColumn("copies", F.count(F.lit(1)).over(by_class))
+        held.withColumn("copies", F.sum(size).over(by_class))
         .withColumn("nth", F.row_number().over(by_class.orderBy("key", "run")))
         .withColumn("mixed", F.min("class").over(by_bucket) != F.max("class").over(by_bucket))
     )
@@ -183,6 +201,7 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, q: int = QGRAM) -> tu
         .groupBy("key")
         .agg(
             F.collect_list(F.when(F.col("copies") > 1, F.col("run"))).alias("whole"),
+            F.collect_list("more").alias("more"),
             F.collect_list(F.when(is_edge, F.struct("run", "bucket", (F.col("copies") == 1).alias("open")))).alias("edges"),
         )
     )
@@ -196,13 +215,13 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, q: int = QGRAM) -> tu
         .groupBy("key")
         .agg(F.collect_set("start").alias("hits"))
     )
-    return marks.select("key", "whole"), hits
+    return marks.select("key", "whole", "more"), hits
 
 
-def _removed(size: int, window: int, whole: list[int] | None, hits: list[int] | None) -> np.ndarray:
+def _removed(size: int, window: int, whole: Iterable[int] | None, more: Iterable[bytes] | None, hits: Iterable[int] | None) -> np.ndarray:
     """Maximal removed runs as an array of (begin, end)."""
     w, h = (np.array([] if x is None else x, np.int64) for x in (whole, hits))
-    w.sort()
+    w = np.sort(np.concatenate([w, *(np.frombuffer(m, np.int64) for m in ([] if more is None else more))]))
     begin = np.concatenate([w // 1024, h])
     end = np.concatenate([w // 1024 + w % 1024 - 1 + window, h + window])
     if not len(begin):
@@ -214,7 +233,7 @@ def _removed(size: int, window: int, whole: list[int] | None, hits: list[int] |
 
 
 def _marked(docs: DataFrame, window: int, q: int) -> DataFrame:
-    """``(key, doc_id, text, whole, hits)`` for every row."""
+    """``(key, doc_id, text, whole, more, hits)`` for every row."""
     keyed = _key(docs)
     whole, hits = repeated_starts(keyed, window, q)
     return keyed.join(whole, "key", "left").join(hits, "key", "left")
@@ -229,9 +248,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, q: int = QGRAM) -> Dat
             for k in range(0, b.num_rows, 64):
                 part = b.slice(k, 64)
                 kept, spans, sizes = [], [], []
-                for text, w, h in zip(*(c.to_pylist() for c in part.columns[1:]), strict=True):
+                for text, w, m, h in zip(*(c.to_pylist() for c in part.columns[1:]), strict=True):
                     data = _text_bytes(text)
-                    gone = _removed(len(data), window, w, h).tolist()
+                    gone = _removed(len(data), window, w, m, h).tolist()
                     kept.append(_kept(data, gone))
                     spans.append([{"begin": x, "end": y} for x, y in gone])
                     sizes.append(len(data))
@@ -241,7 +260,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, q: int = QGRAM) -> Dat
                 )
 
     joined = _marked(docs, window, q)
-    return joined.select("doc_id", "text", "whole", "hits").mapInArrow(cut, f"doc_id {kind}, kept binary, removed array<struct<begin:bigint,end:bigint>>, n_bytes long")
+    return joined.select("doc_id", "text", "whole", "more", "hits").mapInArrow(cut, f"doc_id {kind}, kept binary, removed array<struct<begin:bigint,end:bigint>>, n_bytes long")
 
 
 def _kept(data: bytes, gone: list[list[int]]) -> bytes:
@@ -258,21 +277,19 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, q: int = QGRAM) -> DataF
     keyed = keyed.select(F.coalesce(F.col("row.doc_id").cast("long"), F.xxhash64("row.text")).alias("key"), F.col("row.text").alias("text"), "row")
     whole, hits = repeated_starts(keyed, window, q)
 
+    def changed(text: str, *marks: Iterable | None) -> str:
+        data = _text_bytes(text)
+        return _kept(data, _removed(len(data), window, *marks).tolist()).decode("utf-8", "ignore")
+
     def cut(text: Iterator) -> Iterator:
         import pandas as pd
 
-        for t, w, h in text:
-            yield pd.Series(
-                [
-                    x if a is None and b is None else _kept(_text_bytes(x), _removed(len(_text_bytes(x)), window, a, b).tolist()).decode("utf-8", "ignore")
-                    for x, a, b in zip(t, w, h, strict=True)
-                ],
-                dtype=object,
-            )
+        for t, w, m, h in text:
+            yield pd.Series([x if a is None and c is None else changed(x, a, b, c) for x, a, b, c in zip(t, w, m, h, strict=True)], dtype=object)
 
     cut_text = F.pandas_udf(cut, "string", F.PandasUDFType.SCALAR_ITER)
     joined = keyed.join(whole, "key", "left").join(hits, "key", "left")
-    done = joined.select("row", cut_text("row.text", "whole", "hits").alias("cut"))
+    done = joined.select("row", cut_text("row.text", "whole", "more", "hits").alias("cut"))
     new = {
         "text": F.col("cut"),
         "n_chars": F.when(F.col("cut").eqNullSafe(F.col("row.text")), F.col("row.n_chars")).otherwise(F.length("cut")).cast("long"),
