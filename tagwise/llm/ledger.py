@@ -88,10 +88,11 @@ def update_ledger(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RU
     named = versions.select("key", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("blob", blob_id(F.col("text")))
     # rows without a key cannot be found again by it, so they bring their text along as their own representatives
     reps = named.where("key IS NOT NULL").groupBy("blob").agg(F.min("key").alias("key")).join(held, "blob", "left_anti")
-    fresh = named.join(reps.select("key", F.col("blob").alias("_b")), "key").where("blob = _b").select("blob", "text").dropDuplicates(["blob"])
+    fresh = named.join(reps.select("key", F.col("blob").alias("_b")), "key").where("blob = _b").select("blob", "text")
     loose = named.where("key IS NULL").select("blob", "text").dropDuplicates(["blob"]).join(held, "blob", "left_anti")
     loose = loose.join(reps.select("blob"), "blob", "left_anti")
-    found = scan(fresh.unionByName(loose), rules).select("blob", F.lit(rules_version).alias("rules"), "spans")
+    # rows that repeat key and text are scanned once each; their (narrow) findings are one ledger row
+    found = scan(fresh.unionByName(loose), rules).dropDuplicates(["blob"]).select("blob", F.lit(rules_version).alias("rules"), "spans")
     found.write.mode("append").parquet(ledger)
     return _read_ledger(spark, ledger).where(F.col("rules") == rules_version)
 
