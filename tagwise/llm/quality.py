@@ -101,7 +101,7 @@ def features(text: str | None, n_chars: int | None) -> tuple[np.ndarray, np.ndar
     text = text or ""
     words = text.split()
     counts = Counter(words)
-    if len(_WORDS) + len(counts) > 500_000:
+    if len(_WORDS) + len(counts) > 200_000:
         _WORDS = {}
     memo = _WORDS
     ids = []
