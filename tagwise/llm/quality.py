@@ -42,6 +42,7 @@ BATCH = 256
 RATE = 0.1
 DECAY = 1e-5
 BINS = 24  # bins of each statistic
+GOOD_SHARE = 0.85  # weight of label 1 in the fit: rejecting a good document costs more than keeping a bad one
 
 STATISTICS = (
     "length", "words", "word_length", "upper_words", "capital_words", "lines", "line_repeats", "distinct_words", "top_word",
@@ -142,13 +143,13 @@ def _ragged(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = EPOCHS, rank: int = RANK, seed: int = 7) -> FactorisationMachine:
-    """Logistic loss, classes weighted to equal mass, mini-batch AdaGrad."""
+    """Logistic loss, label 1 weighted to GOOD_SHARE of the mass, mini-batch AdaGrad."""
     rng = np.random.default_rng(seed)
     m = FactorisationMachine(0.0, np.zeros(N_FEATURES), rng.normal(0, 0.02, (N_FEATURES, rank)))
     if not len(rows) or len(set(y.tolist())) < 2:
         return FactorisationMachine(0.0 if not len(rows) else 4.0 * (2 * float(y[0]) - 1), m.w, np.zeros_like(m.v))
     gw, gv, gb = np.full(N_FEATURES, 1e-6), np.full((N_FEATURES, rank), 1e-6), 1e-6
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    weight = np.where(y == 1, GOOD_SHARE / y.mean(), (1 - GOOD_SHARE) / (1 - y.mean()))
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for at in range(0, len(rows), BATCH):
