@@ -69,7 +69,7 @@ def doc_grams(docs: DataFrame, params: VectorizerParams, text_col: str = "descri
             inputCol="_raw", outputCol="_toks", stopWords=list(params.stop_words), caseSensitive=True
         ).transform(cur)
     else:
-        cur = cur.withColumnRenamed("_raw", "_toks")
+        cur = cur.withColumn("_toks", F.col("_raw"))
     gram_cols = []
     for n in range(lo, hi + 1):
         if n == 1:
