@@ -40,13 +40,14 @@ def nb_coefficients(grid: DataFrame, stats: TrainingStats, alpha: float) -> tupl
     return coef, intercept
 
 
-def fit_nb(x: DataFrame, y: DataFrame, stats: TrainingStats, alpha: float = 1.0) -> LinearModel:
-    """Fit on training rows only; the result is a materialised, size-known coefficient table."""
-    grid = feature_label_grid(x, y, stats)
+def fit_nb(x: DataFrame, y: DataFrame, stats: TrainingStats, alpha: float = 1.0, grid: DataFrame | None = None) -> LinearModel:
+    """Fit on training rows only; the result is a materialised, size-known coefficient table. ``grid`` is the
+    contingency grid of the same features where the selection has already summed it."""
+    grid = feature_label_grid(x, y, stats) if grid is None else grid
     coef, intercept = nb_coefficients(grid, stats, alpha)
     return LinearModel(
         coef=materialize(coef),
-        intercept=materialize(intercept),
+        intercept=intercept,  # a range with zeros: nothing to keep
         n_features=stats.n_features,
         n_labels=stats.n_labels,
         kind="nb",

@@ -70,9 +70,8 @@ def feature_label_grid(x: DataFrame, y: DataFrame, stats: TrainingStats) -> Data
     )
 
 
-def chi2_scores(x: DataFrame, y: DataFrame, stats: TrainingStats) -> DataFrame:
+def chi2_of_grid(g: DataFrame, stats: TrainingStats) -> DataFrame:
     """chi² = Σ_label (O − E)² / E with E = mean(y_label) · Σ_rows x_feat."""
-    g = feature_label_grid(x, y, stats)
     e = F.col("n_pos") / F.lit(float(stats.n_rows)) * F.col("fc")
     term = F.try_divide((F.col("obs") - e) * (F.col("obs") - e), e)
     return g.groupBy("feat_idx").agg(F.sum(term).alias("score"))
@@ -86,9 +85,12 @@ def _mi_cell(n_ab, n_a, n_b, n):
     ).otherwise(F.lit(0.0))
 
 
-def mutual_info_scores(x: DataFrame, y: DataFrame, stats: TrainingStats) -> DataFrame:
+def chi2_scores(x: DataFrame, y: DataFrame, stats: TrainingStats) -> DataFrame:
+    return chi2_of_grid(feature_label_grid(x, y, stats), stats)
+
+
+def mutual_info_of_grid(g: DataFrame, stats: TrainingStats) -> DataFrame:
     """Mean over labels of MI(feature present?, label) from the 2×2 contingency table."""
-    g = feature_label_grid(x, y, stats)
     n = float(stats.n_rows)
     n11, n1, npos = F.col("n11"), F.col("n1"), F.col("n_pos")
     n10 = n1 - n11
@@ -100,7 +102,12 @@ def mutual_info_scores(x: DataFrame, y: DataFrame, stats: TrainingStats) -> Data
     return g.groupBy("feat_idx").agg((F.sum(mi) / F.lit(float(stats.n_labels))).alias("score"))
 
 
+def mutual_info_scores(x: DataFrame, y: DataFrame, stats: TrainingStats) -> DataFrame:
+    return mutual_info_of_grid(feature_label_grid(x, y, stats), stats)
+
+
 SCORE_FUNCTIONS = {"chi2": chi2_scores, "mutual_info": mutual_info_scores}
+GRID_SCORES = {"chi2": chi2_of_grid, "mutual_info": mutual_info_of_grid}
 
 
 @dataclass
@@ -125,3 +132,9 @@ def apply_selection(x: DataFrame, sel: Selection) -> DataFrame:
     """Keep selected columns, renumbered; no re-normalisation afterwards."""
     m = sel.table.select("feat_idx", "sel_idx")
     return join_state(x, m, "feat_idx", sel.k).select("row_id", F.col("sel_idx").alias("feat_idx"), "value")
+
+
+def select_grid(grid: DataFrame, sel: Selection) -> DataFrame:
+    """Contingency grid of the selected features, renumbered: the sums of a feature do not depend on the selection."""
+    m = small(sel.table.select("feat_idx", "sel_idx"), sel.k)
+    return grid.join(m, "feat_idx").drop("feat_idx").withColumnRenamed("sel_idx", "feat_idx")

@@ -82,8 +82,13 @@ def doc_grams(docs: DataFrame, params: VectorizerParams, text_col: str = "descri
 
 
 def doc_terms(docs: DataFrame, params: VectorizerParams, text_col: str = "description") -> DataFrame:
-    """(row_id, term) for every n-gram occurrence."""
-    return doc_grams(docs, params, text_col).select("row_id", F.explode("_grams").alias("term"))
+    """(row_id, term) for every n-gram occurrence.
+
+    The outer explode keeps Catalyst from inferring a "size(grams) > 0" filter, which would be pushed below the
+    exchange and run the whole tokeniser chain again there; rows without terms drop out by their null term.
+    """
+    terms = doc_grams(docs, params, text_col).select("row_id", F.explode_outer("_grams").alias("term"))
+    return terms.filter(F.col("term").isNotNull())
 
 
 def by_row(docs: DataFrame) -> DataFrame:
@@ -249,7 +254,7 @@ def char_grams(docs: DataFrame, n: int, text_col: str = "description") -> DataFr
     chars = by_row(docs.select("row_id", text_col)).select("row_id", F.split(t, "", -1).alias("_chars"))
     chars = chars.select("row_id", F.filter("_chars", lambda c: F.length(c) > 0).alias("_chars"))
     g = NGram(n=n, inputCol="_chars", outputCol="_g").transform(chars)
-    g = g.select("row_id", F.explode("_g").alias("_w"))
+    g = g.select("row_id", F.explode_outer("_g").alias("_w")).filter(F.col("_w").isNotNull())
     return g.select("row_id", F.regexp_replace("_w", r"(?s)(.) ", "$1").alias("term"))
 
 

@@ -19,8 +19,9 @@ from tagwise.operators.bayes import fit_nb
 from tagwise.operators.clean import DEFAULT_OPTIMAL_MAX, DEFAULT_OPTIMAL_MIN, check_request_params, clean_titles, fill_text, length_validation
 from tagwise.operators.labels import LabelIndex, decode_labels, fit_labels, multi_hot, parse_label_column, restrict_labels
 from tagwise.operators.linear import LinearModel, decision_scores
-from tagwise.operators.select import SCORE_FUNCTIONS, Selection, TrainingStats, apply_selection, select_k_best
+from tagwise.operators.select import GRID_SCORES, Selection, TrainingStats, apply_selection, feature_label_grid, select_grid, select_k_best
 from tagwise.operators.text import TfidfState, VectorizerParams, fit_tfidf, transform_tfidf
+from tagwise.session import materialize
 from tagwise.sources import tables
 
 
@@ -75,6 +76,7 @@ class PreparedTrain:
     stats: TrainingStats
     x_all: DataFrame  # tf-idf before selection
     scores: DataFrame  # feature scores used for selection
+    grid: DataFrame | None = None  # contingency sums of the selected features and labels
 
 
 def fit_label_stage(train_parsed: DataFrame, params: PipelineParams = PipelineParams()):
@@ -94,10 +96,11 @@ def fit_text_stage(rows: DataFrame, params: PipelineParams = PipelineParams()):
 
 
 def fit_selection_stage(x_all: DataFrame, y: DataFrame, stats: TrainingStats, params: PipelineParams = PipelineParams()):
-    scores = SCORE_FUNCTIONS[params.score_fn](x_all, y, stats)
+    grid = materialize(feature_label_grid(x_all, y, stats))  # features x labels; summed once for scores and naive Bayes
+    scores = GRID_SCORES[params.score_fn](grid, stats)
     sel = select_k_best(scores, params.k_features)
     x = apply_selection(x_all, sel).persist(StorageLevel.MEMORY_AND_DISK)
-    return scores, sel, x
+    return scores, sel, x, select_grid(grid, sel)
 
 
 def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineParams(), state: FeatureState | None = None) -> PreparedTrain:
@@ -113,9 +116,9 @@ def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineP
     labels, rows, y = fit_label_stage(train_parsed, params)
     tfidf, x_all = fit_text_stage(rows, params)
     n_rows = tfidf.n_docs
-    scores, sel, x = fit_selection_stage(x_all, y, TrainingStats(n_rows, labels.n_labels, tfidf.n_features), params)
+    scores, sel, x, grid = fit_selection_stage(x_all, y, TrainingStats(n_rows, labels.n_labels, tfidf.n_features), params)
     return PreparedTrain(
-        FeatureState(labels, tfidf, sel), x, y, rows, TrainingStats(n_rows, labels.n_labels, sel.k), x_all, scores
+        FeatureState(labels, tfidf, sel), x, y, rows, TrainingStats(n_rows, labels.n_labels, sel.k), x_all, scores, grid
     )
 
 
@@ -144,7 +147,7 @@ def transform(state: FeatureState, docs: DataFrame) -> DataFrame:
 def fit_pipeline(train_parsed: DataFrame, params: PipelineParams = PipelineParams()) -> tuple[FittedPipeline, PreparedTrain]:
     prep = prepare_features(train_parsed, params)
     if params.model == "nb":
-        model = fit_nb(prep.x, prep.y, prep.stats, params.alpha)
+        model = fit_nb(prep.x, prep.y, prep.stats, params.alpha, prep.grid)
     else:
         from tagwise.operators.trainer import fit_linear
 

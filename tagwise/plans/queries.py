@@ -50,7 +50,8 @@ def _stage(spark: SparkSession, sf_dir: str, name: str):
     if key in _FIT_CACHE:
         return _FIT_CACHE[key]
     if name == "split":
-        corpus = P.corpus(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        # the cleaned titles are as long as the texts and no stage of the fit reads them
+        corpus = P.corpus(spark, sf_dir).drop("movie_name").persist(StorageLevel.MEMORY_AND_DISK)
         out = P.split(corpus)
     elif name == "labels":
         train, _ = _stage(spark, sf_dir, "split")
@@ -66,9 +67,9 @@ def _stage(spark: SparkSession, sf_dir: str, name: str):
     elif name == "prep":
         labels, rows, y = _stage(spark, sf_dir, "labels")
         tfidf, x_all = _stage(spark, sf_dir, "text")
-        scores, sel, x = _stage(spark, sf_dir, "select")
+        scores, sel, x, grid = _stage(spark, sf_dir, "select")
         out = P.PreparedTrain(
-            P.FeatureState(labels, tfidf, sel), x, y, rows, P.TrainingStats(tfidf.n_docs, labels.n_labels, sel.k), x_all, scores
+            P.FeatureState(labels, tfidf, sel), x, y, rows, P.TrainingStats(tfidf.n_docs, labels.n_labels, sel.k), x_all, scores, grid
         )
     else:
         raise KeyError(name)
@@ -84,7 +85,7 @@ def fitted_nb(spark: SparkSession, sf_dir: str):
 
         train, test = _stage(spark, sf_dir, "split")
         prep = _stage(spark, sf_dir, "prep")
-        fitted = P.FittedPipeline(prep.state, fit_nb(prep.x, prep.y, prep.stats, 1.0), P.PipelineParams())
+        fitted = P.FittedPipeline(prep.state, fit_nb(prep.x, prep.y, prep.stats, 1.0, prep.grid), P.PipelineParams())
         _FIT_CACHE[key] = (fitted, prep, train, test)
     return _FIT_CACHE[key]
 
@@ -561,7 +562,7 @@ def q_chi2_scores(spark, sf_dir):
 
 @query("select_k_best")
 def q_select_k_best(spark, sf_dir):
-    _, sel, _ = _stage(spark, sf_dir, "select")
+    _, sel, _, _ = _stage(spark, sf_dir, "select")
     return _r6_all(sel.table)
 
 
@@ -630,7 +631,8 @@ def q_prediction_report(spark, sf_dir):
 def q_prediction_merged(spark, sf_dir):
     """The original input columns with predictions, joined on row_id (never by position)."""
     test, pred = _test_predictions(spark, sf_dir)
-    merged = test.select("row_id", "movie_name", "genre").join(pred, "row_id", "left")
+    names = _corpus(spark, sf_dir).select("row_id", "movie_name")
+    merged = test.select("row_id", "genre").join(names, "row_id").join(pred, "row_id", "left")
     return merged.select(
         "row_id", "movie_name", "genre", CL.render_labels(F.col("labels")).alias("predicted_genres"),
         F.size("labels").cast("long").alias("genre_count"),
