@@ -38,3 +38,12 @@ def test_partition_invariance(spark, q, key):
         out.append(sorted(map(tuple, q.QUERIES[key](spark, SF_SMALL).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert out[0] == out[1] == out[2]
+
+
+def test_no_filter_repeats_the_tokeniser_below_the_exchange(spark):
+    from tagwise.operators import text as TX
+
+    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, ""), (3, None)], "row_id long, description string")
+    terms = TX.doc_terms(TX.by_row(docs), TX.VectorizerParams())
+    assert "size(" not in plan_text(terms)
+    assert {r["row_id"] for r in terms.collect()} == {1}  # rows without terms drop out
