@@ -23,15 +23,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash group stays.
+    """One document of each SimHash group stays: the one with the smallest id, rows without an id last.
 
-    Rows that repeat a doc_id are copies of it and one stays; rows without an id cannot be told apart by it and stay.
+    Rows are told apart by a key of their own, written with them, so rows that repeat an id or have none are
+    documents like any other: copies go, and different texts under one id stay.
     """
-    groups = simhash.simhash_groups(docs)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull())
-    stays = named.join(kept, named["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return stays.unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("row_key"))
+    rows = materialize(rows)
+    kept = simhash.simhash_kept(rows.select("row.doc_id", "row.text", "row_key"))
+    stays = rows.join(kept, "row_key", "left_semi")
+    return stays.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def _with_text(docs: DataFrame, text: F.Column, n_chars: F.Column) -> DataFrame:

@@ -52,15 +52,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, text)`` -> ``(doc_id, fp long)``; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, text, carried)`` -> ``(doc_id, fp long, carried)``; fp holds the 64 bits as a signed long, the
+    ``carried`` columns are longs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.fromiter((fingerprint(t, shingle) for t in b.column(1).to_pylist()), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *carried])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    schema = ", ".join(["doc_id long, fp long", *(f"{c} long" for c in carried)])
+    return docs.select(F.col("doc_id").cast("long"), "text", *carried).mapInArrow(run, schema)
 
 
 def _blocks(distance: int) -> list[list[tuple[int, int]]]:
@@ -244,18 +246,32 @@ def shard_links(fps: DataFrame, distance: int = DISTANCE, shard_rows: int = SHAR
     return near.union(inside).union(across).distinct()
 
 
+def _components(distinct: DataFrame, distance: int) -> DataFrame:
+    """``(fp, least)`` of distinct fingerprints -> ``(fp, least, component)``; component = smallest fingerprint."""
+    comps = connected_components(shard_links(distinct.select("fp"), distance))
+    named = distinct.join(comps, distinct["fp"] == comps["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    return materialize(named)
+
+
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``(doc_id, text)`` -> ``(doc_id, fp, component_id)``: one row per input row."""
     prints = materialize(fingerprints(docs, shingle))
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    comps = connected_components(shard_links(distinct.select("fp"), distance))
-    named = distinct.join(comps, distinct["fp"] == comps["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    named = materialize(named)
+    named = _components(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), distance)
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     label = named.join(smallest, "component").select("fp", "component_id")
     return prints.join(label, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def simhash_kept(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """``(doc_id, text, row_key long)`` -> ``(row_key)``: one row of each component, the one with the smallest
+    (doc_id with nulls last, hash of the text, row_key)."""
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), "row_key")
+    prints = materialize(fingerprints(rows, shingle, ("text_hash", "row_key")))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "row_key")
+    named = _components(prints.groupBy("fp").agg(F.min(order).alias("least")), distance)
+    return named.groupBy("component").agg(F.min("least").alias("least")).select("least.row_key")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

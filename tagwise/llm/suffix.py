@@ -20,8 +20,8 @@ at edges. Counts go through partial aggregates, and members are joined back, so
 hot group.
 
 Defined results: null counts as empty; texts shorter than a window lose nothing; equal texts of at least a window lose
-everything; matches never cross rows; a doc_id names one text (rows that repeat both are copies of each other, a null
-doc_id stands for its text); extra columns are ignored; an empty table gives an empty result. Kept bytes may cut a
+everything; matches never cross rows; rows that repeat doc_id and text are copies of each other, rows of one doc_id with
+different texts are told apart by a hash of the text, as are rows without a doc_id; extra columns are ignored; an empty table gives an empty result. Kept bytes may cut a
 character in two when equal strings begin or end inside one.
 """
 
@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tagwise.plans.broadcast import small
 from tagwise.session import materialize
 from tagwise.sources.tables import table
 
@@ -110,9 +111,16 @@ def _text_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def _key(docs: DataFrame) -> DataFrame:
-    """Rows by key: the doc_id, or a hash of the text where it is null."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("key"), "doc_id", "text")
+def _keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with ``key``: the doc_id where it names one text; else a hash of the text, and of the doc_id if any."""
+    number, digest = F.col(doc_id).cast("long"), F.xxhash64(text)
+    ids = docs.select(number.alias("several"), digest.alias("digest")).where("several IS NOT NULL")
+    several = materialize(ids.groupBy("several").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("several"))
+    key, n = F.coalesce(number, digest), several.count()
+    if n:
+        docs = docs.join(small(several, n), number == F.col("several"), "left")
+        key = F.when(F.col("several").isNotNull(), F.xxhash64("several", text)).otherwise(key)
+    return docs.withColumn("key", key).drop("several")
 
 
 def bucket_entries(docs: DataFrame, window: int, q: int) -> DataFrame:
@@ -234,7 +242,7 @@ def _removed(size: int, window: int, whole: Iterable[int] | None, more: Iterable
 
 def _marked(docs: DataFrame, window: int, q: int) -> DataFrame:
     """``(key, doc_id, text, whole, more, hits)`` for every row."""
-    keyed = _key(docs)
+    keyed = _keyed(docs.select("doc_id", "text"))
     whole, hits = repeated_starts(keyed, window, q)
     return keyed.join(whole, "key", "left").join(hits, "key", "left")
 
@@ -274,7 +282,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, q: int = QGRAM) -> DataF
     Characters of which only some bytes are left are dropped.
     """
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    keyed = keyed.select(F.coalesce(F.col("row.doc_id").cast("long"), F.xxhash64("row.text")).alias("key"), F.col("row.text").alias("text"), "row")
+    keyed = _keyed(keyed, "row.doc_id", "row.text").select("key", F.col("row.text").alias("text"), "row")
     whole, hits = repeated_starts(keyed, window, q)
 
     def changed(text: str, *marks: Iterable | None) -> str:
