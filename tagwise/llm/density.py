@@ -7,7 +7,9 @@ is the core; the smallest density on the path from the core up to ``body`` is th
 that path joins the core if it reaches the threshold.
 
 Scripts, styles, forms, menus, asides, page headers and footers, and elements whose class, id or role names them as
-adverts, notices, side bars or comments hold no text of the article: they count as empty and are never output.
+adverts, notices, side bars or comments hold no text of the article: they count as empty and are never output. Layout
+wrappers have such words in their class too, so elements named so are spared if they hold most of the page's text and
+its title, main element or single article, or if next to nothing stands outside them.
 
 Output: the blocks of the chosen subtrees in page order, character references decoded, white space inside a block
 turned into one space and trimmed, blocks joined by an empty line. The whole page is read; nothing is capped.
@@ -63,33 +65,38 @@ _TAG = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/"']|$)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?""")
+TINY = 100  # characters outside the named elements that are no article, if they are also under 1 / TINY_SHARE of these
+TINY_SHARE = 20
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped")
+    __slots__ = ("name", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped", "away")
 
     def __init__(self, name: str, parent: Node | None, dropped: bool = False):
         self.name, self.parent, self.dropped = name, parent, dropped
+        self.away: str | None = None  # class, id or part of it that names the element as no part of an article
         self.parts: list[str | Node] = []  # text runs and child nodes in page order
         self.chars = self.link_chars = self.link_tags = 0
         self.tags = 0
         self.density = self.sum = 0.0
 
 
-def _named_away(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of an article; ``inside``: it stands in an article or main element."""
+def _named_away(name: str, attributes: str, inside: bool) -> bool | str:
+    """Whether an element is no part of an article, or the class or id that says so; ``inside``: it stands in an
+    article or main element."""
     if name in DROPPED or name == "header" and not inside:
         return True
     if not attributes or name in ("html", "body", "article", "main"):
         return False
+    away: bool | str = False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "role" and value.lower() in ROLES:
             return True
-        if key == "role" and value.lower() in ROLES or key in ("class", "id") and NAMED.search(value):
-            return True
-    return False
+        if not away and key in ("class", "id") and NAMED.search(value):
+            away = next((t for t in value.lower().split() if NAMED.search(t)), value)
+    return away
 
 
 def parse(page: str) -> Node:
@@ -146,12 +153,61 @@ def parse(page: str) -> Node:
                 at = up.parent
             up = up.parent
         articles += name in ("article", "main")
-        child = Node(name, at, at.dropped or _named_away(name, attributes, articles > 0))
+        away = _named_away(name, attributes, articles > 0)
+        child = Node(name, at, at.dropped or away is True)
+        child.away = away if isinstance(away, str) else None
         at.parts.append(child)
         at, link = child, 0
     return body
 
 
+def _layout_only(token: str) -> bool:
+    """Whether a class holds other words besides those that name it, as ``has-sidebar`` does and ``comments`` does not."""
+    return any(w and not NAMED.fullmatch(w) for w in re.split("[_-]", token)) and not NAMED.fullmatch(token)
+
+
+def settle(order: list[Node]) -> None:
+    """Drop the elements that are named away, but for those that wrap the article. Elements of one class are judged
+    together. Expects each node's own characters."""
+    body, groups = order[0], {id(order[0]): frozenset()}
+    members: set[str] = set()
+    for n in order[1:]:
+        groups[id(n)] = groups[id(n.parent)]
+        if n.away and not n.dropped and n.away not in groups[id(n)]:
+            members.add(n.away)
+            groups[id(n)] |= {n.away}
+    if not members:
+        return
+    titled, articles = {t: False for t in members}, {t: 0 for t in members}
+    for n in order:
+        if not n.dropped and n.name in ("h1", "main", "article"):
+            for t in groups[id(n)]:
+                titled[t] |= n.name != "article"
+                articles[t] += n.name == "article"
+    headed = {t for t in members if titled[t] or articles[t] == 1}
+    text = {id(n): 0 if n.dropped else max(0, n.chars - n.link_chars) for n in order}
+
+    def most(without: set[str]) -> tuple[int, set[str]]:
+        """The text outside ``without`` and the classes that hold more than half of it."""
+        whole, held = 0, dict.fromkeys(members, 0)
+        for n in order:
+            if text[id(n)] and not groups[id(n)] & without:
+                whole += text[id(n)]
+                for t in groups[id(n)]:
+                    held[t] += text[id(n)]
+        return whole, {t for t in members if 2 * held[t] > whole}
+
+    spared = most(members - headed)[1] & headed
+    if not spared:
+        strong = {t for t in members if not _layout_only(t)}
+        outside, (whole, held) = most(members)[0], most(strong)
+        if outside < TINY and outside * TINY_SHARE < whole:
+            spared = held
+    for n in order:
+        if n is not body and (n.parent.dropped or n.away and n.away not in spared):
+            n.dropped = True
+
+
 def measure(body: Node) -> list[Node]:
     """Fill in sizes and densities; nodes in page order. No recursion, since pages may nest without end."""
     order, todo = [], [body]
@@ -162,6 +218,7 @@ def measure(body: Node) -> list[Node]:
     for node in order:
         node.chars = sum(len("".join(html.unescape(p).split())) for p in node.parts if isinstance(p, str))
         node.tags += 1
+    settle(order)
     for node in reversed(order):
         if node.dropped:
             node.chars = node.link_chars = 0
