@@ -4,7 +4,9 @@ A page becomes a DOM of its block elements (inline tags only count as tags). Eve
 of its subtree and the share of them inside links; its density is the characters per tag, lowered by a logarithm that
 grows with the share of link text. A node's density sum is the sum over its children. The node with the largest sum
 is the core; the smallest density on the path from the core up to ``body`` is the threshold, and what stands beside
-that path joins the core if it reaches the threshold.
+that path joins the core if it reaches the threshold. Inside the nearest article, main or post element around the core
+everything joins it, however short, but blocks that are mostly links and below the threshold; without such an element
+the titles (``h1``) beside the path join it.
 
 Scripts, styles, forms, menus, asides, page headers and footers, and elements whose class, id or role names them as
 adverts, notices, side bars or comments hold no text of the article: they count as empty and are never output. Layout
@@ -66,16 +68,18 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?""")
+POST = re.compile(r"(?:^|\s)(?:post|h-?entry|entry|article|story|blog-?post|news-?article|post-\d+)(?:$|\s)", re.I)  # whole classes only
 TINY = 100  # characters outside the named elements that are no article, if they are also under 1 / TINY_SHARE of these
 TINY_SHARE = 20
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped", "away")
+    __slots__ = ("name", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped", "away", "post")
 
     def __init__(self, name: str, parent: Node | None, dropped: bool = False):
         self.name, self.parent, self.dropped = name, parent, dropped
         self.away: str | None = None  # class, id or part of it that names the element as no part of an article
+        self.post = False  # holds one article with all that belongs to it
         self.parts: list[str | Node] = []  # text runs and child nodes in page order
         self.chars = self.link_chars = self.link_tags = 0
         self.tags = 0
@@ -156,6 +160,7 @@ def parse(page: str) -> Node:
         away = _named_away(name, attributes, articles > 0)
         child = Node(name, at, at.dropped or away is True)
         child.away = away if isinstance(away, str) else None
+        child.post = name in ("article", "main") or any(k.lower() in ("class", "id") and POST.search(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(attributes))
         at.parts.append(child)
         at, link = child, 0
     return body
@@ -254,9 +259,19 @@ def choose(order: list[Node]) -> list[Node]:
     while path[-1].parent is not None:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    chosen, on_path = {id(core)}, {id(n) for n in path}
-    for n in path[1:]:
-        chosen |= {id(p) for p in n.parts if isinstance(p, Node) and id(p) not in on_path and p.density >= threshold and p.density > 0}
+    on_path = {id(n) for n in path}
+    top = next((i for i, n in enumerate(path) if n.post), 0)
+    for n in path[1 : top + 1]:
+        for p in n.parts:
+            if isinstance(p, Node) and id(p) not in on_path and 2 * p.link_chars > p.chars and p.density < threshold:
+                p.dropped = True
+    chosen, titles = {id(path[top])}, not any(n.post for n in path)
+    for n in path[top + 1 :]:
+        chosen |= {
+            id(p)
+            for p in n.parts
+            if isinstance(p, Node) and id(p) not in on_path and p.density > 0 and (p.density >= threshold or titles and p.name == "h1")
+        }
     return [n for n in order if id(n) in chosen] if core is not body else [body]
 
 
