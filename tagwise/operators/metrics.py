@@ -207,7 +207,9 @@ def exact_median(df: DataFrame, col: str, bins: int = 4096) -> float | None:
                 break
             seen += c
         if seen + c <= int(rank + 0.5):  # the two middle values lie in different bins
-            break
+            above = min(k for k, _ in counts if k > i)
+            mid = df.agg(F.max(F.when(b == i, F.col("x"))), F.min(F.when(b == above, F.col("x")))).first()
+            return (mid[0] + mid[1]) / 2
         df, lo, width, rank = df.where(b == i), lo + i * width / bins, width / bins, rank - seen
     per = df.groupBy("x").agg(F.count(F.lit(1)).alias("n")).orderBy("x")
     above = per.withColumn("upto", F.sum("n").over(Window.orderBy("x")))  # distinct values of one bin
