@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagwise.session import materialize
 from tagwise.sources.tables import table
 
 WORD_BITS = 14
@@ -178,12 +179,20 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> FactorisationMachine:
-    """Fit on at most ``sample_rows`` rows per label value of ``labels (doc_id, quality)`` outside the held-out part."""
+    """Fit on at most ``sample_rows`` texts per label value of ``labels (doc_id, quality)`` outside the held-out part.
+    Repeated labels, and repeated rows of one doc_id and text, count once."""
+
+    def bounded(rows: DataFrame, *more: str) -> DataFrame:
+        order = [F.xxhash64("doc_id"), F.col("doc_id"), *more]
+        return rows.where("quality = 0").orderBy(*order).limit(sample_rows).union(rows.where("quality = 1").orderBy(*order).limit(sample_rows))
+
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(~held_out(F.col("doc_id")))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    sample = known.where("quality = 0").orderBy(*order).limit(sample_rows).union(known.where("quality = 1").orderBy(*order).limit(sample_rows))
-    # the sample's size is bounded by the parameter, so it may be broadcast
-    chosen = docs.select("doc_id", "text", "n_chars").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text", "n_chars")
+    # both samples' sizes are bounded by the parameter, so they may be broadcast
+    found = docs.select("doc_id", "text", "n_chars").join(F.broadcast(bounded(known.distinct())), "doc_id")
+    keys = ["doc_id", "quality", "text_hash"]
+    found = found.withColumn("text_hash", F.xxhash64("text")).groupBy(*keys).agg(F.min("text").alias("text"), F.min("n_chars").alias("n_chars"))
+    found = materialize(found)
+    chosen = found.join(F.broadcast(bounded(found.select(*keys), "text_hash")), keys).select("doc_id", "quality", "text", "n_chars")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
