@@ -35,22 +35,23 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return stays.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
-def _with_text(docs: DataFrame, text: F.Column, n_chars: F.Column) -> DataFrame:
-    return docs.select(*[{"text": text.alias("text"), "n_chars": n_chars.cast("long").alias("n_chars")}.get(c, F.col(f"`{c}`")) for c in docs.columns])
-
-
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of repeated 200-byte strings are removed; a character that is cut in two goes as a whole."""
     return suffix.drop_repeats(docs)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked. Findings are joined back by blob, so every path of a blob is masked."""
+    """Secrets are masked. Findings are joined back by blob, so every path of a blob is masked.
+
+    A row travels as one struct beside its blob, so no column of the documents can clash with one of the join."""
     versions = docs.select(F.col("doc_id").alias("key"), "text")
-    found = ledger.update_ledger(versions, state_path(spark, "ledger")).where(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    joined = docs.join(found.dropDuplicates(["_blob"]), ledger.blob_id(docs["text"]) == F.col("_blob"), "left")
-    text = F.when(F.col("_spans").isNotNull(), ledger.redact(docs["text"], F.col("_spans"))).otherwise(docs["text"])
-    return _with_text(joined.drop("_blob"), text, F.when(F.col("_spans").isNull(), docs["n_chars"]).otherwise(F.length(text))).drop("_spans")
+    found = ledger.update_ledger(versions, state_path(spark, "ledger")).where(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), ledger.blob_id(docs["text"]).alias("blob"))
+    text = F.when(F.col("spans").isNotNull(), ledger.redact(F.col("row.text"), F.col("spans"))).otherwise(F.col("row.text"))
+    masked = rows.join(found, "blob", "left").withColumn("text", text)
+    n_chars = F.when(F.col("spans").isNull(), F.col("row.n_chars")).otherwise(F.length("text")).cast("long")
+    own = {"text": F.col("text"), "n_chars": n_chars}
+    return masked.select(*[own.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
