@@ -7,6 +7,7 @@ from tagwise.llm.bpe import op6_bpe_encode_decode
 from tagwise.llm.density import op4_html_extraction
 from tagwise.llm.langid import op9_language_id
 from tagwise.llm.ledger import op7_secret_scans
+from tagwise.llm.lexical import op12_ranked_lexical_search
 from tagwise.llm.merkle import op11_merkle_manifest
 from tagwise.llm.packing import op2_best_fit_packing
 from tagwise.llm.quality import op1_quality_classifier
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_ranked_lexical_search": op12_ranked_lexical_search,
 }
 
 
@@ -107,4 +109,22 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
     "op11_merkle_manifest": _merkle_sql(),
+    # every item against all documents, term by term
+    "op12_ranked_lexical_search": r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS key, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL
+), own AS MATERIALIZED (SELECT key, doc_id, len(terms) AS n, terms FROM d WHERE len(terms) > 0),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM own),
+tf AS MATERIALIZED (SELECT key, term, count(*) AS tf FROM (SELECT key, unnest(terms) AS term FROM own) GROUP BY key, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, n_docs),
+item AS (
+  SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+), s AS (
+  SELECT i.item_id, i.text, o.key, o.doc_id, CAST(sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (10 + (90 * o.n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM item i JOIN w USING (term) JOIN tf t USING (term) JOIN own o USING (key), total GROUP BY i.item_id, i.text, o.key, o.doc_id
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+""",
 }
