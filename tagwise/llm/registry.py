@@ -10,6 +10,7 @@ from tagwise.llm.ledger import op7_secret_scans
 from tagwise.llm.lexical import op12_ranked_lexical_search
 from tagwise.llm.merkle import op11_merkle_manifest
 from tagwise.llm.packing import op2_best_fit_packing
+from tagwise.llm.phrases import op13_document_fingerprints
 from tagwise.llm.quality import op1_quality_classifier
 from tagwise.llm.simhash import op10_simhash_near_dedup
 from tagwise.llm.suffix import op8_suffix_array_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_ranked_lexical_search": op12_ranked_lexical_search,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 
 
