@@ -5,19 +5,21 @@ Per label l, with y in {-1, +1}, balanced weights c (A20) and the bias as an ext
   ridge (squared loss):      α‖w‖² + Σ_i c_il · (y_il − w·x_i − b)²      (bias not penalised)
 Both are strictly convex, so any converged solver gives the same coefficients.
 
-Distribution: the training rows are packed once into per-row sparse arrays and persisted; every
-iteration broadcasts the coefficient matrix (labels × features, bounded by the selection k), each
-partition returns loss and gradient for *all* labels from numpy over its rows, and ``treeReduce``
-sums them. Only the L-BFGS update runs on the driver, on the small coefficient vector.
+Distribution: the training rows are packed once into per-row sparse arrays and kept. L2 penalties are solved by
+``stacked`` (shifted conjugate gradients, Newton), whose passes serve all labels of a group at once. The L1 penalty
+takes proximal steps: every iteration broadcasts the coefficient matrix (labels × features, bounded by the
+selection k), each partition returns loss and gradient for all labels, and ``treeReduce`` sums them.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagwise.operators import stacked
 from tagwise.operators.linear import LinearModel
 from tagwise.operators.select import TrainingStats
 from tagwise.session import materialize
@@ -127,75 +129,6 @@ class _Oracle:
         return out
 
 
-def _objective(theta, oracle, kind, C, alpha):
-    L, F_ = oracle.L, oracle.F
-    W = theta[: L * F_].reshape(L, F_)
-    b = theta[L * F_ :]
-    loss, G, gb = oracle(W, b)
-    if kind == "svm":
-        f = 0.5 * (np.sum(W * W) + np.sum(b * b)) + C * loss
-        gW = W + C * G
-        gbias = b + C * gb
-    else:
-        f = alpha * np.sum(W * W) + loss
-        gW = 2.0 * alpha * W + G
-        gbias = gb
-    return f, np.concatenate([gW.ravel(), gbias])
-
-
-def lbfgs(fun, x0, max_iter=200, tol=1e-5, m=10):
-    """Plain L-BFGS with Armijo backtracking; stops when ‖g‖∞ ≤ tol·max(1, ‖g0‖∞)."""
-    x = x0.copy()
-    f, g = fun(x)
-    g0 = max(1.0, float(np.max(np.abs(g))))
-    S, Yh = [], []
-    history = [f]
-    for _ in range(max_iter):
-        if np.max(np.abs(g)) <= tol * g0:
-            break
-        q = g.copy()
-        alphas = []
-        for s, yv in reversed(list(zip(S, Yh))):
-            rho = 1.0 / float(yv @ s)
-            a = rho * float(s @ q)
-            alphas.append((a, rho, s, yv))
-            q -= a * yv
-        if S:
-            gamma = float(S[-1] @ Yh[-1]) / float(Yh[-1] @ Yh[-1])
-            q *= gamma
-        for a, rho, s, yv in reversed(alphas):
-            beta = rho * float(yv @ q)
-            q += (a - beta) * s
-        d = -q
-        if float(d @ g) >= 0:
-            d = -g
-        step = 1.0
-        accepted = False
-        for _ls in range(30):
-            xn = x + step * d
-            fn, gn = fun(xn)
-            if fn <= f + 1e-4 * step * float(g @ d):
-                accepted = True
-                break
-            step *= 0.5
-        if not accepted or f - fn <= 1e-15 * max(1.0, abs(f)):
-            # no further decrease is representable: converged to machine precision
-            if accepted and fn <= f:
-                x, f, g = xn, fn, gn
-                history.append(f)
-            break
-        s, yv = xn - x, gn - g
-        if float(s @ yv) > 1e-12:
-            S.append(s)
-            Yh.append(yv)
-            if len(S) > m:
-                S.pop(0)
-                Yh.pop(0)
-        x, f, g = xn, fn, gn
-        history.append(f)
-    return x, f, g, history
-
-
 def fista_l1(smooth, x0, n_w, max_iter=300, tol=1e-6):
     """L4: proximal gradient (FISTA with backtracking) for  ‖w‖₁ + smooth(θ);  θ = [w; b], the bias
     (last ``len(x0) - n_w`` entries) is not penalised. ``smooth`` returns (value, gradient)."""
@@ -243,6 +176,24 @@ def class_weights(y: DataFrame, n_rows: int, n_labels: int) -> np.ndarray:
     return cw
 
 
+def _fit_l2(packed: DataFrame, cw: np.ndarray, kind: str, param: float, n_features: int, max_iter: int, tol: float):
+    """(W, b, objective per step, gradient as [W; b]) of one parameter, by groups of labels over the same kept rows."""
+    L = len(cw)
+    passes = stacked.Passes(packed.withColumn("g", F.lit(0)), n_features, L)
+    W, b, G, hists = np.zeros((L, n_features)), np.zeros(L), np.zeros((L, n_features + 1)), []
+    step = stacked.group_size(n_features, 1, 1, kind)
+    for first in range(0, L, step):
+        own = np.arange(first, min(L, first + step))
+        cols = stacked.Columns(own, np.full(len(own), -1), cw[own, 0], cw[own, 1])
+        got = stacked.solve(passes, kind, cols, np.array([param]), tol, max_iter)
+        W[own], b[own], G[own] = got.w[0, :-1].T, got.w[0, -1], got.gradient.T
+        hists.append(got.history)
+    passes.close()
+    longest = max(map(len, hists), default=0)
+    hist = [sum(h[min(i, len(h) - 1)] for h in hists) for i in range(longest)]
+    return W, b, hist, np.concatenate([G[:, :-1].ravel(), G[:, -1]])
+
+
 def fit_linear(
     x: DataFrame,
     y: DataFrame,
@@ -272,8 +223,9 @@ def fit_linear(
     packed = pack_rows(x, y, rows)
     n, L, F_ = stats.n_rows, stats.n_labels, stats.n_features
     cw = class_weights(y, n, L) if balanced else np.ones((L, 2))
-    oracle = _Oracle(packed, stats, cw, kind)
     if penalty == "l1":
+        oracle = _Oracle(packed, stats, cw, kind)
+
         def smooth(t):
             W_ = t[: L * F_].reshape(L, F_)
             b_ = t[L * F_ :]
@@ -281,20 +233,19 @@ def fit_linear(
             return C * loss, np.concatenate([(C * G).ravel(), C * gb])
 
         theta, hist, g = fista_l1(smooth, np.zeros(L * F_ + L), L * F_, max_iter, tol)
+        W, b = theta[: L * F_].reshape(L, F_), theta[L * F_ :].copy()
+        oracle.rdd.unpersist()
     else:
-        theta, f, g, hist = lbfgs(lambda t: _objective(t, oracle, kind, C, alpha), np.zeros(L * F_ + L), max_iter, tol)
-    W = theta[: L * F_].reshape(L, F_)
-    b = theta[L * F_ :].copy()
+        W, b, hist, g = _fit_l2(packed, cw, kind, C if kind == "svm" else alpha, F_, max_iter, tol)
     const = {l: (1.0 if cw[l, 0] == 0 else 0.0) for l in range(L) if cw[l, 0] == 0 or cw[l, 1] == 0}
     for l, v in const.items():
         W[l] = 0.0
         b[l] = v
-    oracle.rdd.unpersist()
-    nz = np.nonzero(W)
+    at_label, at_feat = np.nonzero(W)  # ≤ L·k entries, bounded by the selection size
     coef = spark.createDataFrame(
-        [(int(f_), int(l), float(W[l, f_])) for l, f_ in zip(*nz)], "feat_idx int, label_idx int, w double"
-    )  # ≤ L·k entries, bounded by the selection size
-    intercept = spark.createDataFrame([(int(l), float(b[l])) for l in range(L)], "label_idx int, b double")
+        pa.table({"feat_idx": at_feat.astype(np.int32), "label_idx": at_label.astype(np.int32), "w": W[at_label, at_feat]}), "feat_idx int, label_idx int, w double"
+    )
+    intercept = spark.createDataFrame(pa.table({"label_idx": np.arange(L, dtype=np.int32), "b": b}), "label_idx int, b double")
     model = LinearModel(
         materialize(coef), materialize(intercept), F_, L, kind,
         {"C": C, "alpha": alpha, "penalty": penalty, "iterations": len(hist) - 1},

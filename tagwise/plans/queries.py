@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tagwise.functions.exprs import r6
 from tagwise.plans import pipeline as P
-from tagwise.session import state_path
+from tagwise.session import materialize, state_path
 from tagwise.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -781,6 +781,46 @@ def q_nearest_candidate(spark, sf_dir):
     return _r6_all(n.withColumn("gap", F.col("train_mean") - F.col("val_mean")))
 
 
+def _linear_curve(spark, sf_dir, kind, params):
+    """One row per candidate (train / validation mean and std of the folds' micro F1), kept for the session."""
+    from tagwise.operators import cv as CV
+
+    key = (_sid(spark), sf_dir, f"{kind}_curve", tuple(params))
+    if key not in _FIT_CACHE:
+        _, prep, _, _ = fitted_nb(spark, sf_dir)
+        scores = CV.linear_cv_scores(prep.x, prep.y, prep.rows.select("row_id"), prep.stats, kind, params)
+        _FIT_CACHE[key] = materialize(CV.curve(scores))
+    return _FIT_CACHE[key]
+
+
+@query("ridge_grid_search")
+def q_ridge_grid_search(spark, sf_dir):
+    """5-fold CV micro-F1 of the balanced ridge classifier for 20 alphas, ranked by validation mean."""
+    from pyspark.sql import Window
+
+    from tagwise.operators.cv import RIDGE_GRID_ALPHAS
+
+    c = _linear_curve(spark, sf_dir, "ridge", RIDGE_GRID_ALPHAS)
+    w = Window.orderBy(F.round("val_mean", 12).desc(), F.col("alpha").asc())  # one row per candidate
+    return _r6_all(c.withColumn("rank", F.row_number().over(w)).drop("cand"))
+
+
+@query("svm_validation_curve")
+def q_svm_validation_curve(spark, sf_dir):
+    """Train / validation micro-F1 of the balanced squared-hinge SVM along 20 costs, the gap, and the best point."""
+    from tagwise.operators.cv import SVM_CURVE_COSTS
+
+    c = _linear_curve(spark, sf_dir, "svm", SVM_CURVE_COSTS)
+    best = c.orderBy(F.round("val_mean", 12).desc(), F.col("alpha").asc()).limit(1).select(F.col("cand").alias("best"))
+    out = c.join(F.broadcast(best), F.col("cand") == F.col("best"), "left")
+    return _r6_all(
+        out.select(
+            F.col("alpha").alias("C"), "train_mean", "train_std", "val_mean", "val_std",
+            (F.col("train_mean") - F.col("val_mean")).alias("gap"), F.col("best").isNotNull().alias("is_best"),
+        )
+    )
+
+
 @query("vocab_grid")
 def q_vocab_grid(spark, sf_dir):
     _, rows, _ = _stage(spark, sf_dir, "labels")
