@@ -40,6 +40,8 @@ def long_metrics(one_row: DataFrame, split: str, run_id: str) -> DataFrame:
 
 def evaluate(fitted: P.FittedPipeline, parsed_rows: DataFrame, policy: D.ThresholdPolicy | None = None) -> DataFrame:
     """Five micro metrics of thresholded, top-k-free predictions against the known labels."""
+    if fitted.features.leaky:
+        raise ValueError("the features were fitted on the whole corpus (leaky): their metrics say nothing about unseen rows")
     labels = fitted.features.labels
     policy = policy or D.ThresholdPolicy(D.DEFAULT_THRESHOLD)
     parsed_rows = restrict_labels(parsed_rows, labels)  # rows without a known label have no truth to compare with
@@ -72,6 +74,7 @@ def save_pipeline(fitted: P.FittedPipeline, path: str) -> None:
             "k": f.selection.k,
             "vectorizer": asdict(f.tfidf.params),
             "pipeline": asdict(fitted.params),
+            "leaky": f.leaky,
         },
         path,
     )
@@ -82,7 +85,8 @@ def load_pipeline(spark: SparkSession, path: str) -> P.FittedPipeline:
     vp = VectorizerParams.from_dict(p["vectorizer"])
     params = P.PipelineParams(**{**p["pipeline"], "vectorizer": VectorizerParams.from_dict(p["pipeline"]["vectorizer"])})
     feats = P.FeatureState(
-        LabelIndex(t["labels"], p["n_labels"]), TfidfState(t["vocab"], p["n_docs"], p["n_vocab"], vp), Selection(t["selection"], p["k"])
+        LabelIndex(t["labels"], p["n_labels"]), TfidfState(t["vocab"], p["n_docs"], p["n_vocab"], vp), Selection(t["selection"], p["k"]),
+        p.get("leaky", False),
     )
     model = LinearModel(t["coef"], t["intercept"], p["k"], p["n_labels"], p["kind"], p["model"])
     return P.FittedPipeline(feats, model, params)

@@ -324,6 +324,19 @@ LEFT JOIN (SELECT row_id, count(*) AS n, sum(value) AS s FROM v_tr_xs GROUP BY r
 """,
 )
 oracle("prepare_features", "SELECT row_id, feat_idx, round(value, 6) AS value FROM v_tr_xs")
+oracle(
+    "processed_roundtrip",
+    """
+SELECT d.row_id, CAST(coalesce(f.n, 0) AS BIGINT) AS n_features, round(coalesce(f.s, 0.0), 6) AS value_sum,
+       round(coalesce(f.p, 0.0), 6) AS place_sum, array_to_string(l.labels, ',') AS labels
+FROM v_train_docs d
+JOIN (SELECT y.row_id, list(i.label ORDER BY i.label) AS labels FROM v_tr_y y JOIN v_label_index i ON i.label_idx = y.label_idx
+      GROUP BY y.row_id) l ON l.row_id = d.row_id
+LEFT JOIN (SELECT row_id, count(*) AS n, sum(value) AS s, sum(value * feat_idx) AS p FROM v_tr_xs GROUP BY row_id) f ON f.row_id = d.row_id
+""",
+)
+# the same fit with nothing held out
+ORACLE["prepare_corpus"] = ORACLE["prepare_features"].replace("SELECT * FROM v_split WHERE NOT is_test", "SELECT * FROM v_split")
 oracle("nb_fit", "SELECT feat_idx, label_idx, round(w, 6) AS w FROM v_nb_coef")
 oracle("linear_scores", "SELECT row_id, label_idx, round(score, 6) AS score, CAST(score > 0 AS INTEGER) AS pred FROM v_te_scores")
 oracle(

@@ -47,6 +47,7 @@ class FeatureState:
     labels: LabelIndex
     tfidf: TfidfState
     selection: Selection
+    leaky: bool = False  # fitted on rows that a split holds out: not to be evaluated on any
 
 
 @dataclass
@@ -124,11 +125,40 @@ def prepare_features(train_parsed: DataFrame, params: PipelineParams = PipelineP
 
 def prepare_corpus(parsed: DataFrame, params: PipelineParams = PipelineParams()) -> PreparedTrain:
     """Features fitted on the whole corpus. Leaky: rows that are later held out take part in every fit, so results
-    on them say nothing about unseen rows; only for descriptive tables."""
-    return prepare_features(parsed, params)
-
-
-def split_processed(df: DataFrame, feature_prefix: str = "tfidf_", key: str = "row_id") -> tuple[list[str], list[str]]:
+    on them say nothing about unseen rows; only for descriptive tables. The state carries that mark through save and
+    load, and evaluation refuses it."""
+    prep = prepare_features(parsed, params)
+    prep.state.leaky = True
+    return prep
+
+
+FEATURE_PREFIX = "tfidf_"
+# a wide table has a column per selected feature; Spark's pivot stops at this many, and so does the export
+MAX_WIDE = 10_000
+
+
+def processed_table(prep: PreparedTrain, key: str = "row_id") -> DataFrame:
+    """One wide row per training row: ``tfidf_<feature>`` values (0 where absent) and a 0/1 column per label.
+
+    The columns come from the fitted state, not from the rows, so every split has the same schema; a selection beyond
+    ``MAX_WIDE`` features stays in its long form. One shuffle by row id for each side and their join on it.
+    """
+    n, names = prep.state.selection.k, [r["label"] for r in prep.state.labels.table.orderBy("label_idx").collect()]  # one row per label
+    if n > MAX_WIDE:
+        raise ValueError(f"{n} features are too many columns for a wide table (at most {MAX_WIDE})")
+    clash = [c for c in names if c.startswith(FEATURE_PREFIX) or c == key]
+    if clash:
+        raise ValueError(f"labels cannot be told from features or the key: {', '.join(clash)}")
+    wide = prep.x.groupBy("row_id").pivot("feat_idx", list(range(n))).agg(F.first("value"))
+    features = wide.select("row_id", *[F.coalesce(F.col(str(i)), F.lit(0.0)).alias(f"{FEATURE_PREFIX}{i}") for i in range(n)])
+    own = prep.y.groupBy("row_id").pivot("label_idx", list(range(len(names)))).agg(F.count(F.lit(1)))
+    labels = own.select("row_id", *[F.coalesce(F.col(str(i)), F.lit(0)).cast("int").alias(c) for i, c in enumerate(names)])
+    zeros = {f"{FEATURE_PREFIX}{i}": 0.0 for i in range(n)} | dict.fromkeys(names, 0)  # rows without a feature or label
+    out = prep.rows.select("row_id").join(features, "row_id", "left").join(labels, "row_id", "left").fillna(zeros)
+    return out.withColumnRenamed("row_id", key)
+
+
+def split_processed(df: DataFrame, feature_prefix: str = FEATURE_PREFIX, key: str = "row_id") -> tuple[list[str], list[str]]:
     """Feature and label columns of a processed (wide) table; an error names what is missing."""
     features = [c for c in df.columns if c.startswith(feature_prefix)]
     labels = [c for c in df.columns if c not in features and c != key]
@@ -139,6 +169,18 @@ def split_processed(df: DataFrame, feature_prefix: str = "tfidf_", key: str = "r
     return features, labels
 
 
+def restore_processed(df: DataFrame, feature_prefix: str = FEATURE_PREFIX, key: str = "row_id") -> tuple[DataFrame, DataFrame]:
+    """A processed table back as long features ``(row_id, feat_idx, value)`` without zeros, numbered in column order,
+    and label lists ``(row_id, labels)`` in column order; narrow maps over the wide rows. Columns are quoted, so labels
+    may hold dots or spaces."""
+    features, names = split_processed(df, feature_prefix, key)
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    values = F.array(*[quoted(c).cast("double") for c in features])
+    long = df.select(quoted(key).alias("row_id"), F.posexplode(values).alias("feat_idx", "value")).where("value <> 0")
+    held = F.array(*[F.when(quoted(c).cast("double") == 1, F.lit(c)) for c in names])
+    return long, df.select(quoted(key).alias("row_id"), F.array_compact(held).alias("labels"))
+
+
 def transform(state: FeatureState, docs: DataFrame) -> DataFrame:
     """Selected tf-idf features for any rows (unknown terms dropped, no re-normalisation)."""
     return apply_selection(transform_tfidf(docs, state.tfidf), state.selection)
@@ -146,6 +188,11 @@ def transform(state: FeatureState, docs: DataFrame) -> DataFrame:
 
 def fit_pipeline(train_parsed: DataFrame, params: PipelineParams = PipelineParams()) -> tuple[FittedPipeline, PreparedTrain]:
     prep = prepare_features(train_parsed, params)
+    return fit_model(prep, params), prep
+
+
+def fit_model(prep: PreparedTrain, params: PipelineParams = PipelineParams()) -> FittedPipeline:
+    """The model of ``params`` on prepared features."""
     if params.model == "nb":
         model = fit_nb(prep.x, prep.y, prep.stats, params.alpha, prep.grid)
     else:
@@ -155,7 +202,7 @@ def fit_pipeline(train_parsed: DataFrame, params: PipelineParams = PipelineParam
             prep.x, prep.y, prep.stats, kind=params.model, C=params.C, alpha=params.alpha, max_iter=params.max_iter, tol=params.tol,
             rows=prep.rows.select("row_id"), balanced=params.balanced, penalty=params.penalty,
         )
-    return FittedPipeline(prep.state, model, params), prep
+    return FittedPipeline(prep.state, model, params)
 
 
 def score(fitted: FittedPipeline, docs: DataFrame) -> DataFrame:

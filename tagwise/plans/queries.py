@@ -595,6 +595,33 @@ def q_prepare_features(spark, sf_dir):
     return _r6_all(prep.x)
 
 
+@query("prepare_corpus")
+def q_prepare_corpus(spark, sf_dir):
+    """The features of all rows, fitted on all rows."""
+    train, test = _stage(spark, sf_dir, "split")
+    return _r6_all(P.prepare_corpus(train.unionByName(test)).x)
+
+
+@query("processed_roundtrip")
+def q_processed_roundtrip(spark, sf_dir):
+    """The wide processed table is written, read back, and split into long features and label lists."""
+    _, prep, _, _ = fitted_nb(spark, sf_dir)
+    path = state_path(spark, "processed")
+    IO.write_table(P.processed_table(prep), path)
+    x, labels = P.restore_processed(IO.read_table(spark, path))
+    feats = x.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_features"), F.sum("value").alias("value_sum"), F.sum(F.col("value") * F.col("feat_idx")).alias("place_sum"))
+    out = labels.join(feats, "row_id", "left")
+    return _r6_all(
+        out.select(
+            "row_id",
+            F.coalesce("n_features", F.lit(0)).cast("long").alias("n_features"),
+            F.coalesce("value_sum", F.lit(0.0)).alias("value_sum"),
+            F.coalesce("place_sum", F.lit(0.0)).alias("place_sum"),
+            joined("labels").alias("labels"),
+        )
+    )
+
+
 @query("nb_fit")
 def q_nb_fit(spark, sf_dir):
     fitted, _, _, _ = fitted_nb(spark, sf_dir)

@@ -35,6 +35,14 @@ def test_skip_if_exists(spark, scratch):
     assert IO.read_table(spark, path).count() == 5
 
 
+def test_an_output_without_commit_marker_is_written_again(spark, scratch):
+    path = os.path.join(scratch, "dead")
+    os.makedirs(os.path.join(path, "_temporary", "0"))  # what a job leaves that died before its commit
+    assert IO.write_table(spark.range(4), path) is True
+    assert IO.read_table(spark, path).count() == 4
+    assert IO.write_table(spark.range(9), path) is False
+
+
 def test_state_roundtrip_and_errors(spark, scratch):
     path = os.path.join(scratch, "state")
     IO.save_state({"coef": spark.createDataFrame([(0, 1, 0.5)], "feat_idx int, label_idx int, w double")}, {"alpha": 1.0}, path)

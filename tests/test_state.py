@@ -104,6 +104,62 @@ def test_processed_split_names_what_is_missing(spark):
         P.split_processed(df.drop("Action"))
 
 
+def test_processed_table_and_back(spark, scratch):
+    train, _ = P.split(P.corpus(spark, SF_SMALL), SMALL_PARAMS)
+    prep = P.prepare_features(train, SMALL_PARAMS)
+    # a row without any feature keeps its labels, and a label of a row can be missing
+    lone = prep.rows.select("row_id").orderBy("row_id").first()["row_id"]
+    prep.x, prep.y = prep.x.where(F.col("row_id") != lone), prep.y.where(~((F.col("row_id") == lone) & (F.col("label_idx") == 0)))
+    path = os.path.join(scratch, "wide")
+    P.processed_table(prep).write.parquet(path)
+    wide = spark.read.parquet(path)
+    names = [r["label"] for r in prep.state.labels.table.orderBy("label_idx").collect()]
+    assert wide.columns == ["row_id", *[f"tfidf_{i}" for i in range(prep.stats.n_features)], *names]
+    x, lists = P.restore_processed(wide)
+    assert rows_of(x) == rows_of(prep.x) and lists.count() == prep.rows.count()
+    y = {}
+    for r in prep.y.collect():
+        y.setdefault(r["row_id"], []).append(r["label_idx"])
+    assert {r["row_id"]: r["labels"] for r in lists.collect()} == {r["row_id"]: [names[i] for i in sorted(y.get(r["row_id"], []))] for r in prep.rows.collect()}
+
+
+def test_processed_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, 0.5, 0.0, 1, 0, 1), (2, 0.0, 0.0, 0, 0, 0)], ["id", "tfidf_a.b", "tfidf_`c", "Sci-Fi & Co.", "x y", "q`t"])
+    x, lists = P.restore_processed(df, key="id")
+    assert rows_of(x) == [(1, 0, 0.5)] and rows_of(lists.selectExpr("row_id", "array_join(labels, '|') AS l")) == [(1, "Sci-Fi & Co.|q`t"), (2, "")]
+
+
+def test_state_of_the_whole_corpus_is_not_evaluated(spark, scratch):
+    corpus = P.corpus(spark, SF_SMALL)
+    prep = P.prepare_corpus(corpus, SMALL_PARAMS)
+    assert prep.state.leaky and prep.rows.count() > P.prepare_features(P.split(corpus)[0], SMALL_PARAMS).rows.count()
+    model = P.fit_model(prep, SMALL_PARAMS)
+    with pytest.raises(ValueError, match="leaky"):
+        jobs.evaluate(model, P.split(corpus)[1])
+    # the mark stays with the saved state, so the evaluation job refuses it as well
+    jobs.save_pipeline(model, os.path.join(scratch, "leaky"))
+    assert jobs.load_pipeline(spark, os.path.join(scratch, "leaky")).features.leaky
+    with pytest.raises(ValueError, match="leaky"):
+        jobs.eval_job(spark, SF_SMALL, os.path.join(scratch, "leaky"), os.path.join(scratch, "runs"))
+
+
+def test_train_and_eval_jobs(spark, scratch):
+    """The ledger names the model, the metrics are those of the loaded model on the held-out rows."""
+    folder, ledger = os.path.join(scratch, "model"), os.path.join(scratch, "runs")
+    params = P.PipelineParams(vectorizer=SMALL_PARAMS.vectorizer, k_features=150, model="ridge")
+    trained = {r["metric"]: r["value"] for r in jobs.train_job(spark, SF_SMALL, folder, ledger, params).collect()}
+    tested = {r["metric"]: r["value"] for r in jobs.eval_job(spark, SF_SMALL, None, ledger, threshold=0.5).collect()}
+    assert set(trained) == set(tested) == set(jobs.METRIC_NAMES)
+    loaded = jobs.load_pipeline(spark, folder)
+    corpus = P.corpus(spark, SF_SMALL)
+    want = jobs.evaluate(loaded, P.split(corpus)[0]).first()
+    assert all(trained[m] == pytest.approx(want[m]) for m in jobs.METRIC_NAMES)
+    from tagwise.operators import decide
+
+    want = jobs.evaluate(loaded, P.split(corpus)[1], decide.resolve_thresholds(0.5, variant="evaluate")).first()
+    assert all(tested[m] == pytest.approx(want[m]) for m in jobs.METRIC_NAMES) and trained["f1"] > tested["f1"]
+
+
 def test_records_and_request_bounds(spark, fitted):
     model, _ = fitted
     req = spark.createDataFrame([(1, "x" * 150), (2, "short")], "row_id long, description string")
