@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwise.operators import stacked
+from tagwise.operators.dual import fit_hinge
 from tagwise.operators.linear import LinearModel
 from tagwise.operators.select import TrainingStats
 from tagwise.session import materialize
@@ -208,16 +209,20 @@ def fit_linear(
     return_history: bool = False,
     penalty: str = "l2",
     dual: bool | None = None,
+    loss: str = "squared_hinge",
 ):
     """Fit all labels jointly (block-separable objective) and return a coefficient-table model.
     Labels that are constant in the training rows get w = 0 and a constant score (0 or 1).
 
-    L4: ``penalty='l1'`` (svm only) minimises ‖w‖₁ + C·Σ c·loss with proximal gradient steps over the
+    L4: ``loss='hinge'`` (svm with l2 only) minimises ½‖w‖² + C·Σ c·max(0, 1 − y·s) by dual coordinate ascent to the
+    relative duality gap ``tol``; ``penalty='l1'`` (svm only) minimises ‖w‖₁ + C·Σ c·loss with proximal gradient steps over the
     same distributed gradient; ``dual`` only selects a solver in the reference and is accepted and ignored."""
     if kind not in ("svm", "ridge"):
         raise ValueError(f"unknown trainer {kind!r}")
     if penalty not in ("l2", "l1") or (penalty == "l1" and kind != "svm"):
         raise ValueError(f"unsupported penalty {penalty!r} for {kind!r}")
+    if loss not in ("squared_hinge", "hinge") or (loss == "hinge" and (kind != "svm" or penalty != "l2")):
+        raise ValueError(f"unsupported loss {loss!r} for {kind!r} with penalty {penalty!r}")
     spark = x.sparkSession
     rows = rows if rows is not None else y.select("row_id").union(x.select("row_id")).distinct()
     packed = pack_rows(x, y, rows)
@@ -235,6 +240,9 @@ def fit_linear(
         theta, hist, g = fista_l1(smooth, np.zeros(L * F_ + L), L * F_, max_iter, tol)
         W, b = theta[: L * F_].reshape(L, F_), theta[L * F_ :].copy()
         oracle.rdd.unpersist()
+    elif loss == "hinge":
+        got = fit_hinge(packed, cw, C, F_, max_iter, tol)
+        W, b, hist, g = got.w[:-1].T.copy(), got.w[-1].copy(), got.gaps, got.objective
     else:
         W, b, hist, g = _fit_l2(packed, cw, kind, C if kind == "svm" else alpha, F_, max_iter, tol)
     const = {l: (1.0 if cw[l, 0] == 0 else 0.0) for l in range(L) if cw[l, 0] == 0 or cw[l, 1] == 0}
@@ -248,7 +256,7 @@ def fit_linear(
     intercept = spark.createDataFrame(pa.table({"label_idx": np.arange(L, dtype=np.int32), "b": b}), "label_idx int, b double")
     model = LinearModel(
         materialize(coef), materialize(intercept), F_, L, kind,
-        {"C": C, "alpha": alpha, "penalty": penalty, "iterations": len(hist) - 1},
+        {"C": C, "alpha": alpha, "penalty": penalty, "loss": loss, "iterations": len(hist) - 1},
     )
     if return_history:
         return model, hist, g

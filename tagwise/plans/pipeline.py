@@ -37,6 +37,7 @@ class PipelineParams:
     alpha: float = 1.0
     C: float = 0.1
     penalty: str = "l2"
+    loss: str = "squared_hinge"
     max_iter: int = 200
     tol: float = 1e-4
     balanced: bool = True
@@ -200,7 +201,7 @@ def fit_model(prep: PreparedTrain, params: PipelineParams = PipelineParams()) ->
 
         model = fit_linear(
             prep.x, prep.y, prep.stats, kind=params.model, C=params.C, alpha=params.alpha, max_iter=params.max_iter, tol=params.tol,
-            rows=prep.rows.select("row_id"), balanced=params.balanced, penalty=params.penalty,
+            rows=prep.rows.select("row_id"), balanced=params.balanced, penalty=params.penalty, loss=params.loss,
         )
     return FittedPipeline(prep.state, model, params)
 

@@ -758,6 +758,17 @@ def q_ridge_scores(spark, sf_dir):
     return P.score(f, test.select("row_id", "description")).select("row_id", "label_idx", r6(F.col("score")).alias("score"))
 
 
+@query("hinge_scores")
+def q_hinge_scores(spark, sf_dir):
+    """L4: hinge-loss one-vs-rest SVM (C=0.1, balanced) decision scores for the held-out rows."""
+    from tagwise.operators.trainer import fit_linear
+
+    fitted, prep, _, test = fitted_nb(spark, sf_dir)
+    model = fit_linear(prep.x, prep.y, prep.stats, kind="svm", C=0.1, rows=prep.rows.select("row_id"), loss="hinge", tol=1e-2)
+    f = P.FittedPipeline(fitted.features, model, P.PipelineParams(model="svm", loss="hinge"))
+    return P.score(f, test.select("row_id", "description")).select("row_id", "label_idx", r6(F.col("score")).alias("score"))
+
+
 @query("pipeline_predict")
 def q_pipeline_predict(spark, sf_dir):
     """The default SVM pipeline end to end on the held-out rows (threshold 0.55, top-3)."""
