@@ -14,10 +14,10 @@ by a q-gram of their window and the buckets refined, instead of sorting whole su
    single windows: the starts of one entry per class are bucketed by the window's own hash; a bucket with two
    entries is a repeated window.
 
-A bucket identifier is a 64-bit hash; a window's final bucket is told by its q-gram's and its own identifier together.
+A bucket identifier is a 64-bit hash; a window's final bucket is one 64-bit hash of its q-gram's identifier and its own.
 Work and shuffle are proportional to the number of runs, about ``2 / (window - q + 2)`` of the bytes, plus the windows
-at edges. Counts go through partial aggregates, and members are joined back, so a passage in every document is no
-hot group.
+at edges. Buckets with one entry go through partial aggregates; the others are refined by windows over a bucket's
+entries, so a passage in every document brings one narrow entry per document to one task.
 
 Defined results: null counts as empty; texts shorter than a window lose nothing; equal texts of at least a window lose
 everything; matches never cross rows; rows that repeat doc_id and text are copies of each other, rows of one doc_id with
