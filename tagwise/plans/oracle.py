@@ -454,6 +454,52 @@ FROM cum GROUP BY max_features, ngram_max, max_df, min_df, k_features
 """,
 )
 
+_TERMS = "SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest({grams}) AS term FROM (SELECT row_id, {toks} AS toks FROM {docs}) t) u GROUP BY row_id, term"
+_TRAIN_TERMS, _TEST_TERMS = (_TERMS.format(grams=_ng("toks", 1, 3), toks=_tk("description"), docs=d) for d in ("v_train_docs", "v_test_docs"))
+_NG, _NL = "CAST((SELECT n FROM v_n_train) AS DOUBLE)", "(SELECT count(*) FROM v_label_index)"
+oracle(
+    "preprocessor_grid",
+    f"""
+WITH cfg AS (SELECT * FROM (VALUES {_GRID}) AS c(max_features, ngram_max, max_df, min_df, k_features)),
+vec AS (SELECT row_number() OVER (ORDER BY max_features, ngram_max, max_df, min_df) AS v, * FROM (SELECT DISTINCT max_features, ngram_max, max_df, min_df FROM cfg) d),
+tr AS MATERIALIZED ({_TRAIN_TERMS}),
+st AS MATERIALIZED (SELECT term, len(string_split(term, ' ')) AS n, count(*) AS df, sum(tf) AS ttf FROM tr GROUP BY term),
+vocab AS MATERIALIZED (SELECT v, term, df, ln((1 + (SELECT n FROM v_n_train)) / (1e0 + df)) + 1e0 AS idf FROM (
+    SELECT v.v, v.max_features, s.term, s.df, row_number() OVER (PARTITION BY v.v ORDER BY s.ttf DESC, s.term) AS rn
+    FROM st s JOIN vec v ON s.n <= v.ngram_max AND s.df >= v.min_df AND s.df <= v.max_df * (SELECT n FROM v_n_train)) r WHERE rn <= max_features),
+raw AS (SELECT v.v, t.row_id, t.term, (1e0 + ln(CAST(t.tf AS DOUBLE))) * v.idf AS w FROM tr t JOIN vocab v ON t.term = v.term),
+x AS MATERIALIZED (SELECT v, row_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY v, row_id)) AS x FROM raw),
+fc AS (SELECT v, term, sum(x) AS fc FROM x GROUP BY v, term),
+ob AS (SELECT x.v, x.term, y.label_idx, sum(x.x) AS obs FROM x JOIN v_tr_y y ON x.row_id = y.row_id GROUP BY x.v, x.term, y.label_idx),
+pos AS (SELECT label_idx, count(*) AS n_pos FROM v_tr_y GROUP BY label_idx),
+cells AS MATERIALIZED (SELECT f.v, f.term, li.label_idx, f.fc, coalesce(o.obs, 0e0) AS obs, coalesce(p.n_pos, 0) AS n_pos
+    FROM fc f CROSS JOIN v_label_index li LEFT JOIN ob o ON o.v = f.v AND o.term = f.term AND o.label_idx = li.label_idx
+    LEFT JOIN pos p ON p.label_idx = li.label_idx),
+chi AS (SELECT v, term, sum(CASE WHEN e = 0 THEN NULL ELSE (obs - e) * (obs - e) / e END) AS score
+    FROM (SELECT v, term, obs, CAST(n_pos AS DOUBLE) / {_NG} * fc AS e FROM cells) c GROUP BY v, term),
+ranked AS (SELECT v, term, row_number() OVER (PARTITION BY v ORDER BY round(score, 9) DESC NULLS LAST, term DESC) AS rk FROM chi),
+sized AS (SELECT c.*, v.v, (SELECT count(*) FROM vocab w WHERE w.v = v.v) AS n_terms FROM cfg c JOIN vec v USING (max_features, ngram_max, max_df, min_df)),
+tot AS (SELECT s.v, s.k_features, g.label_idx, sum(g.obs) AS n1, sum(g.fc - g.obs) AS n0, least(any_value(s.n_terms), s.k_features) AS nf
+    FROM sized s JOIN ranked r ON r.v = s.v AND r.rk <= s.k_features JOIN cells g ON g.v = r.v AND g.term = r.term GROUP BY s.v, s.k_features, g.label_idx),
+coef AS MATERIALIZED (SELECT t.v, t.k_features, g.term, g.label_idx,
+      ln((g.obs + 1e0) / (t.n1 + t.nf)) - ln((g.fc - g.obs + 1e0) / (t.n0 + t.nf)) AS w
+    FROM tot t JOIN cells g ON g.v = t.v AND g.label_idx = t.label_idx JOIN ranked r ON r.v = g.v AND r.term = g.term AND r.rk <= t.k_features),
+te AS (SELECT v.v, t.row_id, t.term, (1e0 + ln(CAST(t.tf AS DOUBLE))) * v.idf AS w FROM ({_TEST_TERMS}) t JOIN vocab v ON t.term = v.term
+    WHERE t.row_id IN (SELECT row_id FROM v_te_truth)),
+hits AS (SELECT c.v, c.k_features, te.row_id, c.label_idx FROM te JOIN coef c ON te.v = c.v AND te.term = c.term
+    GROUP BY c.v, c.k_features, te.row_id, c.label_idx HAVING sum(te.w * c.w) > 0),
+tested AS (SELECT h.v, h.k_features, count(*) AS predicted, count(t.row_id) AS tp FROM hits h LEFT JOIN v_te_truth t ON t.row_id = h.row_id AND t.label_idx = h.label_idx GROUP BY h.v, h.k_features),
+n AS (SELECT count(*) AS n_true, count(DISTINCT row_id) AS n_rows FROM v_te_truth),
+c AS (SELECT s.*, coalesce(t.tp, 0) AS tp, coalesce(t.predicted, 0) - coalesce(t.tp, 0) AS fp, n.n_true - coalesce(t.tp, 0) AS fn, n.n_rows
+    FROM sized s CROSS JOIN n LEFT JOIN tested t ON t.v = s.v AND t.k_features = s.k_features)
+SELECT max_features, ngram_max, max_df, min_df, k_features, n_terms, least(n_terms, k_features) AS n_features,
+  round({sdiv('2 * tp', '2 * tp + fp + fn')}, 6) AS f1, round({sdiv('tp', 'tp + fp')}, 6) AS "precision", round({sdiv('tp', 'tp + fn')}, 6) AS recall,
+  round({sdiv('fp + fn', f'n_rows * {_NL}')}, 6) AS hamming_loss, round({sdiv('tp', 'tp + fp + fn')}, 6) AS jaccard,
+  CAST((SELECT n FROM v_n_train) AS BIGINT) AS n_samples_train, n_rows AS n_samples_test
+FROM c
+""",
+)
+
 oracle(
     "model_card",
     """

@@ -888,6 +888,16 @@ def q_vocab_grid(spark, sf_dir):
     return TX.vocab_grid(rows, rows.count())
 
 
+@query("preprocessor_grid")
+def q_preprocessor_grid(spark, sf_dir):
+    """The 32 configurations fitted on the training split and scored on the held-out rows in shared passes. Seconds
+    differ from run to run and stay out of the result."""
+    from tagwise.plans.grid import preprocessor_grid
+
+    train, test = _stage(spark, sf_dir, "split")
+    return _r6_all(preprocessor_grid(train, test)[0])
+
+
 # ---------------------------------------------------------------- jobs
 def _trained(spark, sf_dir):
     """(model folder, ledger folder, train metrics) of this session's training run; each run has folders of its own."""
