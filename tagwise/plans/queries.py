@@ -956,11 +956,10 @@ def q_nmf_topics(spark, sf_dir):
 @query("svd_features")
 def q_svd_features(spark, sf_dir):
     """Uncentred truncated SVD (10 components) of the selected training tf-idf: U·S per row."""
-    from tagwise.operators import reduce as RD
+    from tagwise.operators.rsvd import randomized_svd
 
     _, prep, _, _ = fitted_nb(spark, sf_dir)
-    us, _ = RD.svd(prep.x, prep.rows.select("row_id"), prep.stats.n_features, k=10)
-    return _r6_all(us)
+    return _r6_all(randomized_svd(prep.x, prep.rows.select("row_id"), prep.stats.n_features, k=10).us)
 
 
 @query("char_ngrams")
