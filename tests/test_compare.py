@@ -92,3 +92,16 @@ def test_held_out_metrics_of_the_best_only(compared):
     assert best["test_hamming_loss"] == pytest.approx((hit != t).mean())
     ids = {r["row_id"] for r in stages.test.collect()}
     assert not ids & {r["row_id"] for r in train.select("row_id").collect()} and ids <= {r["row_id"] for r in test.select("row_id").collect()}
+
+
+def test_components_too_large_to_broadcast_give_the_same_features(spark, monkeypatch):
+    train, test = P.split(P.corpus(spark, SF_SMALL))
+    c = compare.Candidate("nmf", VEC, components=4, iterations=3, score_fn=None)
+    stages = compare.Stages(train, test, 5.0)
+    whole = stages.features(c)[0]
+    stages.held = {k: v for k, v in stages.held.items() if k[0] == "tfidf"}
+    monkeypatch.setattr(compare, "BROADCAST_BYTES", 0)
+    cut = stages.features(c)[0]
+    for a, b in ((whole.train, cut.train), (whole.test, cut.test)):
+        left, right = ({(r["row_id"], r["feat_idx"]): r["value"] for r in d.collect()} for d in (a, b))
+        assert left.keys() == right.keys() and all(right[k] == pytest.approx(v, rel=1e-6) for k, v in left.items())
