@@ -2,10 +2,12 @@
 
 1. ``fingerprints``: one 64-bit SimHash per text (Arrow batches, whole texts).
 2. Equal fingerprints are merged first, so a group of copies of any size is one node.
-3. ``shard_links``: fingerprints are sharded by pairs of blocks. 64 bits are cut into ``distance + 2`` blocks; two
-   fingerprints that differ in at most ``distance`` bits agree on at least two whole blocks, so they meet in the shard
-   of that pair of blocks. Every shard has a BK-tree (children keyed by Hamming distance to the parent), searched by
-   the shard's fingerprints along the edges within the radius. A shard of more than ``shard_rows`` is cut into several
+3. ``shard_links``: fingerprints are sharded by their bits so that a shard holds about ``TREE_ROWS`` of them. 64 bits are
+   cut into ``distance + g`` blocks; two fingerprints that differ in at most ``distance`` bits agree on at least g whole
+   blocks, so they meet in the shard of those g blocks' leading bits. g is 1 and grows to 2 when single blocks have too
+   few bits for the table. Every shard has a BK-tree (children keyed by the integer Hamming distance to the parent,
+   children of up to ``LEAF`` fingerprints kept as a bucket of that one distance), searched by the shard's
+   fingerprints along the edges within the radius only. A shard of more than ``shard_rows`` is cut into several
    trees, and each is sent to the fingerprints of the shard's other parts (nothing is broadcast to all: shard trees
    have a bounded size, the number of shards grows with the data).
 4. Links of a shard are thinned to a spanning forest (they only serve reachability), then ``connected_components``.
@@ -20,6 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,10 @@ from tagwise.sources.tables import table
 SHINGLE = 4
 DISTANCE = 4
 SEED = 42
-LEAF = 32  # fingerprints in a leaf of a BK-tree, compared directly
-SHARD_ROWS = 20_000  # fingerprints of one tree
+LEAF = 32  # largest child of a BK-tree node that stays a bucket: all at one distance from the parent, compared directly
+TREE_ROWS = 16_384  # fingerprints of one shard, aimed at by the number of key bits
+SHARD_ROWS = 2 * TREE_ROWS  # a shard beyond that is cut into several trees
+BLOCK = 2_048  # queries that walk a tree at once
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -65,37 +71,44 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: tuple[str, ..
     return docs.select(F.col("doc_id").cast("long"), "text", *carried).mapInArrow(run, schema)
 
 
-def _blocks(distance: int) -> list[list[tuple[int, int]]]:
-    """Pairs of blocks, each block as (shift, width)."""
-    n = distance + 2
+def shard_keys(distance: int, rows: int, tree_rows: int = TREE_ROWS) -> list[list[tuple[int, int]]]:
+    """Bits of each shard key as (shift, width) parts, for ``rows`` fingerprints; one key without bits: a single shard."""
+    bits = ceil(log2(rows / tree_rows)) if rows > tree_rows else 0
+    if not bits:
+        return [[]]
+    for agree in (1, 2):
+        n = distance + agree
+        if bits <= agree * (64 // n) or agree == 2:
+            break
     cuts = [64 * i // n for i in range(n + 1)]
-    blocks = [(cuts[i], cuts[i + 1] - cuts[i]) for i in range(n)]
-    return [[blocks[i], blocks[j]] for i in range(n) for j in range(i + 1, n)]
+    widths = [min(64 // n, (bits + i) // agree) for i in range(agree)]
+    return [[(cuts[i], w) for i, w in zip(which, widths, strict=True)] for which in combinations(range(n), agree)]
 
 
-def _shards(fps: DataFrame, distance: int) -> DataFrame:
-    """``(shard, fp)``: each fingerprint once per pair of blocks; shard = (pair number, the two blocks' bits)."""
+def _shards(fps: DataFrame, plan: list[list[tuple[int, int]]]) -> DataFrame:
+    """``(shard, fp)``: each fingerprint once per key; shard = (key number, the key's bits)."""
     keys = []
-    for i, pair in enumerate(_blocks(distance)):
+    for i, parts in enumerate(plan):
         bits = F.lit(i).cast("long")
-        for shift, width in pair:
+        for shift, width in parts:
             bits = F.shiftleft(bits, width).bitwiseOR(F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1)))
         keys.append(bits)
     return fps.select(F.explode(F.array(*keys)).alias("shard"), "fp")
 
 
 class BKTree:
-    """BK-tree over distinct fingerprints; leaves hold up to LEAF of them. Built and searched a level at a time."""
+    """BK-tree over distinct fingerprints. A node has a pivot and children keyed by their Hamming distance to it; a child
+    of up to LEAF fingerprints is a bucket of that distance. ``followed`` and ``skipped`` count (query, edge) pairs."""
 
     def __init__(self, fps: np.ndarray, idx: np.ndarray | None = None):
         self.fps, self.idx = fps, np.arange(len(fps)) if idx is None else idx
-        self.children: dict[int, BKTree] = {}
-        self.pivot: int | None = None
-        if len(self.idx) > LEAF:
-            self.pivot = int(self.idx[0])
-            rest = self.idx[1:]
-            d = np.bitwise_count(fps[rest] ^ fps[self.pivot])
-            self.children = {int(k): BKTree(fps, rest[d == k]) for k in np.unique(d)}
+        self.pivot, rest = int(self.idx[0]), self.idx[1:]
+        d = np.bitwise_count(fps[rest] ^ fps[self.pivot])
+        order = np.argsort(d, kind="stable")
+        keys, at = np.unique(d[order], return_index=True)
+        parts = np.split(rest[order], at[1:]) if len(keys) else []
+        self.children = {int(k): BKTree(fps, part) if len(part) > LEAF else part for k, part in zip(keys, parts, strict=True)}
+        self.followed = self.skipped = 0
 
     def search(self, queries: np.ndarray, q: np.ndarray, radius: int, hit, alike) -> None:
         """``hit(a, b)`` gets arrays of query and tree positions within ``radius``. ``alike(q, idx)`` returns the
@@ -103,16 +116,23 @@ class BKTree:
         q = alike(q, self.idx)
         if not len(q):
             return
-        if self.pivot is None:
-            near = np.bitwise_count(queries[q][:, None] ^ self.fps[self.idx][None, :]) <= radius
-            a, b = np.nonzero(near)
-            hit(q[a], self.idx[b])
-            return
         d = np.bitwise_count(queries[q] ^ self.fps[self.pivot]).astype(np.int64)
         near = q[d <= radius]
         hit(near, np.full(len(near), self.pivot))
         for k, child in self.children.items():
-            child.search(queries, q[np.abs(d - k) <= radius], radius, hit, alike)
+            down = q[np.abs(d - k) <= radius]
+            self.followed += len(down)
+            self.skipped += len(q) - len(down)
+            if isinstance(child, BKTree):
+                child.search(queries, down, radius, hit, alike)
+            elif len(down):
+                a, b = np.nonzero(np.bitwise_count(queries[down][:, None] ^ self.fps[child][None, :]) <= radius)
+                hit(down[a], child[b])
+
+    def edges(self) -> tuple[int, int]:
+        """(query, edge) pairs followed and skipped in the whole tree."""
+        below = [c.edges() for c in self.children.values() if isinstance(c, BKTree)]
+        return self.followed + sum(f for f, _ in below), self.skipped + sum(s for _, s in below)
 
 
 class _Forest:
@@ -128,14 +148,24 @@ class _Forest:
             x = int(p[x])
         return x
 
+    def roots(self, x: np.ndarray) -> np.ndarray:
+        x = self.parent[x]
+        while not np.array_equal(up := self.parent[x], x):
+            x = up
+        return x
+
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        ra, rb = self.parent[a], self.parent[b]
-        new = ra != rb
-        for x, y in zip(a[new].tolist(), b[new].tolist(), strict=True):
-            rx, ry = self.root(x), self.root(y)
+        ra, rb = self.roots(a), self.roots(b)
+        new = np.flatnonzero(ra != rb)
+        if not len(new):
+            return
+        ends = np.stack([np.minimum(ra[new], rb[new]), np.maximum(ra[new], rb[new])])
+        _, first = np.unique(ends, axis=1, return_index=True)  # one link for each pair of trees
+        for i in new[first].tolist():
+            rx, ry = self.root(int(ra[i])), self.root(int(rb[i]))
             if rx != ry:
                 self.parent[max(rx, ry)] = min(rx, ry)
-                self.links.append((x, y))
+                self.links.append((int(a[i]), int(b[i])))
 
     def flat(self) -> np.ndarray:
         while not np.array_equal(up := self.parent[self.parent], self.parent):
@@ -143,22 +173,23 @@ class _Forest:
         return self.parent
 
 
-def shard_forest(fps: np.ndarray, radius: int, other: np.ndarray | None = None) -> list[tuple[int, int]]:
+def shard_forest(fps: np.ndarray, radius: int, other: np.ndarray | None = None, tree: BKTree | None = None) -> list[tuple[int, int]]:
     """Spanning links (pairs of fingerprints) among ``fps``, or between ``fps`` (the tree) and ``other`` (queries)."""
-    tree, n = BKTree(fps), len(fps)
+    tree, n = tree or BKTree(fps), len(fps)
     queries = fps if other is None else other
     every = fps if other is None else np.concatenate([fps, other])
     off = 0 if other is None else n
     forest = _Forest(len(every))
+    i, block = 0, 64  # blocks of queries grow: the first ones join dense groups, whose subtrees later ones skip
+    while i < len(queries):
+        flat = forest.flat().copy()
 
-    def alike(q: np.ndarray, idx: np.ndarray) -> np.ndarray:
-        flat = forest.flat()
-        own = flat[idx]
-        return q[flat[q + off] != own[0]] if (own == own[0]).all() else q
+        def alike(q: np.ndarray, idx: np.ndarray, flat: np.ndarray = flat) -> np.ndarray:
+            own = flat[idx]
+            return q[flat[q + off] != own[0]] if (own == own[0]).all() else q
 
-    block = 256  # queries searched at once, so that later blocks skip subtrees already joined to them
-    for i in range(0, len(queries), block):
         tree.search(queries, np.arange(i, min(i + block, len(queries))), radius, lambda a, b: forest.join(a + off, b), alike)
+        i, block = i + block, min(2 * block, BLOCK)
     return [(int(every[x]), int(every[y])) for x, y in forest.links]
 
 
@@ -192,9 +223,13 @@ def _edge_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def shard_links(fps: DataFrame, distance: int = DISTANCE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def shard_links(fps: DataFrame, distance: int = DISTANCE, shard_rows: int = SHARD_ROWS, tree_rows: int = TREE_ROWS) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints ``(fp)`` that suffice for reachability."""
-    shards = _shards(fps, distance)
+    n = fps.count()
+    plan = shard_keys(distance, n, tree_rows)
+    shards = _shards(fps, plan)
+    count = len(plan) * 2 ** sum(w for _, w in plan[0])  # tasks: at most one for a shard, at least some for each core
+    tasks = min(count, max(4 * fps.sparkSession.sparkContext.defaultParallelism, n * len(plan) // (4 * TREE_ROWS)))
     # the number of trees of each shard: 1 but for the hot ones
     trees = shards.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).alias("trees")).where("trees > 1")
     hot = shards.join(trees, "shard").withColumn("tree", F.pmod(F.xxhash64("fp"), F.col("trees")))
@@ -203,19 +238,10 @@ def shard_links(fps: DataFrame, distance: int = DISTANCE, shard_rows: int = SHAR
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, fp), start in _sorted_runs(batches, 1):
             u, out = fp.view(np.uint64), []
-            size = np.diff(np.append(start, len(u)))
-            for shift in range(1, min(LEAF, int(size.max()))):  # runs of one leaf: all their comparisons at once
-                run = start[(size > shift) & (size <= LEAF)]
-                left = np.concatenate([run + i for i in range(LEAF - shift)]) if len(run) else run
-                ends = np.repeat(1, 0)
-                if len(run):
-                    ends = np.tile(run + size[(size > shift) & (size <= LEAF)], LEAF - shift)
-                    left = left[left + shift < ends]
-                near = left[np.bitwise_count(u[left] ^ u[left + shift]) <= distance]
-                out.append((u[near], u[near + shift]))
-            for s, n in zip(start[size > LEAF].tolist(), size[size > LEAF].tolist(), strict=True):
-                links = shard_forest(u[s : s + n], distance)
-                out.append((np.array([x for x, _ in links], np.uint64), np.array([y for _, y in links], np.uint64)))
+            for s, e in zip(start.tolist(), np.append(start[1:], len(u)).tolist(), strict=True):
+                if e - s > 1:
+                    links = shard_forest(u[s:e], distance)
+                    out.append((np.array([x for x, _ in links], np.uint64), np.array([y for _, y in links], np.uint64)))
             yield _edge_batch(out)
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +255,7 @@ def shard_links(fps: DataFrame, distance: int = DISTANCE, shard_rows: int = SHAR
                 out.append((np.array([x for x, _ in links], np.uint64), np.array([y for _, y in links], np.uint64)))
             yield _edge_batch(out)
 
-    near = cold.repartition("shard").sortWithinPartitions("shard").mapInArrow(within, "a long, b long")
+    near = cold.repartition(tasks, "shard").sortWithinPartitions("shard").mapInArrow(within, "a long, b long")
     # a hot shard: each part has a tree, searched by itself and by every later part in pieces of at most a tree's size
     own = hot.select("shard", "tree", "fp")
     inside = (
@@ -248,6 +274,7 @@ def shard_links(fps: DataFrame, distance: int = DISTANCE, shard_rows: int = SHAR
 
 def _components(distinct: DataFrame, distance: int) -> DataFrame:
     """``(fp, least)`` of distinct fingerprints -> ``(fp, least, component)``; component = smallest fingerprint."""
+    distinct = materialize(distinct)
     comps = connected_components(shard_links(distinct.select("fp"), distance))
     named = distinct.join(comps, distinct["fp"] == comps["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     return materialize(named)
