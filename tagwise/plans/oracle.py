@@ -11,10 +11,9 @@ def oracle(name: str, final_sql: str) -> None:
     ORACLE[name] = C.query(final_sql)
 
 
-oracle(
-    "nb_predict",
-    "SELECT row_id, array_to_string(labels, ',') AS predicted, CAST(len(labels) AS BIGINT) AS n_labels FROM v_te_pred",
-)
+HELD_OUT = "SELECT row_id, array_to_string(labels, ',') AS predicted, CAST(len(labels) AS BIGINT) AS n_labels FROM v_te_pred"
+oracle("nb_predict", HELD_OUT)
+oracle("estimator_predict", HELD_OUT)
 
 from tagwise.plans.oracle_ctes import N_SCORE_LABELS, dbl, sdiv  # noqa: E402
 
@@ -413,6 +412,7 @@ FROM v_req_valid r JOIN v_rq_pred p ON p.row_id = r.row_id LEFT JOIN (
   WHERE ch.rk <= 3 GROUP BY ch.row_id) c ON c.row_id = r.row_id
 """
 oracle("stream_predict", RECORDS)
+oracle("stream_restart", RECORDS)
 oracle("predict_text_confidence", RECORDS)
 oracle("stream_quarantine", "SELECT row_id, reason FROM v_req_checked WHERE reason IS NOT NULL")
 

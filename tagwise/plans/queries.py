@@ -732,6 +732,53 @@ def q_stream_quarantine(spark, sf_dir):
     return _stream(spark, sf_dir)[1]
 
 
+STREAM_FILES = 4
+
+
+class _Stopped(Exception):
+    """Ends a streaming run in the middle of a micro-batch."""
+
+
+@query("stream_restart")
+def q_stream_restart(spark, sf_dir):
+    """Documents in several files, one file a micro-batch. The first run is ended inside its second micro-batch, with
+    predictions written and nothing committed; the second goes on from the same progress folder: each request once."""
+    from pyspark.errors import StreamingQueryException
+
+    from tagwise.streaming.scorer import run_scorer
+
+    fitted, _, _, _ = fitted_nb(spark, sf_dir)
+    source, sink = state_path(spark, "stream_source"), state_path(spark, "stream_sink")
+    tables.table(spark, sf_dir, "documents").repartition(STREAM_FILES, "doc_id").write.parquet(source)
+
+    def stop(batch_id: int) -> None:
+        if batch_id == 1:
+            raise _Stopped
+
+    folders = dict(sink_dir=sink, checkpoint_dir=f"{sink}/_progress", glob="*.parquet", max_files=1)
+    try:
+        run_scorer(spark, source, fitted, **folders, on_predictions=stop)
+    except StreamingQueryException as e:
+        if _Stopped.__name__ not in str(e):
+            raise
+    return run_scorer(spark, source, fitted, **folders)[0]
+
+
+@query("estimator_predict")
+def q_estimator_predict(spark, sf_dir):
+    """The classifier as a stage of a ``pyspark.ml`` pipeline, fitted on the training split, saved, loaded, and
+    applied to the held-out rows (naive Bayes, threshold 0.55, top-3)."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from tagwise.estimator import TextLabelClassifier
+
+    train, test = _stage(spark, sf_dir, "split")
+    path = state_path(spark, "ml_pipeline")
+    Pipeline(stages=[TextLabelClassifier()]).fit(train).write().save(path)
+    found = PipelineModel.load(path).transform(test.select("row_id", "description"))
+    return found.select("row_id", joined("predicted").alias("predicted"), F.size("predicted").cast("long").alias("n_labels"))
+
+
 # ---------------------------------------------------------------- linear trainers (rows-only keys)
 def _fit_linear(spark, sf_dir, kind):
     from tagwise.operators.trainer import fit_linear

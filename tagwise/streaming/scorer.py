@@ -10,6 +10,7 @@ Only offsets are state, so no watermark is needed.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,14 @@ from tagwise.plans import pipeline as P
 from tagwise.sources.io import scratch_dir
 
 
-def request_stream(spark: SparkSession, source_dir: str, glob: str = "documents.parquet") -> DataFrame:
-    """Documents arriving in ``source_dir`` as scoring requests (row_id, description)."""
+def request_stream(spark: SparkSession, source_dir: str, glob: str = "documents.parquet", max_files: int | None = None) -> DataFrame:
+    """Documents arriving in ``source_dir`` as scoring requests (row_id, description); a micro-batch takes at most
+    ``max_files`` new files (all of them without)."""
     schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{glob}").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
-    return requests_projection(raw)
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if max_files:
+        raw = raw.option("maxFilesPerTrigger", max_files)
+    return requests_projection(raw.parquet(source_dir))
 
 
 def requests_projection(docs: DataFrame) -> DataFrame:
@@ -55,8 +59,16 @@ def run_scorer(
     fitted: P.FittedPipeline,
     sink_dir: str | None = None,
     checkpoint_dir: str | None = None,
+    glob: str = "documents.parquet",
+    max_files: int | None = None,
+    on_predictions: Callable[[int], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Process everything available (``availableNow``) and return (predictions, quarantine) tables."""
+    """Process everything available (``availableNow``) and return (predictions, quarantine) tables.
+
+    A run that ends in the middle of a micro-batch leaves that batch's offsets in ``checkpoint_dir``; the next run with
+    the same two folders takes the same files for it and overwrites its folder, so every request is there once.
+    ``on_predictions`` is called with the batch id once a batch's predictions are written, before its quarantine.
+    """
     # without folders of its own the run is a one-off; a restart must pass the same folders to go on where it stopped
     run = uuid.uuid4().hex[:12]
     sink_dir = sink_dir or scratch_dir(spark, f"stream_sink_{run}")
@@ -68,11 +80,13 @@ def run_scorer(
         bad = checked.filter(~F.col("valid")).select("row_id", "reason")
         out = flat_records(P.predict_records(fitted, good))
         out.write.mode("overwrite").parquet(f"{sink_dir}/predictions/batch_id={batch_id}")
+        if on_predictions:
+            on_predictions(batch_id)
         bad.write.mode("overwrite").parquet(f"{sink_dir}/quarantine/batch_id={batch_id}")
         checked.unpersist()
 
     q = (
-        request_stream(spark, source_dir)
+        request_stream(spark, source_dir, glob, max_files)
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)

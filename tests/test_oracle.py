@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 KEYS = [
     "parse_labels", "clean_titles", "micro_metrics", "tune_thresholds", "threshold_compare", "nb_predict", "chi2_scores", "restrict_labels", "multi_hot",
     "label_stats", "confusion_patterns", "confusion_matrix", "confidence_stats", "table_fingerprint", "nearest_candidate", "model_card", "analysis_report",
-    "predict_text_confidence", "stream_predict", "char_ngrams",
+    "predict_text_confidence", "stream_predict", "stream_restart", "estimator_predict", "char_ngrams",
 ]
 
 

@@ -22,3 +22,38 @@ def test_stream_equals_batch(spark):
     bad = sorted((r["row_id"], r["reason"]) for r in quarantine.collect())
     assert bad == sorted((r["row_id"], r["reason"]) for r in req.filter(~F.col("valid")).collect())
     assert len(bad) > 0
+
+
+def test_restart_takes_up_the_unfinished_batch(spark, scratch):
+    """Ended inside batch 1 (its predictions are there, its quarantine is not); the next run repeats that batch with the
+    same file and takes the rest, so each request is in one of the tables once. A third run finds nothing new."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    from tagwise.plans import queries as Q
+    from tagwise.sources import tables
+    from tagwise.streaming.scorer import run_scorer
+
+    fitted, _, _, _ = Q.fitted_nb(spark, SF_SMALL)
+    source, sink = f"{scratch}/in", f"{scratch}/out"
+    docs = tables.table(spark, SF_SMALL, "documents")
+    docs.repartition(4, "doc_id").write.parquet(source)
+    folders = dict(sink_dir=sink, checkpoint_dir=f"{sink}/_progress", glob="*.parquet", max_files=1)
+    seen = []
+
+    def stop(batch_id):
+        seen.append(batch_id)
+        if batch_id == 1:
+            raise RuntimeError("ended here")
+
+    with pytest.raises(StreamingQueryException, match="ended here"):
+        run_scorer(spark, source, fitted, **folders, on_predictions=stop)
+    assert seen == [0, 1]
+    half = {r.row_id for r in spark.read.parquet(f"{sink}/predictions/batch_id=1").collect()}
+    run_scorer(spark, source, fitted, **folders, on_predictions=seen.append)
+    assert seen == [0, 1, 1, 2, 3]
+    assert half and half == {r.row_id for r in spark.read.parquet(f"{sink}/predictions/batch_id=1").collect()}
+    preds, quarantine = run_scorer(spark, source, fitted, **folders, on_predictions=seen.append)
+    assert seen == [0, 1, 1, 2, 3]
+    got = sorted(r.row_id for r in preds.select("row_id").union(quarantine.select("row_id")).collect())
+    assert got == sorted(r.doc_id for r in docs.collect())

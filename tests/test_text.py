@@ -67,3 +67,15 @@ def test_select_k_best_keeps_higher_index_on_ties(spark):
 def test_unknown_vectorizer_key():
     with pytest.raises(ValueError):
         TX.VectorizerParams.from_dict({"max_feature": 10})
+
+
+def test_char_grams_are_code_points(spark):
+    """Characters beyond the BMP are one character each, alone, repeated, and beside spaces."""
+    from tagwise.operators.text import char_grams
+
+    texts = ["a\U0001F600b\U00010348", "\U0001F600 \U0001F600", "\U0001F600", "", None, "x  \U0001D504y"]
+    got = {}
+    for r in char_grams(spark.createDataFrame(list(enumerate(texts)), "row_id long, description string"), 3).collect():
+        got.setdefault(r.row_id, []).append(r.term)
+    flat = ["" if t is None else t.lower().replace("  ", " ") for t in texts]
+    assert got == {i: [t[j : j + 3] for j in range(len(t) - 2)] for i, t in enumerate(flat) if len(t) >= 3}
