@@ -22,12 +22,15 @@ from tagwise.sources.io import scratch_dir
 
 def request_stream(spark: SparkSession, source_dir: str, glob: str = "documents.parquet", max_files: int | None = None) -> DataFrame:
     """Documents arriving in ``source_dir`` as scoring requests (row_id, description); a micro-batch takes at most
-    ``max_files`` new files (all of them without)."""
-    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{glob}").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    ``max_files`` new files (all of them without). ``glob`` names files, or folders of part files as Spark writes them:
+    it is part of the path, as a file-name filter would pass over the parts of a folder."""
+    source_dir = source_dir.rstrip("/")
+    schema = spark.read.parquet(f"{source_dir}/{glob}").schema
+    raw = spark.readStream.schema(schema)
     if max_files:
         raw = raw.option("maxFilesPerTrigger", max_files)
-    return requests_projection(raw.parquet(source_dir))
+    # in braces a plain name is a pattern too: the stream takes a path without one as a folder, never as one file
+    return requests_projection(raw.parquet(f"{source_dir}/{{{glob}}}"))
 
 
 def requests_projection(docs: DataFrame) -> DataFrame:

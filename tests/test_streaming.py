@@ -57,3 +57,15 @@ def test_restart_takes_up_the_unfinished_batch(spark, scratch):
     assert seen == [0, 1, 1, 2, 3]
     got = sorted(r.row_id for r in preds.select("row_id").union(quarantine.select("row_id")).collect())
     assert got == sorted(r.doc_id for r in docs.collect())
+
+
+def test_documents_in_a_folder_of_part_files(spark, scratch):
+    """A table written by Spark is a folder ``documents.parquet`` with parts of other names: all of them are read."""
+    from tagwise.streaming.scorer import request_stream
+
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(1, 9)], "doc_id long, text string")
+    rows.repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    rows.write.parquet(f"{scratch}/other.parquet")
+    q = request_stream(spark, scratch).writeStream.format("memory").queryName("parts").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.row_id for r in spark.table("parts").collect()) == list(range(1, 9))
