@@ -1,30 +1,24 @@
-"""Hinge-loss SVM for all labels at once by communication-efficient dual coordinate ascent (L4).
+"""Hinge-loss SVM for all labels at once, ended by the duality gap (L4).
 
 Per label: min ½‖w‖² + C Σ c_i max(0, 1 − y_i w·x_i), the bias a constant feature that is penalised like the others. Every
-row has a dual variable per label, 0 <= a_i <= C c_i, and w = Σ a_i y_i x_i. The rows stay in their partitions with
-their duals: a round sends w out, each partition runs an epoch of coordinate ascent on its own rows against a local w
-(steps scaled by the number of partitions, so the local gains may be added), and only the sums of the changes to w come
-back. The duality gap, known from the same pass, bounds the distance to the optimum and ends the iteration.
-
-The state of a round is a kept RDD made from the one before; it is checkpointed every ``CHECKPOINT_EVERY`` rounds in the
-shared folder, so a lost executor costs a few rounds of its partitions. Row orders come from the round's number, so a
-partition that runs again gives the same duals.
+row has a dual variable per label, 0 <= a_i <= C c_i. The corner of the loss is rounded over a width h: a loss m = 1 − y_i w·x_i
+above 0 counts m² / 2h up to h and m − h/2 beyond, which is the loss with the duals C c_i min(1, m / h). Newton steps with
+conjugate gradients lower that objective in ``stacked``'s passes; a pass at w also gives the duals that belong to it, and with
+them the duality gap of the hinge loss itself: ½‖gradient‖² and what the rows on the rounded corner add. Where the latter is
+the larger part, h is halved. Neither steps nor rounds depend on how the rows are dealt over partitions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagwise.operators.stacked import Block, Columns, _blocks
-from tagwise.session import ensure_checkpoint_dir
+from tagwise.operators.stacked import STEPS, Block, Columns, Passes, _newton_direction, group_size
 
-CHECKPOINT_EVERY = 10
+WIDTH = 1.0  # of the rounded corner at the start
 
 
 @dataclass
@@ -34,60 +28,84 @@ class HingeFit:
     objective: np.ndarray  # per label
 
 
-def _epoch(b: Block, duals: np.ndarray, w: np.ndarray, c: Columns, cost: float, scale: float, seed: list[int]) -> np.ndarray:
-    """Coordinate ascent over the block's rows, all labels of a row at once: new duals; ``w`` is changed in place."""
+def _sums(b: Block, out: list, c: Columns, w: np.ndarray, h: np.ndarray) -> None:
+    """Loss, sum of duals, and the features times the duals (all without C)."""
     y, weight = b.targets(c)
-    top = cost * weight
-    duals = duals.copy()
-    for i in np.random.default_rng(seed).permutation(len(y)).tolist():
-        idx, x = b.idx[b.ends[i] : b.ends[i + 1]], b.val[b.ends[i] : b.ends[i + 1]]
-        step = (1.0 - y[i] * (x @ w[idx])) / (scale * float(x @ x))
-        new = np.clip(duals[i] + step, 0.0, top[i])
-        # the local w runs ahead by the factor that the other partitions' changes are allowed for
-        w[idx] += x[:, None] * (scale * (new - duals[i]) * y[i])
-        duals[i] = new
-    return duals
+    m = 1.0 - y * b.scores(w)
+    duals = weight * np.clip(m / h, 0.0, 1.0)
+    out[0] += np.sum(weight * np.maximum(0.0, m), axis=0)
+    out[1] += np.sum(duals, axis=0)
+    b.back(duals * y, out[2])
+
+
+def _rounded_curve(b: Block, out: list, c: Columns, w: np.ndarray, d: np.ndarray, h: np.ndarray) -> None:
+    """Rounded losses without a step and at all step lengths."""
+    y, weight = b.targets(c)
+    both = b.scores(np.hstack([w, d]))
+    for j, t in enumerate([0.0, *STEPS]):
+        m = 1.0 - y * (both[:, : len(c)] + t * both[:, len(c) :])
+        a = np.clip(m / h, 0.0, 1.0)
+        out[0][j] += np.sum(weight * a * (m - 0.5 * h * a), axis=0)
+
+
+def _corner_normal(b: Block, out: list, c: Columns, w: np.ndarray, v: np.ndarray, h: np.ndarray) -> None:
+    y, weight = b.targets(c)
+    both = b.scores(np.hstack([w, v]))
+    m = 1.0 - y * both[:, : len(c)]
+    b.back(weight / h * ((m > 0.0) & (m < h)) * both[:, len(c) :], out[0])
+
+
+def _fit_group(passes: Passes, c: Columns, cost: float, max_rounds: int, tol: float) -> HingeFit:
+    k, size = len(c), passes.size
+    costs, h, w = np.full(k, float(cost)), np.full(k, WIDTH), np.zeros((size, k))
+    objective, dual, g, corner = np.zeros(k), np.zeros(k), np.zeros((size, k)), np.zeros(k)
+
+    def look(at: np.ndarray) -> None:
+        """The state of the columns ``at`` at their w and h; duals of zero have the dual objective 0."""
+        loss, duals, back = passes.run(_sums, [(len(at),), (len(at),), (size, len(at))], c.take(at), w[:, at], h[at])
+        square = lambda a: 0.5 * np.einsum("fk,fk->k", a, a)
+        objective[at] = square(w[:, at]) + cost * loss
+        here = cost * duals - square(cost * back)
+        dual[at] = np.maximum(dual[at], here)
+        g[:, at] = w[:, at] - cost * back
+        corner[at] = objective[at] - here - square(g[:, at])
+
+    look(np.arange(k))
+    gap = lambda: (objective - dual) / np.maximum(objective, 1e-12)
+    gaps = [float(np.max(gap(), initial=0.0))]
+    for _ in range(max_rounds):
+        at = np.flatnonzero(gap() > tol)
+        if not len(at):
+            break
+        own, wa, ga, ha = c.take(at), w[:, at], g[:, at], h[at]
+        d = _newton_direction(passes, own, costs[at], wa, ga, _corner_normal, ha)
+        curve = passes.run(_rounded_curve, [(len(STEPS) + 1, len(at))], own, wa, d, ha)[0]
+        t = STEPS[:, None]
+        slope, ww, wd, dd = (np.einsum("fk,fk->k", i, j) for i, j in ((ga, d), (wa, wa), (wa, d), (d, d)))
+        values = 0.5 * (ww + 2 * t * wd + t * t * dd) + cost * curve[1:]
+        good = values <= 0.5 * ww + cost * curve[0] + 1e-4 * t * slope
+        moved = good.any(axis=0) & (slope < 0)
+        w[:, at] = wa + np.where(moved, STEPS[np.argmin(np.where(good, values, np.inf), axis=0)], 0.0) * d
+        look(at)
+        narrower = at[(gap()[at] > tol) & (~moved | (corner[at] >= 0.5 * np.einsum("fk,fk->k", g[:, at], g[:, at])))]
+        if len(narrower):
+            h[narrower] *= 0.5
+            look(narrower)
+        gaps.append(float(np.max(gap())))
+    return HingeFit(w, gaps, objective)
 
 
 def fit_hinge(packed: DataFrame, cw: np.ndarray, cost: float, n_features: int, max_rounds: int = 200, tol: float = 1e-3) -> HingeFit:
     """``packed``: (idx, val, lab) per row; ``cw``: (labels, 2) weights of negative and positive rows."""
-    ensure_checkpoint_dir(packed.sparkSession)
-    sc = packed.sparkSession.sparkContext
-    n_labels, size = len(cw), n_features + 1
-    cols = Columns(np.arange(n_labels), np.full(n_labels, -1), cw[:, 0], cw[:, 1])
-    rows = packed.select("idx", "val", "lab", F.lit(0).alias("g")).rdd
-    zeros = (np.zeros((size, n_labels)), np.zeros(n_labels), np.zeros(n_labels))
-    state = rows.mapPartitions(lambda it: [([(b, np.zeros((len(b.fold), n_labels))) for b in _blocks(it, n_features, n_labels)], zeros)])
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    parts = max(1, state.getNumPartitions())
-    w, gaps, objective = zeros[0].copy(), [], zeros[1]
-    for r in range(max_rounds + 1):
-        here = sc.broadcast(w)
-
-        def turn(k: int, it: Iterator, r: int = r, here=here):
-            """The duals after an epoch; the change of w; loss and sum of duals as they were before it."""
-            for blocks, _ in it:
-                start = here.value
-                local, out = start.copy(), []
-                loss, duals_sum = np.zeros(n_labels), np.zeros(n_labels)
-                for j, (b, duals) in enumerate(blocks):
-                    y, weight = b.targets(cols)
-                    loss += np.sum(weight * np.maximum(0.0, 1.0 - y * b.scores(start)), axis=0)
-                    duals_sum += duals.sum(axis=0)
-                    out.append((b, _epoch(b, duals, local, cols, cost, float(parts), [r, k, j])))
-                yield out, ((local - start) / parts, loss, duals_sum)
-
-        following = state.mapPartitionsWithIndex(turn).persist(StorageLevel.MEMORY_AND_DISK)
-        if (r + 1) % CHECKPOINT_EVERY == 0:
-            following.checkpoint()
-        change, loss, duals_sum = following.map(lambda s: s[1]).treeReduce(lambda a, b: tuple(x + y for x, y in zip(a, b, strict=True)))
-        state.unpersist()
-        state = following
-        square = 0.5 * np.einsum("fk,fk->k", w, w)
-        objective = square + cost * loss
-        gaps.append(float(np.max((objective - (duals_sum - square)) / np.maximum(objective, 1e-12))))
-        if gaps[-1] <= tol or r == max_rounds:
-            break
-        w = w + change
-    state.unpersist()
+    n_labels = len(cw)
+    passes = Passes(packed.withColumn("g", F.lit(0)), n_features, n_labels)
+    w, objective, rounds = np.zeros((n_features + 1, n_labels)), np.zeros(n_labels), []
+    step = group_size(n_features, 1, 1, "svm")
+    for first in range(0, n_labels, step):
+        own = np.arange(first, min(n_labels, first + step))
+        got = _fit_group(passes, Columns(own, np.full(len(own), -1), cw[own, 0], cw[own, 1]), cost, max_rounds, tol)
+        w[:, own], objective[own] = got.w, got.objective
+        rounds.append(got.gaps)
+    passes.close()
+    gaps = [max(r[min(i, len(r) - 1)] for r in rounds) for i in range(max(map(len, rounds), default=0))]
     return HingeFit(w, gaps, objective)

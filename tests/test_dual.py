@@ -56,3 +56,13 @@ def test_fit_linear_takes_the_loss(spark):
     for bad in ({"kind": "ridge"}, {"penalty": "l1"}, {"loss": "log"}):
         with pytest.raises(ValueError):
             fit_linear(x, lab, stats, rows=rows, **({"loss": "hinge"} | bad))
+
+
+def test_rounds_do_not_grow_with_the_partitions(spark):
+    rounds = []
+    for parts in (1, 12):
+        A, y, weight, packed, cw, _ = problem(spark, parts)
+        got = dual.fit_hinge(packed, cw, C, A.shape[1] - 1, max_rounds=30, tol=1e-2)
+        assert got.gaps[-1] <= 1e-2
+        rounds.append(len(got.gaps))
+    assert abs(rounds[0] - rounds[1]) <= 1
