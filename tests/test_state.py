@@ -41,6 +41,24 @@ def test_large_side_joins_give_the_same_rows(spark, fitted, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_records_cut_the_texts_below_the_joins(spark, fitted):
+    model, test = fitted
+    plan = P.predict_records(model, test.select("row_id", "description"))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first_join = next(i for i, line in enumerate(plan) if "Join " in line)
+    cut = [i for i, line in enumerate(plan) if "substring(" in line]
+    assert cut and min(cut) > first_join
+
+
+def test_the_fit_tokenises_the_rows_once(spark, monkeypatch):
+    train, _ = P.split(P.corpus(spark, SF_SMALL), SMALL_PARAMS)
+    _, rows, _ = P.fit_label_stage(train, SMALL_PARAMS)
+    calls, real = [], text.doc_words
+    monkeypatch.setattr(text, "doc_words", lambda *a: calls.append(1) or real(*a))
+    tfidf, x = P.fit_text_stage(rows, SMALL_PARAMS)
+    assert calls == [1]
+    assert rows_of(x) == rows_of(text.transform_tfidf(rows, tfidf))
+
+
 def test_numbering_of_large_tables(spark, monkeypatch):
     from tagwise.operators import indexing
 
