@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagwise.functions.exprs import f1_from_counts, safe_div
+from tagwise.operators import frequent
 from tagwise.operators import text as TX
 from tagwise.operators.indexing import dense_index
 from tagwise.operators.labels import fit_labels, multi_hot, restrict_labels
@@ -49,12 +50,19 @@ def _bit(i: int):
     return F.col("mask").bitwiseAND(F.lit(1 << i)) != 0
 
 
-def superset_vocabulary(docs: DataFrame, n_docs: int, vectorizers: list[tuple], base: TX.VectorizerParams) -> tuple[DataFrame, int]:
+def superset_vocabulary(docs: DataFrame, n_docs: int, vectorizers: list[tuple], base: TX.VectorizerParams, words: DataFrame) -> tuple[DataFrame, int]:
     """``(term, feat_idx, idf, mask)`` of the terms that any vectorizer keeps; bit i stands for ``vectorizers[i]``. Numbered
-    by term, so features of every vectorizer are in the order that its own vocabulary would have."""
+    by term, so features of every vectorizer are in the order that its own vocabulary would have. Of all terms only those
+    that can reach a vectorizer's cap are counted; ``words`` are the rows' words."""
     widest = replace(base, ngram_range=(1, max(v[1] for v in vectorizers)), max_features=None,
                      min_df=min(v[3] for v in vectorizers), max_df=max(v[2] for v in vectorizers))
-    stats = materialize(TX.prune_terms(TX.doc_freq(TX.term_counts(docs, widest)), widest, n_docs))
+    bounds = [TX.df_bounds(replace(base, min_df=v[3], max_df=v[2]), n_docs) for v in vectorizers]
+    sure = max(lo for lo, _ in bounds), min(hi for _, hi in bounds)  # terms within it are in every vectorizer's bounds
+    found = frequent.candidate_terms(words, widest.ngram_range[1], min(lo for lo, _ in bounds), sure, max(v[0] for v in vectorizers),
+                                     TX.TEXT_BREAK, min(v[1] for v in vectorizers))
+    if found is None:
+        found = TX.doc_freq(TX.term_counts(docs, widest))
+    stats = materialize(TX.prune_terms(found, widest, n_docs))
     parts = None
     for rule in sorted({v[1:] for v in vectorizers}):
         ngram_max, max_df, min_df = rule
@@ -73,10 +81,23 @@ def superset_vocabulary(docs: DataFrame, n_docs: int, vectorizers: list[tuple],
     return materialize(vocab.select("term", "feat_idx", "mask", TX.idf_expr(n_docs, base.smooth_idf).alias("idf"))), n
 
 
-def superset_weights(docs: DataFrame, vocab: DataFrame, n_terms: int, base: TX.VectorizerParams, ngram_max: int) -> DataFrame:
+def lookup_of(vocab: DataFrame, n_terms: int) -> frequent.Lookup | None:
+    """The vocabulary as numbers; None if it is too large to send to every task."""
+    if n_terms > frequent.MAX_WORDS:
+        return None
+    rows = vocab.select("term", "feat_idx", "idf").collect()  # at most MAX_WORDS
+    lookup = frequent.Lookup([r["term"] for r in rows], [r["feat_idx"] for r in rows], [r["idf"] for r in rows])
+    return lookup if lookup.fits() else None
+
+
+def superset_weights(docs: DataFrame, vocab: DataFrame, n_terms: int, base: TX.VectorizerParams, ngram_max: int, words: DataFrame, lookup: frequent.Lookup | None) -> DataFrame:
     """``(row_id, feat_idx, mask, w)``: weights before the norm."""
-    terms = TX.doc_terms(TX.by_row(docs.select("row_id", "description")), replace(base, ngram_range=(1, ngram_max)))
-    counted = join_state(terms, vocab, "term", n_terms).groupBy("row_id", "feat_idx", "mask", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    if lookup is not None:
+        counted = frequent.count_known(words, lookup, docs.schema["row_id"].dataType.simpleString())
+        counted = join_state(counted, vocab.select("feat_idx", "mask"), "feat_idx", n_terms)
+    else:
+        terms = TX.doc_terms(TX.by_row(docs.select("row_id", "description")), replace(base, ngram_range=(1, ngram_max)))
+        counted = join_state(terms, vocab, "term", n_terms).groupBy("row_id", "feat_idx", "mask", "idf").agg(F.count(F.lit(1)).alias("tf"))
     return counted.select("row_id", "feat_idx", "mask", TX.weight_expr("tf", base).alias("w"))
 
 
@@ -85,12 +106,15 @@ def contingency(weights: DataFrame, y: DataFrame, n_vectorizers: int, n_labels:
     ids = range(n_vectorizers)
     row = Window.partitionBy("row_id")  # a row's terms are bounded by the vocabulary
     norm = [F.sqrt(F.sum(F.when(_bit(i), F.col("w") * F.col("w"))).over(row)) if l2 else F.lit(1.0) for i in ids]
-    x = weights.select("row_id", "feat_idx", "mask", "w", *[n.alias(f"n{i}") for i, n in enumerate(norm)])
-    x = x.select("row_id", "feat_idx", "mask", *[F.when(_bit(i), F.coalesce(F.try_divide("w", f"n{i}"), F.lit(0.0))).alias(f"x{i}") for i in ids])
-    x = materialize(x)
-    sums = lambda name: F.array(*[F.coalesce(F.sum(f"x{i}"), F.lit(0.0)) for i in ids]).alias(name)
-    totals = x.groupBy("feat_idx", "mask").agg(sums("fc"))
-    seen = x.join(y, "row_id").groupBy("feat_idx", "label_idx").agg(sums("obs"))
+    # a row's columns of all vectorizers go no further than its task: totals are summed with the labels, as label -1
+    labs = y.groupBy("row_id").agg(F.collect_list("label_idx").alias("labs"))
+    x = weights.join(labs, "row_id", "left").select("feat_idx", "mask", "w", "labs", *[n.alias(f"n{i}") for i, n in enumerate(norm)])
+    x = x.select("feat_idx", "mask", "labs", *[F.when(_bit(i), F.coalesce(F.try_divide("w", f"n{i}"), F.lit(0.0))).alias(f"x{i}") for i in ids])
+    x = x.withColumn("label_idx", F.explode(F.concat(F.array(F.lit(-1)), F.coalesce("labs", F.array().cast("array<int>")))))
+    sums = F.array(*[F.coalesce(F.sum(f"x{i}"), F.lit(0.0)) for i in ids])
+    sums = materialize(x.groupBy("feat_idx", "mask", "label_idx").agg(sums.alias("s")))
+    totals = sums.where("label_idx < 0").select("feat_idx", "mask", F.col("s").alias("fc"))
+    seen = sums.where("label_idx >= 0").select("feat_idx", "label_idx", F.col("s").alias("obs"))
     cells = totals.withColumn("label_idx", F.explode(F.sequence(F.lit(0), F.lit(n_labels - 1))))
     pos = small(label_rows(y), n_labels)
     full = cells.join(seen, ["feat_idx", "label_idx"], "left").join(pos, "label_idx", "left")
@@ -136,14 +160,16 @@ def preprocessor_grid(train_parsed: DataFrame, test_parsed: DataFrame, configs:
     train, test = (materialize(restrict_labels(d, labels).select("row_id", "description", "labels")) for d in (train_parsed, test_parsed))
     y, truth = materialize(multi_hot(train, labels)), multi_hot(test, labels)
     n_train, n_test, ngram_max = train.count(), test.count(), max(v[1] for v in vectorizers)
-    vocab, n_terms = superset_vocabulary(train, n_train, vectorizers, base)
-    weights = materialize(superset_weights(train, vocab, n_terms, base, ngram_max))
+    words = materialize(TX.doc_words(train, base))
+    vocab, n_terms = superset_vocabulary(train, n_train, vectorizers, base, words)
+    lookup = lookup_of(vocab, n_terms)
+    weights = superset_weights(train, vocab, n_terms, base, ngram_max, words, lookup)
     grid = materialize(contingency(weights, y, len(vectorizers), labels.n_labels, base.norm == "l2"))
     coef, sizes = coefficients(grid, configs, vectorizers, n_train, alpha)
     t1 = time.time()
     # a row's norm is a positive factor of its scores, and the prediction is their sign
     ids = range(len(configs))
-    held = superset_weights(test, vocab, n_terms, base, ngram_max).drop("mask")
+    held = superset_weights(test, vocab, n_terms, base, ngram_max, TX.doc_words(test, base), lookup).drop("mask")
     products = join_state(held, coef, "feat_idx", n_terms * labels.n_labels)
     products = products.select("row_id", "label_idx", F.lit(0).alias("t"), *[(F.col("w") * F.col(f"c{i}")).alias(f"s{i}") for i in ids])
     true = truth.select("row_id", "label_idx", F.lit(1).alias("t"), *[F.lit(0.0).alias(f"s{i}") for i in ids])

@@ -43,6 +43,18 @@ def test_the_reference_grid_has_32_configurations():
     assert len(G.reference_grid()) == 32 and len({c.vectorizer for c in G.reference_grid()}) == 16
 
 
+def test_counts_no_terms_of_all_rows_and_keeps_no_columns_per_vectorizer(spark, split, monkeypatch):
+    from tagwise.operators import text as TX
+
+    kept = []
+    monkeypatch.setattr(TX, "term_counts", lambda *a: 1 / 0)
+    real = G.materialize
+    monkeypatch.setattr(G, "materialize", lambda df: kept.append(df.columns) or real(df))
+    out, _ = G.preprocessor_grid(*split, CONFIGS)
+    assert out.count() == 4
+    assert not any("row_id" in c and "feat_idx" in c for c in kept)
+
+
 def test_impossible_bounds_and_too_many_vectorizers(split):
     train, test = split
     with pytest.raises(ValueError, match="max_df corresponds"):
