@@ -243,3 +243,15 @@ def test_nmf_of_unseen_rows_lowers_the_error(spark):
     rows = spark.range(9).withColumnRenamed("id", "row_id")
     got = {r.row_id: np.array(r.w) for r in RD.nmf_transform(x, rows, H, max_iter=2000).collect()}
     assert max(np.abs(got[i] @ H - X[i]).max() for i in range(8)) < 1e-2 and np.abs(got[8]).max() < 1e-6
+
+
+def test_no_shuffle_carries_the_wide_rows(spark):
+    train, _ = P.split(P.corpus(spark, SF_SMALL), SMALL_PARAMS)
+    prep = P.prepare_features(train, SMALL_PARAMS)
+    # of a pair or a row that comes twice the first value counts, and the row stays twice
+    prep.x, prep.rows = prep.x.unionByName(prep.x), prep.rows.unionByName(prep.rows)
+    wide = P.processed_table(prep)
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "pivotfirst" not in plan.lower() and plan.strip().startswith("MapInArrow")
+    assert wide.count() == prep.rows.count()
+    assert rows_of(P.restore_processed(wide.distinct())[0]) == rows_of(prep.x.distinct())
