@@ -105,3 +105,13 @@ def test_components_too_large_to_broadcast_give_the_same_features(spark, monkeyp
     for a, b in ((whole.train, cut.train), (whole.test, cut.test)):
         left, right = ({(r["row_id"], r["feat_idx"]): r["value"] for r in d.collect()} for d in (a, b))
         assert left.keys() == right.keys() and all(right[k] == pytest.approx(v, rel=1e-6) for k, v in left.items())
+
+
+def test_every_registered_selection_leaves_features_out():
+    from tagwise.plans.queries import COMPARED
+
+    chains = [compare.Candidate(name, **stages) for name, stages in COMPARED.items()]
+    assert [c.name for c in chains] == ["chi2", "mutual_info", "nmf", "nmf_chi2", "nmf_mutual_info"]
+    for c in chains:
+        assert c.components in (None, 2000) and c.iterations == 50
+        assert c.score_fn is None or c.k < (c.components or c.vectorizer.max_features)
